@@ -1,0 +1,6 @@
+"""Streaming.
+
+The attribution is a bounded batch query: one set of hit files in, one
+report out, with sessions computed after all hits of a visitor are known.
+Nothing in it is incremental, so this package holds no operator yet.
+"""
