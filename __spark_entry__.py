@@ -21,14 +21,15 @@ from clickcredit import operators as ops
 from clickcredit.functions import (
     hit_revenue,
     hostname,
-    is_external_search_referrer,
+    is_external_search_host,
     is_purchase,
-    search_domain,
+    search_domain_of_host,
     search_keyword,
 )
 from clickcredit.functions.hits import NUMBER
 from clickcredit.functions.text import WHITESPACE_CLASS
 from clickcredit.rules import DEFAULT_RULES, Rules
+from clickcredit.sources import spread_input
 from clickcredit.sources.events import REFERRERS, read_event_hits
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -38,7 +39,7 @@ RULES_6H = DEFAULT_RULES.with_timeout(21600)
 
 
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_event_hits(spark, sf_dir)
+    return spread_input(read_event_hits(spark, sf_dir))
 
 
 def _enriched(spark: SparkSession, sf_dir: str, rules: Rules = RULES) -> DataFrame:
@@ -54,12 +55,13 @@ def q_referrer_hostname(spark, sf_dir):
 
 
 def q_search_referrer_flag(spark, sf_dir):
-    flag = is_external_search_referrer(F.col("referrer"), RULES.engines, RULES.site_domain)
-    return _hits(spark, sf_dir).select(TIE, flag.alias("is_search"))
+    flag = is_external_search_host(F.col("referrer_host"), RULES.engines, RULES.site_domain)
+    return ops.with_referrer_host(_hits(spark, sf_dir)).select(TIE, flag.alias("is_search"))
 
 
 def q_search_domain(spark, sf_dir):
-    return _hits(spark, sf_dir).select(TIE, search_domain(F.col("referrer"), RULES.engines).alias("domain"))
+    domain = search_domain_of_host(F.col("referrer_host"), RULES.engines)
+    return ops.with_referrer_host(_hits(spark, sf_dir)).select(TIE, domain.alias("domain"))
 
 
 def q_search_keyword(spark, sf_dir):

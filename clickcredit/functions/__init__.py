@@ -5,8 +5,12 @@ from .text import WHITESPACE_CLASS, collapse_ws, strip_ws
 from .url import (
     clean_url,
     decode_query_value,
+    host_of_clean,
     hostname,
+    is_external_search_host,
     is_external_search_referrer,
+    keyword_of_query,
+    query_of_clean,
     query_string,
     search_domain,
     search_domain_of_host,
@@ -20,10 +24,14 @@ __all__ = [
     "decode_query_value",
     "epoch_seconds",
     "hit_revenue",
+    "host_of_clean",
     "hostname",
+    "is_external_search_host",
     "is_external_search_referrer",
     "is_purchase",
+    "keyword_of_query",
     "money",
+    "query_of_clean",
     "query_string",
     "search_domain",
     "search_domain_of_host",

@@ -22,42 +22,48 @@ from pyspark.sql import functions as F
 
 from .text import WHITESPACE_CLASS, collapse_ws, regex_literal
 
-_CLEAN = r"^[\x00-\x20]+|[\t\r\n]"
-# scheme? // userinfo@? host, where the host is followed by a port, a path,
-# a query, a fragment or the end, and no bracket is left in the authority.
-_HOST = r"^(?:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#]*@)?([^/?#@:\[\]]*)(?![^/?#]*[\[\]])"
+_LEADING_JUNK = r"^[\x00-\x20]+"
+# (?i) scheme? // userinfo@? host, where the host is followed by a port, a
+# path, a query, a fragment or the end, and no bracket is left in the
+# authority. Only the extracted host is lower-cased.
+_HOST = r"^(?i:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#]*@)?([^/?#@:\[\]]*)(?![^/?#]*[\[\]])"
 _QUERY = r"^[^?#]*\?([^#]*)"
 _STRAY_PERCENT = r"%(?![0-9A-Fa-f]{2})"
 
 
 def clean_url(url: Column) -> Column:
-    """Drop leading control characters / spaces and embedded tabs and breaks."""
-    return F.regexp_replace(url, _CLEAN, "")
+    """Drop leading control characters / spaces and embedded tabs and breaks.
+
+    No regex runs for the usual URL: tabs and breaks go by ``translate``, and
+    the leading run is only searched when the first character needs it.
+    """
+    no_breaks = F.translate(url, "\t\r\n", "")
+    return F.when(F.substring(no_breaks, 1, 1) <= F.lit(" "),
+                  F.regexp_replace(no_breaks, _LEADING_JUNK, "")).otherwise(no_breaks)
+
+
+def host_of_clean(clean: Column) -> Column:
+    """F1 on a URL that already went through ``clean_url``."""
+    return F.nullif(F.lower(F.regexp_extract(clean, _HOST, 1)), F.lit(""))
+
+
+def query_of_clean(clean: Column) -> Column:
+    """Raw query text of a cleaned URL (empty when there is none)."""
+    return F.regexp_extract(clean, _QUERY, 1)
 
 
 def hostname(url: Column) -> Column:
     """F1. Lower-case host of a URL; NULL when there is no authority or host."""
-    return F.nullif(F.regexp_extract(F.lower(clean_url(url)), _HOST, 1), F.lit(""))
+    return host_of_clean(clean_url(url))
 
 
 def query_string(url: Column) -> Column:
     """Raw query text of a URL (empty when there is none)."""
-    return F.regexp_extract(clean_url(url), _QUERY, 1)
-
-
-def _first_engine(host: Column, engines: Sequence[str]) -> Column:
-    """First engine name, in list order, that occurs inside ``host``."""
-    match = None
-    for name in engines:
-        hit = host.contains(name)
-        match = F.when(hit, F.lit(name)) if match is None else match.when(hit, F.lit(name))
-    return match
+    return query_of_clean(clean_url(url))
 
 
-def is_external_search_referrer(url: Column, engines: Sequence[str],
-                                site_domain: str = "") -> Column:
-    """F2. True when the host names a search engine and is not the own site."""
-    host = hostname(url)
+def is_external_search_host(host: Column, engines: Sequence[str], site_domain: str = "") -> Column:
+    """F2 on an already extracted host."""
     any_engine = None
     for name in engines:
         hit = host.contains(name)
@@ -68,14 +74,34 @@ def is_external_search_referrer(url: Column, engines: Sequence[str],
     return F.coalesce(cond, F.lit(False))
 
 
+def is_external_search_referrer(url: Column, engines: Sequence[str],
+                                site_domain: str = "") -> Column:
+    """F2. True when the host names a search engine and is not the own site.
+
+    Spark does not share an expression that only later CASE / OR branches
+    use, so on large inputs project ``hostname`` once and use
+    ``is_external_search_host`` (as ``with_referrer_host`` does).
+    """
+    return is_external_search_host(hostname(url), engines, site_domain)
+
+
+def _tail_from_label(host: Column, name: str) -> Column:
+    """``host`` from its first label equal to ``name`` on, else the whole host."""
+    if "." in name:  # a label never holds a dot
+        return host
+    # position of ".name." in ".host." is where the label starts in host
+    pos = F.instr(F.concat(F.lit("."), host, F.lit(".")), f".{name}.")
+    return F.when(pos > 0, host.substr(pos, F.length(host))).otherwise(host)
+
+
 def search_domain_of_host(host: Column, engines: Sequence[str]) -> Column:
-    """F3 on an already extracted host."""
-    engine = _first_engine(host, engines)
-    labels = F.split(host, r"\.")
-    pos = F.array_position(labels, engine)
-    start = F.greatest(pos.cast("int"), F.lit(1))  # slice rejects 0; the branch below guards it
-    tail = F.array_join(F.slice(labels, start, F.size(labels)), ".")
-    return F.when(engine.isNull(), F.lit(None).cast("string")).when(pos > 0, tail).otherwise(host)
+    """F3 on an already extracted host: one CASE branch per engine, in list order."""
+    out = None
+    for name in engines:
+        hit = host.contains(name)
+        tail = _tail_from_label(host, name)
+        out = F.when(hit, tail) if out is None else out.when(hit, tail)
+    return out
 
 
 def search_domain(url: Column, engines: Sequence[str]) -> Column:
@@ -85,6 +111,7 @@ def search_domain(url: Column, engines: Sequence[str]) -> Column:
     When a host label equals it, the labels from there on are kept
     (``www.google.co.uk`` -> ``google.co.uk``); otherwise the whole host is
     returned (``www.basket.com`` for ``ask``). NULL when no engine matches.
+    On large inputs project ``hostname`` once and use ``search_domain_of_host``.
     """
     return search_domain_of_host(hostname(url), engines)
 
@@ -97,6 +124,16 @@ def decode_query_value(raw: Column) -> Column:
     return F.url_decode(F.regexp_replace(raw, _STRAY_PERCENT, "%25"))
 
 
+def keyword_of_query(query: Column, keyword_params: Sequence[str]) -> Column:
+    """F4 on raw query text (see ``search_keyword``)."""
+    raws = [
+        F.nullif(F.regexp_extract(query, rf"(?:^|&){regex_literal(p)}=([^&]+)", 1), F.lit(""))
+        for p in keyword_params
+    ]
+    raw = raws[0] if len(raws) == 1 else F.coalesce(*raws)
+    return F.nullif(F.lower(collapse_ws(decode_query_value(raw))), F.lit(""))
+
+
 def search_keyword(url: Column, keyword_params: Sequence[str]) -> Column:
     """F4. Search keyword of a referrer.
 
@@ -105,21 +142,19 @@ def search_keyword(url: Column, keyword_params: Sequence[str]) -> Column:
     NULL when no parameter has a value, or when the value is blank after
     decoding (``?q=+``); blank raw values are skipped (``?q=&p=x`` -> ``x``).
     """
-    query = query_string(url)
-    raws = [
-        F.nullif(F.regexp_extract(query, rf"(?:^|&){regex_literal(p)}=([^&]+)", 1), F.lit(""))
-        for p in keyword_params
-    ]
-    raw = raws[0] if len(raws) == 1 else F.coalesce(*raws)
-    return F.nullif(F.lower(collapse_ws(decode_query_value(raw))), F.lit(""))
+    return keyword_of_query(query_string(url), keyword_params)
 
 
 __all__ = [
     "WHITESPACE_CLASS",
     "clean_url",
     "decode_query_value",
+    "host_of_clean",
     "hostname",
+    "is_external_search_host",
     "is_external_search_referrer",
+    "keyword_of_query",
+    "query_of_clean",
     "query_string",
     "search_domain",
     "search_domain_of_host",

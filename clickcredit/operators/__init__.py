@@ -13,7 +13,7 @@ from .attribution import (
     session_summaries,
     touch_key,
 )
-from .enrich import enrich, paid_purchase, valid_touch, with_hit_ts
+from .enrich import enrich, paid_purchase, valid_touch, with_hit_ts, with_referrer_host
 from .sessions import (
     attach_session_ids,
     bucket_width,
@@ -47,4 +47,5 @@ __all__ = [
     "valid_touch",
     "visitor_buckets",
     "with_hit_ts",
+    "with_referrer_host",
 ]

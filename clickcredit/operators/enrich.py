@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
+    clean_url,
     epoch_seconds,
     hit_revenue,
+    host_of_clean,
     hostname,
     is_purchase,
+    keyword_of_query,
+    query_of_clean,
     search_domain_of_host,
-    search_keyword,
 )
 from ..rules import DEFAULT_RULES, Rules
 from .columns import (
@@ -26,7 +29,9 @@ from .columns import (
     REVENUE,
 )
 
-_HOST = "_referrer_host"
+REFERRER_HOST = "referrer_host"
+_CLEAN = "_clean_referrer"
+_QUERY = "_referrer_query"
 
 
 def with_hit_ts(hits: DataFrame) -> DataFrame:
@@ -36,20 +41,31 @@ def with_hit_ts(hits: DataFrame) -> DataFrame:
     return hits.withColumn(HIT_TS, epoch_seconds(F.col(HIT_TIME), hits.schema[HIT_TIME].dataType))
 
 
+def with_referrer_host(hits: DataFrame) -> DataFrame:
+    """F1 as a column ``referrer_host``, computed once for the host-based functions."""
+    return hits.withColumn(REFERRER_HOST, hostname(F.col(REFERRER)))
+
+
 def enrich(hits: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """F9. Hits plus ``hit_ts``, ``domain``, ``keyword``, ``is_purchase``, ``revenue``.
 
-    Absent domain or keyword stay NULL. One projection of native
-    expressions; the referrer host is computed once and shared.
+    Absent domain or keyword stay NULL. Native expressions only. The
+    cleaned referrer, its host and its query text are each computed once
+    and shared (Spark does not share an expression that only later CASE or
+    COALESCE branches use, so they are projected as columns first).
     """
     hits = with_hit_ts(hits)
-    with_host = hits.withColumn(_HOST, hostname(F.col(REFERRER)))
-    return with_host.withColumns({
-        DOMAIN: search_domain_of_host(F.col(_HOST), rules.engines),
-        KEYWORD: search_keyword(F.col(REFERRER), rules.keyword_params),
+    cleaned = hits.withColumn(_CLEAN, clean_url(F.col(REFERRER)))
+    parts = cleaned.withColumns({
+        REFERRER_HOST: host_of_clean(F.col(_CLEAN)),
+        _QUERY: query_of_clean(F.col(_CLEAN)),
+    })
+    return parts.withColumns({
+        DOMAIN: search_domain_of_host(F.col(REFERRER_HOST), rules.engines),
+        KEYWORD: keyword_of_query(F.col(_QUERY), rules.keyword_params),
         IS_PURCHASE: is_purchase(F.col(EVENT_LIST), rules.purchase_event),
         REVENUE: hit_revenue(F.col(PRODUCT_LIST)),
-    }).drop(_HOST)
+    }).drop(_CLEAN, REFERRER_HOST, _QUERY)
 
 
 def valid_touch() -> F.Column:

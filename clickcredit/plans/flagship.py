@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import enrich, keyword_report, keyword_revenue
 from ..rules import DEFAULT_RULES, Rules
-from ..sources import read_hits, report_name, write_report
+from ..sources import read_hits, report_name, spread_input, write_report
 
 
 def search_revenue(hits: DataFrame, rules: Rules = DEFAULT_RULES, tie: str | None = None,
@@ -39,7 +39,8 @@ def run_report(spark: SparkSession, input_path: str, output_root: str,
                rules: Rules = DEFAULT_RULES, execution_date: datetime | None = None,
                multi_line: bool = False) -> str:
     """S1 -> Q1 -> S4/S5. Returns the report directory that was written."""
-    report = search_revenue(read_hits(spark, input_path, multi_line=multi_line), rules)
+    hits = spread_input(read_hits(spark, input_path, multi_line=multi_line))
+    report = search_revenue(hits, rules)
     target = f"{output_root.rstrip('/')}/{report_name(execution_date)}"
     write_report(report, target)
     return target

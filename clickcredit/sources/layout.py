@@ -1,0 +1,20 @@
+"""Input layout: give CPU-heavy enrichment enough tasks when a scan yields few splits."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` tasks when its scan has fewer.
+
+    A single gzip hit file, or a Parquet file with one row group, is read by
+    one task, and the per-row URL parsing that follows would then use one
+    core. A large input already has many more splits than the cluster has
+    cores, and is returned unchanged: no shuffle is added at scale.
+    ``min_partitions`` defaults to the cluster's default parallelism.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if target > 1 and df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
