@@ -42,8 +42,9 @@ def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_input(read_event_hits(spark, sf_dir))
 
 
-def _enriched(spark: SparkSession, sf_dir: str, rules: Rules = RULES) -> DataFrame:
-    return ops.enrich(_hits(spark, sf_dir), rules)
+def _enriched(spark: SparkSession, sf_dir: str, rules: Rules = RULES,
+              for_attribution: bool = True) -> DataFrame:
+    return ops.enrich(_hits(spark, sf_dir), rules, for_attribution=for_attribution)
 
 
 # --------------------------------------------------------------------------
@@ -79,7 +80,8 @@ def q_hit_revenue(spark, sf_dir):
 
 
 def q_enriched_hits(spark, sf_dir):
-    return _enriched(spark, sf_dir).select(TIE, "hit_ts", "domain", "keyword", "is_purchase", "revenue")
+    return _enriched(spark, sf_dir, for_attribution=False).select(
+        TIE, "hit_ts", "domain", "keyword", "is_purchase", "revenue")
 
 
 def q_inactivity_gap(spark, sf_dir):

@@ -32,7 +32,8 @@ from ..sources import read_hits, report_name, spread_input, write_report
 def search_revenue(hits: DataFrame, rules: Rules = DEFAULT_RULES, tie: str | None = None,
                    bucket_seconds: int | None = None) -> DataFrame:
     """Q1. ``Search Engine Domain, Search Keyword, Revenue`` for raw or timed hits."""
-    return keyword_revenue(enrich(hits, rules), rules, tie=tie, bucket_seconds=bucket_seconds)
+    enriched = enrich(hits, rules, for_attribution=True)
+    return keyword_revenue(enriched, rules, tie=tie, bucket_seconds=bucket_seconds)
 
 
 def run_report(spark: SparkSession, input_path: str, output_root: str,
