@@ -39,9 +39,15 @@ RULES_6H = DEFAULT_RULES.with_timeout(21600)
 
 
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits, spread over the cores first when the scan gives few splits (URL parsing follows)."""
     return spread_input(read_event_hits(spark, sf_dir))
 
 
+def _timed_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits for the session operators, which shuffle right away: no spreading."""
+    return read_event_hits(spark, sf_dir)
+
+
 def _enriched(spark: SparkSession, sf_dir: str, rules: Rules = RULES,
               for_attribution: bool = True) -> DataFrame:
     return ops.enrich(_hits(spark, sf_dir), rules, for_attribution=for_attribution)
@@ -85,11 +91,12 @@ def q_enriched_hits(spark, sf_dir):
 
 
 def q_inactivity_gap(spark, sf_dir):
-    return ops.inactivity_gap(_hits(spark, sf_dir), tie=TIE).select(TIE, "gap")
+    return ops.inactivity_gap(_timed_hits(spark, sf_dir), tie=TIE).select(TIE, "gap")
 
 
 def q_session_numbers(spark, sf_dir):
-    return ops.session_numbers(_hits(spark, sf_dir), RULES.timeout_seconds).select(TIE, "session_id")
+    return ops.session_numbers(_timed_hits(spark, sf_dir), RULES.timeout_seconds).select(
+        TIE, "session_id")
 
 
 def q_first_touch(spark, sf_dir):
