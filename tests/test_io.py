@@ -123,9 +123,7 @@ def test_write_empty_report_has_header(spark):
     rep = search_revenue(read_hits(spark, _write(tsv([]))))
     out = str(_scratch() / "empty")
     write_report(rep, out)
-    parts = glob.glob(f"{out}/part-*")
-    text = "".join(Path(p).read_text() for p in parts)
-    assert text.splitlines()[:1] in ([], ["Search Engine Domain\tSearch Keyword\tRevenue"])
+    assert _single_part(out).splitlines() == ["Search Engine Domain\tSearch Keyword\tRevenue"]
 
 
 def test_run_report_writes_dated_directory(spark):
