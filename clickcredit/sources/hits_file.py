@@ -57,22 +57,31 @@ def report_name(execution_date: datetime | None = None) -> str:
     return f"{date.strftime('%Y-%m-%d')}_{REPORT_NAME_SUFFIX}"
 
 
-def write_report(report: DataFrame, path: str, formatted: bool = True) -> None:
-    """S4. Write the report as one tab-separated file with a header.
+def write_report(report: DataFrame, path: str, formatted: bool = True,
+                 single_file: bool = True) -> None:
+    """S4. Write the report as tab-separated text with a header.
 
-    ``path`` is a directory; Spark writes one ``part-*`` file into it. Rows
-    are sorted inside that single partition (highest revenue first), so the
-    file order is certain. With ``formatted`` the revenue is written as
-    two-decimal text.
+    ``path`` is a directory. With ``single_file`` (the original tool's
+    output) Spark writes one ``part-*`` file, sorted inside that one
+    partition, so the order is certain; the report has one row per
+    (domain, keyword), so this one task is small. For very large reports,
+    ``single_file=False`` writes a globally sorted, range-partitioned set of
+    part files (in name order), each with its own header, in parallel.
+    With ``formatted`` the revenue is written as two-decimal text.
     """
+    revenue_key = F.desc(REPORT_REVENUE)
     out = report
     if formatted:
-        out = out.withColumn(REPORT_REVENUE, money(F.col(REPORT_REVENUE)))
-        order = [F.desc(F.col(REPORT_REVENUE).cast("double"))]
+        out = out.withColumn("_sort_revenue", F.col(REPORT_REVENUE)).withColumn(
+            REPORT_REVENUE, money(F.col(REPORT_REVENUE)))
+        revenue_key = F.desc("_sort_revenue")
+    order = [revenue_key, F.asc(REPORT_DOMAIN), F.asc(REPORT_KEYWORD)]
+    if single_file:
+        out = out.repartition(1).sortWithinPartitions(*order)
     else:
-        order = [F.desc(REPORT_REVENUE)]
-    (out.repartition(1)
-        .sortWithinPartitions(*order, F.asc(REPORT_DOMAIN), F.asc(REPORT_KEYWORD))
-        .write.option("sep", "\t").option("header", True)
+        out = out.orderBy(*order)
+    if formatted:
+        out = out.drop("_sort_revenue")
+    (out.write.option("sep", "\t").option("header", True)
         .option("quote", '"').option("escape", '"')
         .mode("overwrite").csv(path))

@@ -119,6 +119,20 @@ def test_write_report_round_trip(spark):
                                                   ("bing.com", "mouse", "50.00")]
 
 
+def test_write_report_multi_part_keeps_global_order(spark):
+    rows = [(f"d{i % 7}.com", f"k{i}", float(i % 13) + i / 1000) for i in range(300)]
+    rep = spark.createDataFrame(rows, "`Search Engine Domain` string, `Search Keyword` string, "
+                                      "Revenue double").repartition(5)
+    out = str(_scratch() / "multi")
+    write_report(rep, out, single_file=False)
+    lines = []
+    for part in sorted(glob.glob(f"{out}/part-*")):
+        lines += Path(part).read_text().splitlines()[1:]
+    revenues = [float(line.split("\t")[2]) for line in lines]
+    assert len(lines) == 300
+    assert revenues == sorted(revenues, reverse=True)
+
+
 def test_write_empty_report_has_header(spark):
     rep = search_revenue(read_hits(spark, _write(tsv([]))))
     out = str(_scratch() / "empty")
