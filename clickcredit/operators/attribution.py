@@ -40,8 +40,10 @@ from .sessions import (
     _null_safe_on,
     attach_session_ids,
     bucket_width,
+    VISITOR_HASH,
     number_buckets,
     time_bucket,
+    visitor_hash,
 )
 
 TOUCH = "touch"
@@ -49,6 +51,7 @@ _SOLO_DOMAIN = "_solo_domain"
 _SOLO_KEYWORD = "_solo_keyword"
 _PAID = "_paid"
 _UNTIMED = "_untimed"
+_VISITOR_HASH = VISITOR_HASH
 
 
 def touch_key(tie: str | None = None) -> Column:
@@ -87,13 +90,19 @@ def session_summaries(enriched: DataFrame, rules: Rules = DEFAULT_RULES, tie: st
         touch_key(tie).alias(TOUCH),
         F.when(paid_purchase(), F.col(REVENUE)).alias(_PAID))
     groups = (IP, USER_AGENT, _UNTIMED, _SOLO_DOMAIN, _SOLO_KEYWORD)
-    per_bucket = keyed.groupBy(*groups, BUCKET).agg(
+    # A 64-bit hash of the visitor leads the grouping and window keys: it
+    # adds no new group (it is a function of ip and user_agent), but the
+    # sorts of the partial aggregate and of the window then run on a nearly
+    # unique long prefix instead of comparing ip strings.
+    keyed = keyed.withColumn(_VISITOR_HASH, visitor_hash())
+    per_bucket = keyed.groupBy(_VISITOR_HASH, BUCKET, *groups).agg(
         F.min(HIT_TS).alias(FIRST_TS), F.max(HIT_TS).alias(LAST_TS),
         F.min(TOUCH).alias(TOUCH), F.sum(_PAID).alias(REVENUE))
-    numbered = number_buckets(per_bucket, rules.timeout_seconds, partition_cols=groups)
+    numbered = number_buckets(per_bucket, rules.timeout_seconds,
+                              partition_cols=(_VISITOR_HASH, *groups))
     numbered = numbered.withColumn(
         SESSION_ID, F.when(~F.col(_UNTIMED), F.col(SESSION_ID)))
-    sessions = numbered.groupBy(*groups, SESSION_ID).agg(
+    sessions = numbered.groupBy(_VISITOR_HASH, *groups, SESSION_ID).agg(
         F.min(TOUCH).alias(TOUCH), F.sum(REVENUE).alias(REVENUE))
     return sessions.select(IP, USER_AGENT, SESSION_ID, TOUCH, REVENUE)
 
@@ -142,11 +151,13 @@ def attributed_purchases(enriched: DataFrame, rules: Rules = DEFAULT_RULES,
     visitors = _has_visitor(enriched)
     ts = F.col(HIT_TS)
     buckets = (visitors.where(ts.isNotNull())
-               .groupBy(IP, USER_AGENT, time_bucket(ts, width).alias(BUCKET))
+               .groupBy(visitor_hash().alias(VISITOR_HASH), IP, USER_AGENT,
+                        time_bucket(ts, width).alias(BUCKET))
                .agg(F.min(HIT_TS).alias(FIRST_TS), F.max(HIT_TS).alias(LAST_TS),
                     F.min(touch_key(tie)).alias(TOUCH)))
-    numbered = number_buckets(buckets, rules.timeout_seconds)
-    per_session = Window.partitionBy(IP, USER_AGENT, SESSION_ID)
+    numbered = number_buckets(buckets, rules.timeout_seconds,
+                              partition_cols=(VISITOR_HASH, IP, USER_AGENT))
+    per_session = Window.partitionBy(VISITOR_HASH, IP, USER_AGENT, SESSION_ID)
     spread = (numbered.withColumn("_session_touch", F.min(TOUCH).over(per_session))
               .where(F.col("_session_touch").isNotNull())
               .select(F.col(IP).alias("_a_ip"), F.col(USER_AGENT).alias("_a_ua"),

@@ -12,9 +12,14 @@ def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     one task, and the per-row URL parsing that follows would then use one
     core. A large input already has many more splits than the cluster has
     cores, and is returned unchanged: no shuffle is added at scale.
-    ``min_partitions`` defaults to the cluster's default parallelism.
+    ``min_partitions`` defaults to the cluster's default parallelism. On a
+    session without RDD access (Spark Connect) the input is left as it is.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if target > 1 and df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API on this session
+        return df
+    if target > 1 and splits < target:
         return df.repartition(target)
     return df
