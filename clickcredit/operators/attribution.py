@@ -37,7 +37,7 @@ from .sessions import (
     BUCKET,
     FIRST_TS,
     LAST_TS,
-    _null_safe_on,
+    key_match,
     attach_session_ids,
     bucket_width,
     VISITOR_HASH,
@@ -164,8 +164,8 @@ def attributed_purchases(enriched: DataFrame, rules: Rules = DEFAULT_RULES,
                       F.col(BUCKET).alias("_a_bucket"), "_session_touch"))
 
     paid = visitors.where(paid_purchase()).withColumn(BUCKET, time_bucket(ts, width))
-    on = _null_safe_on(paid, spread, [], strict=((IP, "_a_ip"), (USER_AGENT, "_a_ua"),
-                                                 (BUCKET, "_a_bucket")))
+    on = key_match(paid, spread, [], strict=((IP, "_a_ip"), (USER_AGENT, "_a_ua"),
+                                             (BUCKET, "_a_bucket")))
     joined = paid.join(spread, on, "left")
     credited = F.coalesce(F.col("_session_touch"), F.when(ts.isNull(), touch_key(tie)))
     out_cols = [c for c in paid.columns if c not in (DOMAIN, KEYWORD, BUCKET)]

@@ -70,8 +70,9 @@ def time_bucket(ts: Column, width: int) -> Column:
     return ts - F.pmod(ts, F.lit(width).cast("bigint"))
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]],
-                  strict: tuple[tuple[str, str], ...] = ()) -> Column:
+def key_match(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]],
+              strict: tuple[tuple[str, str], ...] = ()) -> Column:
+    """Join condition: ``pairs`` compared null-safely (``<=>``), ``strict`` with ``=``."""
     cond = None
     for lc, rc in pairs:
         c = left[lc].eqNullSafe(right[rc])
@@ -127,8 +128,8 @@ def attach_session_ids(hits: DataFrame, targets: DataFrame, timeout_seconds: int
         F.col(IP).alias("_s_ip"), F.col(USER_AGENT).alias("_s_ua"),
         F.col(BUCKET).alias("_s_bucket"), F.col(SESSION_ID).alias("_s_session"))
     keyed = with_hit_ts(targets).withColumn(BUCKET, time_bucket(F.col(HIT_TS), width))
-    on = _null_safe_on(keyed, buckets, [(IP, "_s_ip"), (USER_AGENT, "_s_ua")],
-                       strict=((BUCKET, "_s_bucket"),))
+    on = key_match(keyed, buckets, [(IP, "_s_ip"), (USER_AGENT, "_s_ua")],
+                   strict=((BUCKET, "_s_bucket"),))
     joined = keyed.join(buckets, on, "left")
     return (joined.withColumn(SESSION_ID, F.col("_s_session"))
             .drop(BUCKET, "_s_ip", "_s_ua", "_s_bucket", "_s_session"))
@@ -169,15 +170,15 @@ def inactivity_gap(hits: DataFrame, tie: str,
              .withColumn("_prev_bucket", F.lag(LAST_TS).over(across))
              .select(F.col(IP).alias("_l_ip"), F.col(USER_AGENT).alias("_l_ua"),
                      F.col(BUCKET).alias("_l_bucket"), "_prev_bucket"))
-    on = _null_safe_on(times, lasts, [(IP, "_l_ip"), (USER_AGENT, "_l_ua")],
-                       strict=((BUCKET, "_l_bucket"),))
+    on = key_match(times, lasts, [(IP, "_l_ip"), (USER_AGENT, "_l_ua")],
+                   strict=((BUCKET, "_l_bucket"),))
     prev = (times.join(lasts, on, "inner")
             .select(F.col(IP).alias("_t_ip"), F.col(USER_AGENT).alias("_t_ua"),
                     F.col(HIT_TS).alias("_t_ts"), "_first_tie",
                     F.coalesce("_prev_in", "_prev_bucket").alias("_prev")))
 
-    on = _null_safe_on(hits, prev, [(IP, "_t_ip"), (USER_AGENT, "_t_ua")],
-                       strict=((HIT_TS, "_t_ts"),))
+    on = key_match(hits, prev, [(IP, "_t_ip"), (USER_AGENT, "_t_ua")],
+                   strict=((HIT_TS, "_t_ts"),))
     joined = hits.join(prev, on, "left")
     gap = (F.when(F.col(tie) == F.col("_first_tie"), F.col(HIT_TS) - F.col("_prev"))
            .when(F.col("_first_tie").isNotNull(), F.lit(0).cast("bigint")))
