@@ -145,3 +145,16 @@ def test_run_report_writes_dated_directory(spark):
     target = run_report(spark, src, str(_scratch()), execution_date=datetime(2026, 3, 5))
     assert target.endswith("/2026-03-05_SearchKeywordPerformance.tab")
     assert _single_part(target).splitlines()[1] == "google.com\tlaptop\t800.00"
+
+
+def test_command_line_job(spark):
+    from clickcredit.__main__ import main
+    src = _write(tsv(_two_session_rows()))
+    out = str(_scratch())
+    target = main([src, out, "--date", "2026-03-05", "--timeout", "1800"])
+    assert target == f"{out}/2026-03-05_SearchKeywordPerformance.tab"
+    assert _single_part(target).splitlines()[1:] == ["google.com\tlaptop\t800.00",
+                                                     "bing.com\tmouse\t50.00"]
+    # with a 6-hour timeout the two searches fall into one session
+    target = main([src, out, "--date", "2026-03-06", "--timeout", "21600"])
+    assert _single_part(target).splitlines()[1:] == ["google.com\tlaptop\t850.00"]
