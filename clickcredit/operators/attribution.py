@@ -70,7 +70,7 @@ def session_summaries(enriched: DataFrame, rules: Rules = DEFAULT_RULES, tie: st
 
     ``touch`` is the first valid touch (struct with ``domain`` and ``keyword``)
     or NULL; ``revenue`` sums the session's purchases with positive revenue,
-    or is NULL when there are none.
+    or is NULL when there are none. Sessions with neither are left out.
 
     A hit without a time is a session of its own (``session_id`` NULL). Such
     hits of one visitor with the same touch (or with none) are combined; this
@@ -100,9 +100,13 @@ def session_summaries(enriched: DataFrame, rules: Rules = DEFAULT_RULES, tie: st
         F.min(TOUCH).alias(TOUCH), F.sum(_PAID).alias(REVENUE))
     numbered = number_buckets(per_bucket, rules.timeout_seconds,
                               partition_cols=(_VISITOR_HASH, *groups))
-    numbered = numbered.withColumn(
+    # Session numbers needed every bucket; the per-session step only needs
+    # buckets that carry a touch or paid revenue (plain page views drop out
+    # here, before the sort of the per-session aggregate).
+    relevant = numbered.where(F.col(TOUCH).isNotNull() | F.col(REVENUE).isNotNull())
+    relevant = relevant.withColumn(
         SESSION_ID, F.when(~F.col(_UNTIMED), F.col(SESSION_ID)))
-    sessions = numbered.groupBy(_VISITOR_HASH, *groups, SESSION_ID).agg(
+    sessions = relevant.groupBy(_VISITOR_HASH, *groups, SESSION_ID).agg(
         F.min(TOUCH).alias(TOUCH), F.sum(REVENUE).alias(REVENUE))
     return sessions.select(IP, USER_AGENT, SESSION_ID, TOUCH, REVENUE)
 
