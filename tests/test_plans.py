@@ -82,3 +82,33 @@ def test_spread_input_only_when_needed(spark, parquet_hits):
     assert spread_input(few, 4).rdd.getNumPartitions() == 4
     many = hits.repartition(8)
     assert spread_input(many, 4) is many
+
+
+_PASS_THROUGH = ("Window", "Sort", "Project", "Exchange", "Filter", "AQEShuffleRead",
+                 "WindowGroupLimit")
+
+
+def _window_inputs(plan: str) -> list[str]:
+    """For each Window node, the first node below it that is not a pass-through node."""
+    tree = [line for line in plan.split("\n\n")[0].splitlines() if "(" in line]
+    names = [re.sub(r"^[\s:+\-|]*", "", line).split(" (")[0].strip() for line in tree]
+    found = []
+    for i, name in enumerate(names):
+        if name == "Window":
+            below = next((n for n in names[i + 1:] if n not in _PASS_THROUGH), "")
+            found.append(below)
+    return found
+
+
+@pytest.mark.parametrize("name", ["inactivity_gap", "session_numbers", "first_touch",
+                                  "purchase_hits", "attributed_purchases", "keyword_revenue"])
+def test_no_window_over_raw_hits(spark, name):
+    """Every window in every registered session query reads aggregated rows."""
+    import __spark_entry__ as entry_mod
+    from conftest import TESTDATA
+    sf = TESTDATA / "sf0.001"
+    if not sf.exists():
+        pytest.skip("test tables not present")
+    inputs = _window_inputs(_plan(entry_mod.queries()[name](spark, str(sf))))
+    assert inputs, "expected a window in the plan"
+    assert all(i.endswith("Aggregate") for i in inputs), inputs
