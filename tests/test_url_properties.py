@@ -2,7 +2,8 @@
 
 The hit files come from tools that use ``urllib.parse``. Known and documented
 differences are excluded from generation: bracketed IPv6 hosts, encoded
-parameter names, and invalid UTF-8 escapes.
+parameter names, and invalid UTF-8 escapes. Leading junk, tabs and line
+breaks anywhere are included: the parser drops them.
 """
 
 from __future__ import annotations
@@ -24,20 +25,23 @@ _label = st.sampled_from(["www", "google", "bing", "search", "yahoo", "co", "uk"
                           "ask", "msn", "WWW", "Google", "g-1", "a_b", ""])
 _port = st.sampled_from(["", ":80", ":", ":x"])
 _path = st.sampled_from(["", "/", "/search", "/a/b", "/x?y"])
-_pname = st.sampled_from(["q", "p", "query", "search", "Q", "qq", "x", "", "q "])
+_pname = st.sampled_from(["q", "p", "query", "search", "Q", "qq", "x", "", "q ", "q\t"])
 _pval = st.lists(st.sampled_from(["a", "B", "+", "%20", "%41", "%", "%2", "%25", "%C3%A9", "=", " ",
-                                  "%09", "%0A", "ipod", "Zune", "é", "x y"]), max_size=5).map("".join)
+                                  "%09", "%0A", "ipod", "Zune", "é", "x y", "\t"]), max_size=5).map("".join)
 _param = st.tuples(_pname, st.sampled_from(["=", ""]), _pval).map(lambda t: "".join(t))
 _query = st.lists(_param, max_size=4).map(lambda ps: "?" + "&".join(ps) if ps else "")
 _frag = st.sampled_from(["", "#", "#q=frag", "#a?q=x"])
 _lead = st.sampled_from(["", " ", "\t", " \x01"])
+_break = st.sampled_from(["", "", "", "\t", "\n", "\r\n"])
 
 
 @st.composite
 def urls(draw):
     host = ".".join(draw(st.lists(_label, min_size=1, max_size=4)))
-    return (draw(_lead) + draw(_scheme) + draw(_user) + host + draw(_port) + draw(_path)
-            + draw(_query) + draw(_frag))
+    cut = draw(st.integers(0, len(host)))
+    host = host[:cut] + draw(_break) + host[cut:]
+    return (draw(_lead) + draw(_scheme) + draw(_break) + draw(_user) + host + draw(_port)
+            + draw(_path) + draw(_query) + draw(_break) + draw(_frag))
 
 
 def py_host(url):
@@ -84,3 +88,22 @@ def test_url_columns_match_python(spark, batch):
         assert row.h == py_host(url), url
         assert row.d == py_domain(url), url
         assert row.k == py_keyword(url), url
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(urls(), min_size=20, max_size=40))
+def test_enrichment_matches_python(spark, batch):
+    """``enrich`` parses the raw URL first and cleans only when needed; same answers."""
+    from clickcredit import operators as ops
+    rows = [(i, 1000 + i, "1.1.1.1", "a", u, "1", "E;A;1;5;") for i, u in enumerate(batch)]
+    df = spark.createDataFrame(rows, "event_id long, hit_ts long, ip string, user_agent string, "
+                                     "referrer string, event_list string, product_list string")
+    full = {r.event_id: r for r in ops.enrich(df).collect()}
+    attr = {r.event_id: r for r in ops.enrich(df, for_attribution=True).collect()}
+    hosts = {r.event_id: r.referrer_host for r in ops.with_referrer_host(df).collect()}
+    for i, url in enumerate(batch):
+        assert hosts[i] == py_host(url), url
+        assert full[i].domain == py_domain(url), url
+        assert full[i].keyword == py_keyword(url), url
+        assert attr[i].domain == py_domain(url), url
+        assert attr[i].keyword == (py_keyword(url) if py_domain(url) else None), url
