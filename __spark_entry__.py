@@ -13,6 +13,7 @@ All queries read the whole ``events`` table through the hit adapter of
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -154,8 +155,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_keyword_revenue(spark, SMOKE_DIR)
 
 
+def _optional(name: str):
+    """A module of the training-data operators, or None where that part isn't installed.
+
+    Only its absence is forgiven; an import that fails inside it is an error.
+    """
+    try:
+        return import_module(name)
+    except ModuleNotFoundError as e:
+        if e.name in (name, *_OPTIONAL):
+            return None
+        raise
+
+
+_OPTIONAL = ("clickcredit.llm", "clickcredit.llm.queries", "corpus_pipeline")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    found = dict(_QUERIES)
+    if llm := _optional("clickcredit.llm.queries"):
+        found |= llm.queries()
+        if pipeline := _optional("corpus_pipeline"):
+            found["pipeline"] = pipeline.run
+    return found
 
 
 # --------------------------------------------------------------------------
@@ -280,6 +302,7 @@ def oracle_sql() -> dict[str, str]:
     sess = _with(_hits_sql(), _parsed_sql(r), _enriched_sql(r), _sessions_sql(r.timeout_seconds))
     sess6 = _with(_hits_sql(), _parsed_sql(RULES_6H), _enriched_sql(RULES_6H),
                   _sessions_sql(RULES_6H.timeout_seconds))
+    llm = _optional("clickcredit.llm.queries")
     ordered = 'ORDER BY "Revenue" DESC, "Search Engine Domain", "Search Keyword"'
     return {
         "referrer_hostname": base + "SELECT event_id, host FROM parsed",
@@ -307,4 +330,4 @@ def oracle_sql() -> dict[str, str]:
             'SELECT "Search Engine Domain", "Search Keyword", printf(\'%.2f\', "Revenue") AS "Revenue" '
             f"FROM report {ordered}"),
         "keyword_group_count": sess + "SELECT count(*) AS groups FROM report",
-    }
+    } | (llm.oracle_sql() if llm else {})
