@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup
+from . import chat, decontaminate, exact_dedup, simhash
 from .shared import materialize
 
 
@@ -21,6 +21,20 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and near-duplicate component."""
+    return simhash.mark(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3).select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that copies a benchmark item, with the item and the aligned words."""
+    found = decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "similarity", "score", "item_words",
+                        "word_start", "word_end")
+
+
 #: The text of conversation -1, which holds the template's own control strings.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -86,6 +100,8 @@ FROM ends GROUP BY conv_id
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op7_simhash_dedup": op7_simhash_dedup,
+    "op9_decontaminate": op9_decontaminate,
     "op10_chat_format": op10_chat_format,
 }
 
