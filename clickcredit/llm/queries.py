@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, simhash
+from . import chat, decontaminate, exact_dedup, langid, packing, simhash
 from .shared import materialize
 
 
@@ -15,12 +15,35 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(docs: DataFrame, parts: int) -> Column:
+    """The fold of each document: ``crc32(doc_id as text) mod parts``."""
+    return F.pmod(F.crc32(docs["doc_id"].cast("string").cast("binary")), F.lit(parts))
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    """Learned from the labelled documents outside fold 1 of 3."""
+    return langid.train(docs.where(fold(docs, 3) != 1).select("text", "lang"))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    found = langid.identify(docs, language_model(docs)).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", (fold(found, 3) == 1).alias("held_out"), "lang_pred", "score",
+                        "entropy", "n_letters", "rejected")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the row of its text that stays."""
     return exact_dedup.mark(_table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its bin."""
+    return packing.pack(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and near-duplicate component."""
     return simhash.mark(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3).select(
@@ -99,7 +122,9 @@ FROM ends GROUP BY conv_id
 """
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_chat_format": op10_chat_format,
