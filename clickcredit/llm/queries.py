@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, langid, packing, simhash
-from .shared import materialize
+from . import chat, decontaminate, exact_dedup, langid, packing, simhash, token_store
+from .shared import materialize, scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +45,19 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+TOKENIZER = "word_bpe_49k.json"
+END_ID = 1
+
+
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and written, then read back from the files."""
+    path = scratch_path(spark, "tokens")
+    token_store.write_tokens(_table(spark, sf_dir, "documents"), path,
+                             public_tokenizers.path(TOKENIZER), END_ID)
+    return token_store.read_tokens(spark.read.parquet(path)).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32", "shard", "block", "block_start")
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and near-duplicate component."""
     return simhash.mark(_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3).select(
@@ -125,6 +139,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_token_store": op6_token_store,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_chat_format": op10_chat_format,
