@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, langid, packing, simhash, token_store
+from . import chat, decontaminate, exact_dedup, langid, line_dedup, packing, simhash, token_store
 from .shared import materialize, scratch_path
 
 
@@ -65,6 +65,16 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that an earlier place has, and which lines went."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    removed = F.coalesce(F.col("cleaned.removed"), F.array())
+    lost = F.aggregate(removed, F.lit(0), lambda n, x: n + x["last_line"] - x["first_line"] + 1)
+    return line_dedup.clean(docs).select(
+        "doc_id", F.coalesce("cleaned.text", "text").alias("text"), removed.alias("removed"),
+        F.size(F.split("text", "\n")).alias("n_lines"), lost.alias("n_removed"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that copies a benchmark item, with the item and the aligned words."""
     found = decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -141,6 +151,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_token_store": op6_token_store,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_line_dedup": op8_line_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_chat_format": op10_chat_format,
 }
