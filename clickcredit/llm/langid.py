@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import docs_col, free_name, text_of
-from .words import mix, parts_of
+from .words import HashArray, mix, parts_of
 
 ORDER = 5
 MAX_CHARS = 2_000_000
@@ -112,36 +112,6 @@ def row_hashes(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-@dataclass
-class HashArray:
-    """Sorted 64-bit keys with a row of values each, found by their leading bits."""
-
-    keys: np.ndarray
-    values: np.ndarray
-    shift: int = field(init=False)
-    first: np.ndarray = field(init=False)
-
-    def __post_init__(self) -> None:
-        bits = max(1, len(self.keys).bit_length())
-        self.shift = 64 - bits
-        edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(self.shift)
-        self.first = np.append(np.searchsorted(self.keys, edges), len(self.keys)).astype(np.int32)
-
-    def find(self, queries: np.ndarray) -> np.ndarray:
-        """Index of each query, -1 for unknown ones."""
-        cell = (queries >> np.uint64(self.shift)).astype(np.int64)
-        at, end = self.first[cell], self.first[cell + 1]
-        out = np.full(len(queries), -1, np.int32)
-        live = np.flatnonzero(at < end)
-        at, end, wanted = at[live], end[live], queries[live]
-        while len(live):
-            same = self.keys[at] == wanted
-            out[live[same]] = at[same]
-            more = ~same & (at + 1 < end)
-            live, at, end, wanted = live[more], at[more] + 1, end[more], wanted[more]
-        return out
-
-
 @dataclass
 class Model:
     """Kneser-Ney models of several languages. ``grams[k - 1]`` and ``contexts[k - 1]`` are of order k."""

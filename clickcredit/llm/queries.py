@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, langid, line_dedup, packing, simhash, token_store
+from . import chat, decontaminate, exact_dedup, langid, line_dedup, ngram_lm, packing, simhash, token_store
 from .shared import materialize, scratch_path
 
 
@@ -45,6 +45,15 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the model of the documents outside fold 0 of 10."""
+    docs = _table(spark, sf_dir, "documents")
+    model = ngram_lm.train(docs.where(fold(docs, 10) != 0))
+    found = ngram_lm.score(docs, model).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", (fold(found, 10) == 0).alias("held_out"), "n_tokens", "n_known",
+                        "train_tokens", "base_score", "score")
+
+
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
@@ -149,6 +158,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_lm_score": op5_lm_score,
     "op6_token_store": op6_token_store,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_line_dedup": op8_line_dedup,

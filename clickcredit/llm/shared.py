@@ -36,6 +36,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_shared_file(spark: SparkSession, name: str, data: bytes) -> str:
+    """Write a file of bounded size to the shared folder, through the file system it is on."""
+    path = scratch_path(spark, name)
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+    try:
+        for at in range(0, len(data), 1 << 22):
+            out.write(bytearray(data[at:at + (1 << 22)]))
+    finally:
+        out.close()
+    return path
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it (in any case)."""
     taken = {c.lower() for c in df.columns}
