@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, langid, line_dedup, ngram_lm, packing, simhash, token_store
+from . import chat, decontaminate, exact_dedup, langid, line_dedup, ngram_lm, packing, secret_scan, simhash, token_store
 from .shared import materialize, scratch_path
 
 
@@ -45,6 +45,34 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+#: The tables hold no labelled findings. These formats stand in for the issuers that would
+#: confirm a finding (fixed values: what the test documents' secrets look like).
+CONFIRMED = r"^AKIA[0-9A-Z]{16}$"
+CONFIRMED_VALUE = r"^[0-9a-f]{18,40}$"
+CONFIRMED_BEFORE = r"(password=|token = \")$"
+
+
+def labelled_findings(findings: DataFrame) -> DataFrame:
+    """Findings outside fold 1 of 3, with the stand-in label."""
+    secret = F.col("candidate").rlike(CONFIRMED) | (
+        F.col("candidate").rlike(CONFIRMED_VALUE) & F.col("before").rlike(CONFIRMED_BEFORE))
+    learned = findings.withColumnRenamed("id", "doc_id")
+    return learned.where(fold(learned, 3) != 1).withColumnRenamed("doc_id", "id").withColumn(
+        "label", secret.cast("int"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document with the forest's verdict; its text only as a digest."""
+    docs = _table(spark, sf_dir, "documents")
+    findings = secret_scan.candidates(docs)
+    model = secret_scan.train(labelled_findings(findings), docs)
+    judged = secret_scan.judge(findings, model).withColumnRenamed("id", "doc_id")
+    return judged.select(
+        "doc_id", "start", F.length("candidate").alias("n_chars"), F.left("candidate", F.lit(4)).alias("prefix"),
+        F.sha2("candidate", 256).alias("candidate_sha256"), (fold(judged, 3) == 1).alias("held_out"),
+        "probability", "is_secret")
+
+
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by the model of the documents outside fold 0 of 10."""
     docs = _table(spark, sf_dir, "documents")
@@ -158,6 +186,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_secret_scan": op4_secret_scan,
     "op5_lm_score": op5_lm_score,
     "op6_token_store": op6_token_store,
     "op7_simhash_dedup": op7_simhash_dedup,
