@@ -2,12 +2,14 @@
 
 ``entry(spark)`` runs the flagship on sf0.001; ``queries()`` maps each
 operator of the inventory to a ``(spark, sf_dir) -> DataFrame`` callable;
-``oracle_sql()`` gives, for each, an independent DuckDB query over the same
-tables. The oracle uses the literal per-visitor window and self-join form
-of the attribution, so it also checks the bucketed session plan.
-
-All queries read the whole ``events`` table through the hit adapter of
-``clickcredit.sources.events`` (the test tables hold no web hits).
+``oracle_sql()`` gives, for each, a DuckDB query over the same tables. The
+oracle shares nothing with the library: it has its own constants and works by
+splitting into lists where the library uses patterns, and by ASOF joins on the
+visitors' own times where the library uses time buckets.
+
+The session queries read the whole ``events`` table through the hit adapter of
+``clickcredit.sources.events`` (the test tables hold no web hits). The URL
+functions also run over the URLs of the whole ``pages`` table.
 """
 
 from __future__ import annotations
@@ -27,25 +29,19 @@ from clickcredit.functions import (
     search_domain_of_host,
     search_keyword,
 )
-from clickcredit.functions.hits import NUMBER
-from clickcredit.functions.text import WHITESPACE_CLASS
+from clickcredit.operators.columns import REPORT_REVENUE
 from clickcredit.rules import DEFAULT_RULES, Rules
-from clickcredit.sources import spread_input
-from clickcredit.sources.events import REFERRERS, read_event_hits
+from clickcredit.sources.events import read_event_hits
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 TIE = "event_id"
 RULES = DEFAULT_RULES
 RULES_6H = DEFAULT_RULES.with_timeout(21600)
+# page URLs name no search engine and carry other parameters
+PAGE_RULES = Rules(engines=("example", "com", "th"), keyword_params=("ref", "page"), site_domain="example.net")
 
 
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hits, spread over the cores first when the scan gives few splits (URL parsing follows)."""
-    return spread_input(read_event_hits(spark, sf_dir))
-
-
-def _timed_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hits for the session operators, which shuffle right away: no spreading."""
     return read_event_hits(spark, sf_dir)
 
 
@@ -54,6 +50,17 @@ def _enriched(spark: SparkSession, sf_dir: str, rules: Rules = RULES,
     return ops.enrich(_hits(spark, sf_dir), rules, for_attribution=for_attribution)
 
 
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page URLs as referrers."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", F.col("url").alias("referrer"))
+
+
+def _cents(report: DataFrame) -> DataFrame:
+    """The report with its revenue in whole cents, as it is shown."""
+    return report.withColumn(REPORT_REVENUE, F.round(REPORT_REVENUE, 2))
+
+
 # --------------------------------------------------------------------------
 # queries
 
@@ -92,11 +99,11 @@ def q_enriched_hits(spark, sf_dir):
 
 
 def q_inactivity_gap(spark, sf_dir):
-    return ops.inactivity_gap(_timed_hits(spark, sf_dir), tie=TIE).select(TIE, "gap")
+    return ops.inactivity_gap(_hits(spark, sf_dir), tie=TIE).select(TIE, "gap")
 
 
 def q_session_numbers(spark, sf_dir):
-    return ops.session_numbers(_timed_hits(spark, sf_dir), RULES.timeout_seconds).select(
+    return ops.session_numbers(_hits(spark, sf_dir), RULES.timeout_seconds, tie=TIE).select(
         TIE, "session_id")
 
 
@@ -105,7 +112,7 @@ def q_first_touch(spark, sf_dir):
 
 
 def q_purchase_hits(spark, sf_dir):
-    return ops.purchase_hits(_enriched(spark, sf_dir), RULES).select(
+    return ops.purchase_hits(_enriched(spark, sf_dir), RULES, tie=TIE).select(
         TIE, "ip", "user_agent", "session_id", "revenue")
 
 
@@ -114,20 +121,34 @@ def q_attributed_purchases(spark, sf_dir):
         TIE, "domain", "keyword", "revenue")
 
 
+def _revenue(spark, sf_dir, rules=RULES):
+    return ops.keyword_revenue(_enriched(spark, sf_dir, rules), rules, tie=TIE)
+
+
 def q_keyword_revenue(spark, sf_dir):
-    return ops.keyword_revenue(_enriched(spark, sf_dir), RULES, tie=TIE)
+    return _cents(_revenue(spark, sf_dir))
 
 
 def q_keyword_revenue_6h(spark, sf_dir):
-    return ops.keyword_revenue(_enriched(spark, sf_dir, RULES_6H), RULES_6H, tie=TIE)
+    return _cents(_revenue(spark, sf_dir, RULES_6H))
 
 
 def q_keyword_report(spark, sf_dir):
-    return ops.keyword_report(q_keyword_revenue(spark, sf_dir))
+    return ops.keyword_report(_revenue(spark, sf_dir))
 
 
 def q_keyword_group_count(spark, sf_dir):
-    return ops.group_count(q_keyword_revenue(spark, sf_dir))
+    return ops.group_count(_revenue(spark, sf_dir))
+
+
+def q_page_search(spark, sf_dir):
+    """F1 to F4 on page URLs."""
+    host = F.col("referrer_host")
+    return ops.with_referrer_host(_pages(spark, sf_dir)).select(
+        "page_id", host.alias("host"),
+        is_external_search_host(host, PAGE_RULES.engines, PAGE_RULES.site_domain).alias("is_search"),
+        search_domain_of_host(host, PAGE_RULES.engines).alias("domain"),
+        search_keyword(F.col("referrer"), PAGE_RULES.keyword_params).alias("keyword"))
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -147,6 +168,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keyword_revenue_6h": q_keyword_revenue_6h,
     "keyword_report": q_keyword_report,
     "keyword_group_count": q_keyword_group_count,
+    "page_search": q_page_search,
 }
 
 
@@ -181,23 +203,52 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 # --------------------------------------------------------------------------
-# DuckDB oracle (RE2 regexes, so no look-around; split-based where Spark
-# uses regexes, window + self-join where Spark uses buckets)
+# DuckDB oracle: its own constants, lists instead of patterns, ASOF joins
+# instead of time buckets
+
+_ENGINES = ["google", "bing", "yahoo", "duckduckgo", "msn", "ask", "aol"]
+_PARAMS = ["q", "p", "query", "search"]
+_SITE = "esshopzilla.com"
+# the code points of white space
+_SPACES = [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+# the adapter's referrers, by event_id modulo 13 (12: none)
+_REFERRERS = [
+    "http://www.google.com/search?hl=en&q=Ipod&aq=f&oq=",
+    "http://search.yahoo.com/search?p=cd+player&toggle=1",
+    "http://www.bing.com/search?q=Zune%20HD&go=",
+    "https://WWW.Google.co.uk:443/search?q=&p=Fall++Through",
+    "http://www.google.com/search?hl=en",
+    "http://www.basket.com/?query=cart",
+    "http://www.facebook.com/page?q=ignored",
+    "http://www.esshopzilla.com/cart/",
+    "",
+    "http://duckduckgo.com/?q=100%25+Wool#q=frag",
+    "http://www.bing.com/search?q=+",
+    "www.google.com/search?q=noscheme",
+]
 
 
 def _sql_str(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_WS = WHITESPACE_CLASS
+def _sql_list(names: list[str]) -> str:
+    return "[" + ", ".join(map(_sql_str, names)) + "]"
+
+
+def _spaced(text: str) -> str:
+    """The text with every white-space character as a plain space."""
+    chars = " || ".join(f"chr({c})" for c in _SPACES)
+    return f"translate({text}, {chars}, repeat(' ', {len(_SPACES)}))"
 
 
 def _hits_sql() -> str:
-    slots = "\n".join(f"       WHEN {i} THEN {_sql_str(u)}" for i, u in enumerate(REFERRERS))
     return f"""hits AS (
-  SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS hit_ts,
-    concat('10.0.0.', CAST(user_id % 50 AS VARCHAR)) AS ip,
-    concat('ua-', CAST(user_id % 3 AS VARCHAR)) AS user_agent,
+  SELECT event_id,
+    CASE WHEN event_id % 101 <> 7 THEN CAST(floor(epoch(ts)) AS BIGINT) END AS hit_ts,
+    CASE WHEN event_id % 103 <> 5
+         THEN '10.' || (user_id // 65536 % 256) || '.' || (user_id // 256 % 256) || '.' || (user_id % 256) END AS ip,
+    CASE WHEN event_id % 107 <> 9 THEN 'ua-' || (user_id % 3) END AS user_agent,
     CASE event_type WHEN 'purchase' THEN CASE WHEN event_id % 2 = 0 THEN '1' ELSE '2, 1' END
          WHEN 'view' THEN '2' WHEN 'click' THEN '12' WHEN 'signup' THEN '11' ELSE '' END AS event_list,
     CASE WHEN event_type <> 'purchase' THEN CASE WHEN event_type = 'view' THEN 'Electronics;Viewed;1;;' ELSE '' END
@@ -205,88 +256,98 @@ def _hits_sql() -> str:
          WHEN event_id % 7 = 1 THEN 'Electronics;Bad;1;n/a;'
          WHEN event_id % 7 = 2 THEN concat('Electronics;A;1;', CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR), ';, Electronics;B;2; 10.50 ;200=1')
          ELSE concat('Electronics;A;1;', CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR), ';') END AS product_list,
-    CASE event_id % 13
-{slots}
-       ELSE CAST(NULL AS VARCHAR) END AS referrer
+    {_sql_list(_REFERRERS)}[CAST(event_id % 13 AS INTEGER) + 1] AS referrer
   FROM events
 )"""
 
 
-def _parsed_sql(rules: Rules) -> str:
-    """Host and query text of each referrer."""
-    clean = r"regexp_replace(referrer, '^[\x00-\x20]+|[\t\r\n]', '', 'g')"
+def _parsed_sql(source: str) -> str:
+    """Host and the list of ``name=value`` parts of each referrer of ``source``."""
+    low = " || ".join(f"chr({c})" for c in range(1, 33))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    scheme_ok = (f"list_bool_and(list_transform(string_split(scheme, ''), lambda c: contains('{letters}0123456789+.-', c))) "
+                 f"AND contains('{letters}', scheme[1])")
     return f"""parsed AS (
   SELECT *,
-    CASE WHEN regexp_matches(hostinfo, '[\\[\\]]') THEN NULL
-         ELSE nullif(split_part(hostinfo, ':', 1), '') END AS host
+    CASE WHEN starts_with(place, '[') AND contains(place, ']:') THEN lower(place[2:instr(place, ']:') - 1])
+         WHEN starts_with(place, '[') AND ends_with(place, ']') THEN lower(place[2:-2])
+         WHEN contains(place, '[') OR contains(place, ']') THEN NULL
+         ELSE nullif(lower(string_split(place, ':')[1]), '') END AS host
   FROM (
-    SELECT *, regexp_replace(netloc, '^.*@', '') AS hostinfo FROM (
-      SELECT *,
-        regexp_extract(lower({clean}), '^(?:[a-z][a-z0-9+.\\-]*:)?//([^/?#]*)', 1) AS netloc,
-        regexp_extract({clean}, '^[^?#]*\\?([^#]*)', 1) AS qs
-      FROM hits))
+    SELECT *, string_split(string_split(string_split(string_split(rest, '/')[1], '?')[1], '#')[1], '@')[-1] AS place,
+      string_split(CASE WHEN contains(string_split(url, '#')[1], '?')
+        THEN substr(string_split(url, '#')[1], instr(url, '?') + 1) ELSE '' END, '&') AS parts
+    FROM (
+      SELECT *, CASE WHEN starts_with(url, '//') THEN substr(url, 3)
+          WHEN scheme <> '' AND {scheme_ok} AND starts_with(substr(url, length(scheme) + 2), '//')
+          THEN substr(url, length(scheme) + 4) ELSE '' END AS rest
+      FROM (
+        SELECT *, CASE WHEN contains(url, ':') THEN lower(string_split(url, ':')[1]) ELSE '' END AS scheme
+        FROM (SELECT *, replace(replace(replace(ltrim(referrer, {low}), chr(9), ''), chr(10), ''), chr(13), '') AS url
+              FROM {source}))))
 )"""
 
 
-def _engine_sql(rules: Rules) -> str:
-    whens = " ".join(f"WHEN contains(host, {_sql_str(e)}) THEN {_sql_str(e)}" for e in rules.engines)
-    return f"CASE {whens} END"
-
-
-def _enriched_sql(rules: Rules) -> str:
-    raws = ", ".join(
-        f"nullif(regexp_extract(qs, '(?:^|&){p}=([^&]+)', 1), '')" for p in rules.keyword_params)
-    decoded = f"url_decode(replace(coalesce({raws}), '+', ' '))"
-    keyword = f"nullif(lower(trim(regexp_replace({decoded}, '{_WS}+', ' ', 'g'))), '')"
-    field4 = f"regexp_replace(string_split(p, ';')[4], '^{_WS}+|{_WS}+$', '', 'g')"
-    revenue = (f"coalesce(list_sum(list_transform(string_split(product_list, ','), lambda p: "
-               f"CASE WHEN regexp_full_match({field4}, '{NUMBER}') THEN CAST({field4} AS DOUBLE) "
-               f"ELSE 0.0 END)), 0.0)")
-    purchase = (f"coalesce(regexp_matches(event_list, '(?:^|,){_WS}*{rules.purchase_event}{_WS}*(?:,|$)'),"
-                f" false)")
+def _enriched_sql(engines: list[str] = _ENGINES, params: list[str] = _PARAMS, site: str = _SITE,
+                  hit_columns: bool = True) -> str:
+    raw = ("list_extract(list_filter(list_transform({params}, lambda p: list_extract(list_filter(parts, "
+           "lambda x: starts_with(x, p || '=') AND length(x) > length(p) + 1), 1)[length(p) + 2:]), "
+           "lambda v: v IS NOT NULL AND v <> ''), 1)").format(params=_sql_list(params))
+    words = f"list_filter(string_split({_spaced('decoded')}, ' '), lambda w: w <> '')"
+    field = f"trim({_spaced('string_split(p, chr(59))[4]')})"
+    number = (f"CASE WHEN list_bool_and(list_transform(string_split({field}, ''), "
+              f"lambda c: contains('0123456789.+-eE', c))) THEN coalesce(TRY_CAST({field} AS DOUBLE), 0.0) ELSE 0.0 END")
+    hits = f""",
+    coalesce(list_contains(list_transform(string_split(event_list, ','), lambda e: trim({_spaced('e')})), '1'), false)
+      AS is_purchase,
+    coalesce(list_sum(list_transform(string_split(product_list, ','), lambda p: {number})), 0.0) AS revenue"""
     return f"""enriched AS (
   SELECT *,
     CASE WHEN engine IS NULL THEN NULL
          WHEN list_position(labels, engine) IS NOT NULL
            THEN array_to_string(labels[list_position(labels, engine):], '.')
          ELSE host END AS domain,
-    {keyword} AS keyword,
-    {purchase} AS is_purchase,
-    {revenue} AS revenue
-  FROM (SELECT *, {_engine_sql(rules)} AS engine, string_split(host, '.') AS labels FROM parsed)
+    coalesce(engine IS NOT NULL AND NOT contains(host, {_sql_str(site)}), false) AS is_search,
+    nullif(lower(array_to_string({words}, ' ')), '') AS keyword{hits if hit_columns else ''}
+  FROM (SELECT *, list_extract(list_filter({_sql_list(engines)}, lambda e: contains(host, e)), 1) AS engine,
+          string_split(host, '.') AS labels, url_decode(replace({raw}, '+', ' ')) AS decoded
+        FROM parsed)
 )"""
 
 
 def _sessions_sql(timeout: int) -> str:
-    return f"""gaps AS (
-  SELECT *, hit_ts - lag(hit_ts) OVER (PARTITION BY ip, user_agent ORDER BY hit_ts, event_id) AS gap
-  FROM enriched WHERE hit_ts IS NOT NULL
+    """A time starts a session if the visitor's latest time before it is too long ago; a hit is in
+    the session of the latest start that is not after it. A hit without a time is alone."""
+    return f"""visits AS (
+  SELECT *, struct_pack(a := coalesce(ip, ''), b := ip IS NULL, c := coalesce(user_agent, ''), d := user_agent IS NULL)
+    AS visitor
+  FROM enriched
 ),
-sessions AS (
-  SELECT *, CAST(sum(CASE WHEN gap > {timeout} OR gap IS NULL THEN 1 ELSE 0 END) OVER (
-      PARTITION BY ip, user_agent ORDER BY hit_ts, event_id
-      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_id
-  FROM gaps
+moments AS (SELECT DISTINCT visitor, hit_ts FROM visits WHERE hit_ts IS NOT NULL),
+starts AS (
+  SELECT m.visitor, m.hit_ts, row_number() OVER (PARTITION BY m.visitor ORDER BY m.hit_ts) AS session_id
+  FROM moments m ASOF LEFT JOIN moments b ON m.visitor = b.visitor AND m.hit_ts > b.hit_ts
+  WHERE b.hit_ts IS NULL OR m.hit_ts > b.hit_ts + {timeout}
 ),
-first_touch AS (
-  SELECT ip, user_agent, session_id, domain, keyword FROM (
-    SELECT *, row_number() OVER (PARTITION BY ip, user_agent, session_id ORDER BY hit_ts, event_id) AS rn
-    FROM sessions WHERE domain IS NOT NULL AND keyword IS NOT NULL)
-  WHERE rn = 1
+numbered AS (
+  SELECT v.*, s.session_id FROM (SELECT * FROM visits WHERE hit_ts IS NOT NULL) v
+  ASOF JOIN starts s ON v.visitor = s.visitor AND v.hit_ts >= s.hit_ts
+  UNION ALL SELECT *, -1 - event_id FROM visits WHERE hit_ts IS NULL
 ),
-purchases AS (
-  SELECT event_id, ip, user_agent, session_id, revenue FROM sessions
-  WHERE is_purchase AND revenue > 0
+touches AS (
+  SELECT visitor, session_id, any_value(ip) AS ip, any_value(user_agent) AS user_agent,
+    arg_min(struct_pack(domain := domain, keyword := keyword), struct_pack(t := coalesce(hit_ts, 0), e := event_id)) AS touch
+  FROM numbered WHERE domain IS NOT NULL AND keyword IS NOT NULL GROUP BY visitor, session_id
 ),
-attributed AS (
-  SELECT p.event_id, ft.domain, ft.keyword, p.revenue
-  FROM purchases p JOIN first_touch ft
-    ON p.ip = ft.ip AND p.user_agent = ft.user_agent AND p.session_id = ft.session_id
+paid AS (SELECT * FROM numbered WHERE is_purchase AND revenue > 0),
+credited AS (
+  SELECT p.event_id, t.touch.domain AS domain, t.touch.keyword AS keyword, p.revenue
+  FROM paid p JOIN touches t ON p.visitor = t.visitor AND p.session_id = t.session_id
+  WHERE p.ip IS NOT NULL AND p.user_agent IS NOT NULL
 ),
 report AS (
-  SELECT domain AS "Search Engine Domain", keyword AS "Search Keyword",
-         round(sum(revenue), 2) AS "Revenue"
-  FROM attributed GROUP BY domain, keyword
+  SELECT domain AS "Search Engine Domain", keyword AS "Search Keyword", sum(revenue) AS total
+  FROM credited GROUP BY domain, keyword
 )"""
 
 
@@ -295,20 +356,16 @@ def _with(*ctes: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    r = RULES
-    base = _with(_hits_sql(), _parsed_sql(r), _enriched_sql(r))
-    flag_terms = " OR ".join(f"contains(host, {_sql_str(e)})" for e in r.engines)
-    site = f" AND NOT contains(host, {_sql_str(r.site_domain)})" if r.site_domain else ""
-    sess = _with(_hits_sql(), _parsed_sql(r), _enriched_sql(r), _sessions_sql(r.timeout_seconds))
-    sess6 = _with(_hits_sql(), _parsed_sql(RULES_6H), _enriched_sql(RULES_6H),
-                  _sessions_sql(RULES_6H.timeout_seconds))
+    base = _with(_hits_sql(), _parsed_sql("hits"), _enriched_sql())
+    pages = _with("links AS (SELECT page_id, url AS referrer FROM (SELECT page_id, url FROM pages))",
+                  _parsed_sql("links"), _enriched_sql(["example", "com", "th"], ["ref", "page"], "example.net", False))
+    sess, sess6 = (_with(_hits_sql(), _parsed_sql("hits"), _enriched_sql(), _sessions_sql(t)) for t in (1800, 21600))
     llm = _optional("clickcredit.llm.queries")
-    ordered = 'ORDER BY "Revenue" DESC, "Search Engine Domain", "Search Keyword"'
+    ordered = 'ORDER BY total DESC, "Search Engine Domain", "Search Keyword"'
+    revenue = f'SELECT "Search Engine Domain", "Search Keyword", round(total, 2) AS "Revenue" FROM report {ordered}'
     return {
         "referrer_hostname": base + "SELECT event_id, host FROM parsed",
-        "search_referrer_flag": base + (
-            f"SELECT event_id, coalesce(host IS NOT NULL AND ({flag_terms}){site}, false) "
-            "AS is_search FROM parsed"),
+        "search_referrer_flag": base + "SELECT event_id, is_search FROM enriched",
         "search_domain": base + "SELECT event_id, domain FROM enriched",
         "search_keyword": base + "SELECT event_id, keyword FROM enriched",
         "purchase_flag": base + "SELECT event_id, is_purchase FROM enriched",
@@ -318,16 +375,16 @@ def oracle_sql() -> dict[str, str]:
         "inactivity_gap": _with(_hits_sql()) + (
             "SELECT event_id, hit_ts - lag(hit_ts) OVER (PARTITION BY ip, user_agent "
             "ORDER BY hit_ts NULLS LAST, event_id) AS gap FROM hits"),
-        "session_numbers": sess + (
-            "SELECT event_id, session_id FROM sessions "
-            "UNION ALL SELECT event_id, CAST(NULL AS BIGINT) FROM hits WHERE hit_ts IS NULL"),
-        "first_touch": sess + "SELECT ip, user_agent, session_id, domain, keyword FROM first_touch",
-        "purchase_hits": sess + "SELECT event_id, ip, user_agent, session_id, revenue FROM purchases",
-        "attributed_purchases": sess + "SELECT event_id, domain, keyword, revenue FROM attributed",
-        "keyword_revenue": sess + f"SELECT * FROM report {ordered}",
-        "keyword_revenue_6h": sess6 + f"SELECT * FROM report {ordered}",
+        "session_numbers": sess + "SELECT event_id, session_id FROM numbered",
+        "first_touch": sess + (
+            "SELECT ip, user_agent, session_id, touch.domain AS domain, touch.keyword AS keyword FROM touches"),
+        "purchase_hits": sess + "SELECT event_id, ip, user_agent, session_id, revenue FROM paid",
+        "attributed_purchases": sess + "SELECT event_id, domain, keyword, revenue FROM credited",
+        "keyword_revenue": sess + revenue,
+        "keyword_revenue_6h": sess6 + revenue,
         "keyword_report": sess + (
-            'SELECT "Search Engine Domain", "Search Keyword", printf(\'%.2f\', "Revenue") AS "Revenue" '
+            'SELECT "Search Engine Domain", "Search Keyword", printf(\'%.2f\', round(total, 2)) AS "Revenue" '
             f"FROM report {ordered}"),
         "keyword_group_count": sess + "SELECT count(*) AS groups FROM report",
+        "page_search": pages + "SELECT page_id, host, is_search, domain, keyword FROM enriched",
     } | (llm.oracle_sql() if llm else {})

@@ -1,7 +1,7 @@
 """Scalar column functions (F1-F8, F11): native Spark expressions only."""
 
 from .hits import epoch_seconds, hit_revenue, is_purchase, money, session_break
-from .text import WHITESPACE_CLASS, collapse_ws, strip_ws
+from .text import WHITESPACE_CLASS, collapse_ws
 from .url import (
     clean_url,
     decode_query_value,
@@ -37,5 +37,4 @@ __all__ = [
     "search_domain_of_host",
     "search_keyword",
     "session_break",
-    "strip_ws",
 ]

@@ -58,17 +58,14 @@ def epoch_seconds(c: Column, data_type: DataType | None = None) -> Column:
     """
     if isinstance(data_type, TimestampNTZType):
         micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), c)
-        return _floor_div(micros, 1_000_000)
+        second = F.lit(1_000_000).cast("bigint")
+        # whole-number arithmetic that rounds down before 1970 too
+        return F.call_function("div", micros - F.pmod(micros, second), second)
     if isinstance(data_type, TimestampType):
-        return _floor_div(F.unix_micros(c), 1_000_000)
+        return F.unix_seconds(c)
     return c.cast("bigint")
 
 
-def _floor_div(x: Column, d: int) -> Column:
-    # exact: decimal division, then floor (a double would round far timestamps)
-    return F.floor(x.cast("decimal(20,0)") / F.lit(d)).cast("bigint")
-
-
 def session_break(gap: Column, timeout_seconds: int) -> Column:
     """F8. 1 when a hit starts a new session (no previous hit, or gap > timeout)."""
     return F.when(gap.isNull() | (gap > F.lit(timeout_seconds)), 1).otherwise(0)

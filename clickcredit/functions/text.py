@@ -18,12 +18,6 @@ WHITESPACE_CLASS = (
 )
 
 
-def strip_ws(c: Column) -> Column:
-    """Remove leading and trailing whitespace of any kind."""
-    ws = WHITESPACE_CLASS
-    return F.regexp_replace(c, rf"^{ws}+|{ws}+$", "")
-
-
 def collapse_ws(c: Column) -> Column:
     """Collapse whitespace runs to one space and strip both ends."""
     return F.trim(F.regexp_replace(c, WHITESPACE_CLASS + "+", " "))

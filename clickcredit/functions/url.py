@@ -9,8 +9,9 @@ after ``//``; the host is the authority after the last ``@`` and before the
 port; the query runs from the first ``?`` to the first ``#``. Leading control
 characters and spaces, and any tab or line break, are dropped first.
 
-Known limits: bracketed IPv6 hosts give NULL; percent-encoded parameter
-names (``%71=x``) are not decoded, so they never match a keyword parameter.
+A bracketed IPv6 host gives the address without its brackets. Known limit:
+percent-encoded parameter names (``%71=x``) are not decoded, so they never
+match a keyword parameter.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ _CLEAN_RE = r"^[\x00-\x20]+|[\t\r\n]"
 # path, a query, a fragment or the end, and no bracket is left in the
 # authority. Only the extracted host is lower-cased.
 _HOST = r"^(?i:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#]*@)?([^/?#@:\[\]]*)(?![^/?#]*[\[\]])"
+# the same with an IPv6 address (and an optional zone) in brackets
+_BRACKETED = r"^(?i:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#]*@)?\[([0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*(?:%[^/?#\[\]]*)?)\](?::[^/?#\[\]]*)?(?=[/?#]|$)"
 _QUERY = r"^[^?#]*\?([^#]*)"
 _STRAY_PERCENT = r"%(?![0-9A-Fa-f]{2})"
 
@@ -44,7 +47,11 @@ def clean_url(url: Column) -> Column:
 
 def host_of_clean(clean: Column) -> Column:
     """F1 on a URL that already went through ``clean_url``."""
-    return F.nullif(F.lower(F.regexp_extract(clean, _HOST, 1)), F.lit(""))
+    plain = F.lower(F.regexp_extract(clean, _HOST, 1))
+    # few URLs hold a bracket; the byte search spares the others the second pattern
+    bracketed = F.lower(F.regexp_extract(clean, _BRACKETED, 1))
+    return F.nullif(F.when(F.instr(clean, "[") > 0, F.coalesce(F.nullif(plain, F.lit("")), bracketed))
+                    .otherwise(plain), F.lit(""))
 
 
 def query_of_clean(clean: Column) -> Column:

@@ -11,7 +11,7 @@ from .attribution import (
     purchase_hits,
     rank_by_revenue,
     session_summaries,
-    touch_key,
+    touch_moment,
 )
 from .enrich import enrich, paid_purchase, valid_touch, with_hit_ts, with_referrer_host
 from .sessions import (
@@ -21,6 +21,7 @@ from .sessions import (
     number_buckets,
     session_numbers,
     time_bucket,
+    untimed_session,
     visitor_buckets,
 )
 
@@ -43,7 +44,8 @@ __all__ = [
     "session_numbers",
     "session_summaries",
     "time_bucket",
-    "touch_key",
+    "touch_moment",
+    "untimed_session",
     "valid_touch",
     "visitor_buckets",
     "with_hit_ts",

@@ -7,7 +7,6 @@ USER_AGENT = "user_agent"
 EVENT_LIST = "event_list"
 PRODUCT_LIST = "product_list"
 REFERRER = "referrer"
-EVENT_ID = "event_id"
 
 # derived hit columns
 HIT_TS = "hit_ts"
@@ -18,7 +17,6 @@ REVENUE = "revenue"
 GAP = "gap"
 SESSION_ID = "session_id"
 
-VISITOR = (IP, USER_AGENT)
 HIT_INPUT_COLUMNS = (HIT_TIME, USER_AGENT, IP, EVENT_LIST, PRODUCT_LIST, REFERRER)
 
 # report columns

@@ -24,9 +24,10 @@ Per-hit results (session number, gap) join back on the bucket key. There is
 one row per key on the bucket side, and AQE's skew-join handling splits a hot
 key on the hit side.
 
-Rows with NULL ``hit_ts`` never join a session. Each forms a session of its
-own and gets no session number (NULL), and no gap. Visitors with NULL ``ip``
-or ``user_agent`` are grouped like any other value here, as a window
+A hit with NULL ``hit_ts`` joins no session: it is a session of its own and has
+no gap. Its number is ``-1 - tie``, with ``tie`` a unique number from 0 on such
+as an event id; without a tie column it stays NULL. Visitors with NULL
+``ip`` or ``user_agent`` are grouped like any other value here, as a window
 partition would group them. Attribution drops them later.
 """
 
@@ -65,6 +66,11 @@ def visitor_hash() -> Column:
     return F.xxhash64(IP, USER_AGENT)
 
 
+def untimed_session(tie: str | None) -> Column:
+    """Session number of a hit without a time: its own, below 0, or NULL without a tie column."""
+    return (F.lit(-1) - F.col(tie) if tie else F.lit(None)).cast("bigint")
+
+
 def time_bucket(ts: Column, width: int) -> Column:
     """Start of the ``width``-second bucket holding ``ts`` (floor, also below 0)."""
     return ts - F.pmod(ts, F.lit(width).cast("bigint"))
@@ -116,29 +122,46 @@ def visitor_buckets(hits: DataFrame, timeout_seconds: int, aggs: tuple[Column, .
     return number_buckets(grouped, timeout_seconds, partition_cols=(VISITOR_HASH, IP, USER_AGENT))
 
 
-def attach_session_ids(hits: DataFrame, targets: DataFrame, timeout_seconds: int,
-                       bucket_seconds: int | None = None) -> DataFrame:
-    """Add ``session_id`` to ``targets``, with sessions formed from all ``hits``.
+def same_bucket(hits: DataFrame, buckets: DataFrame) -> Column:
+    """Join condition of hits with ``_visitor_hash, _bucket`` and a table of ``_s_*`` bucket keys.
 
-    ``targets`` is usually a filtered subset of ``hits`` (e.g. purchases);
-    session boundaries always come from every hit of the visitor.
+    The visitor hash and the bucket are the keys; visitor columns compare null-safely.
     """
+    return key_match(hits, buckets, [(IP, "_s_ip"), (USER_AGENT, "_s_ua")],
+                     strict=((VISITOR_HASH, "_s_hash"), (BUCKET, "_s_bucket")))
+
+
+def bucket_keys() -> list[Column]:
+    """The keys of a bucket table under the names that ``same_bucket`` joins on."""
+    return [F.col(VISITOR_HASH).alias("_s_hash"), F.col(IP).alias("_s_ip"),
+            F.col(USER_AGENT).alias("_s_ua"), F.col(BUCKET).alias("_s_bucket")]
+
+
+def attach_session_ids(hits: DataFrame, timeout_seconds: int, only: Column | None = None,
+                       tie: str | None = None, bucket_seconds: int | None = None) -> DataFrame:
+    """Add ``session_id`` to the hits, or to those that ``only`` selects.
+
+    Session boundaries always come from every hit of the visitor. With
+    ``only``, buckets without a selected hit leave the plan before the join.
+    """
+    hits = with_hit_ts(hits)
     width = bucket_width(timeout_seconds, bucket_seconds)
-    buckets = visitor_buckets(hits, timeout_seconds, bucket_seconds=width).select(
-        F.col(IP).alias("_s_ip"), F.col(USER_AGENT).alias("_s_ua"),
-        F.col(BUCKET).alias("_s_bucket"), F.col(SESSION_ID).alias("_s_session"))
-    keyed = with_hit_ts(targets).withColumn(BUCKET, time_bucket(F.col(HIT_TS), width))
-    on = key_match(keyed, buckets, [(IP, "_s_ip"), (USER_AGENT, "_s_ua")],
-                   strict=((BUCKET, "_s_bucket"),))
-    joined = keyed.join(buckets, on, "left")
-    return (joined.withColumn(SESSION_ID, F.col("_s_session"))
-            .drop(BUCKET, "_s_ip", "_s_ua", "_s_bucket", "_s_session"))
-
-
-def session_numbers(hits: DataFrame, timeout_seconds: int,
+    wanted = () if only is None else (F.max(F.coalesce(only, F.lit(False))).alias("_wanted"),)
+    buckets = visitor_buckets(hits, timeout_seconds, wanted, width)
+    if only is not None:
+        buckets = buckets.where("_wanted")
+        hits = hits.where(only)
+    buckets = buckets.select(*bucket_keys(), F.col(SESSION_ID).alias("_s_session"))
+    keyed = hits.withColumns({VISITOR_HASH: visitor_hash(), BUCKET: time_bucket(F.col(HIT_TS), width)})
+    joined = keyed.join(buckets, same_bucket(keyed, buckets), "left")
+    session = F.when(F.col(HIT_TS).isNull(), untimed_session(tie)).otherwise(F.col("_s_session"))
+    return joined.select(*[c for c in hits.columns if c != SESSION_ID], session.alias(SESSION_ID))
+
+
+def session_numbers(hits: DataFrame, timeout_seconds: int, tie: str | None = None,
                     bucket_seconds: int | None = None) -> DataFrame:
     """W2. Every hit plus its visitor's ``session_id`` (1, 2, ... in time order)."""
-    return attach_session_ids(hits, hits, timeout_seconds, bucket_seconds)
+    return attach_session_ids(hits, timeout_seconds, tie=tie, bucket_seconds=bucket_seconds)
 
 
 def inactivity_gap(hits: DataFrame, tie: str,
@@ -150,36 +173,38 @@ def inactivity_gap(hits: DataFrame, tie: str,
     without a time get NULL, and a hit at the same second as the one
     before it gets 0.
 
-    Work is done on the distinct ``(visitor, second)`` times. Each time gets
-    its predecessor from a window over its ``(visitor, bucket)``, which holds
-    at most ``bucket_seconds`` rows. The first time of a bucket takes the last
-    time of the visitor's previous bucket instead.
+    Work is done on the distinct ``(visitor, second)`` times. Each bucket also
+    gets the last time of the visitor's previous bucket, from a window over
+    buckets, as a row of its own. Then one window over ``(visitor, bucket)``, of
+    at most ``bucket_seconds + 1`` rows, gives each time its predecessor. The
+    distinct times feed both windows through one exchange.
     """
     width = int(bucket_seconds)
     if width < 1:
         raise ValueError("bucket_seconds must be at least 1")
-    hits = with_hit_ts(hits)
+    hits = with_hit_ts(hits).withColumn(VISITOR_HASH, visitor_hash())
+    visitor = (VISITOR_HASH, IP, USER_AGENT)
     times = (hits.where(F.col(HIT_TS).isNotNull())
-             .groupBy(IP, USER_AGENT, HIT_TS).agg(F.min(tie).alias("_first_tie"))
+             .groupBy(*visitor, HIT_TS).agg(F.min(tie).alias("_first_tie"))
              .withColumn(BUCKET, time_bucket(F.col(HIT_TS), width)))
-    within = Window.partitionBy(IP, USER_AGENT, BUCKET).orderBy(HIT_TS)
-    times = times.withColumn("_prev_in", F.lag(HIT_TS).over(within))
-
-    across = Window.partitionBy(IP, USER_AGENT).orderBy(BUCKET)
-    lasts = (times.groupBy(IP, USER_AGENT, BUCKET).agg(F.max(HIT_TS).alias(LAST_TS))
-             .withColumn("_prev_bucket", F.lag(LAST_TS).over(across))
-             .select(F.col(IP).alias("_l_ip"), F.col(USER_AGENT).alias("_l_ua"),
-                     F.col(BUCKET).alias("_l_bucket"), "_prev_bucket"))
-    on = key_match(times, lasts, [(IP, "_l_ip"), (USER_AGENT, "_l_ua")],
-                   strict=((BUCKET, "_l_bucket"),))
-    prev = (times.join(lasts, on, "inner")
-            .select(F.col(IP).alias("_t_ip"), F.col(USER_AGENT).alias("_t_ua"),
-                    F.col(HIT_TS).alias("_t_ts"), "_first_tie",
-                    F.coalesce("_prev_in", "_prev_bucket").alias("_prev")))
-
-    on = key_match(hits, prev, [(IP, "_t_ip"), (USER_AGENT, "_t_ua")],
-                   strict=((HIT_TS, "_t_ts"),))
+
+    across = Window.partitionBy(*visitor).orderBy(BUCKET)
+    # the tie is carried, though not used, so that both branches read the same exchange
+    before = (times.groupBy(*visitor, BUCKET)
+              .agg(F.max(HIT_TS).alias(LAST_TS), F.min("_first_tie").alias("_first_tie"))
+              .withColumn(HIT_TS, F.lag(LAST_TS).over(across))
+              .where(F.col(HIT_TS).isNotNull()))
+    columns = (*visitor, BUCKET, HIT_TS, "_first_tie")
+    both = times.select(*columns, F.lit(True).alias("_own")).unionByName(
+        before.select(*columns, F.lit(False).alias("_own")))
+    within = Window.partitionBy(*visitor, BUCKET).orderBy(HIT_TS)
+    prev = (both.withColumn("_prev", F.lag(HIT_TS).over(within)).where("_own")
+            .select(F.col(VISITOR_HASH).alias("_s_hash"), F.col(IP).alias("_s_ip"),
+                    F.col(USER_AGENT).alias("_s_ua"), F.col(HIT_TS).alias("_s_ts"), "_first_tie", "_prev"))
+    on = key_match(hits, prev, [(IP, "_s_ip"), (USER_AGENT, "_s_ua")],
+                   strict=((VISITOR_HASH, "_s_hash"), (HIT_TS, "_s_ts")))
     joined = hits.join(prev, on, "left")
     gap = (F.when(F.col(tie) == F.col("_first_tie"), F.col(HIT_TS) - F.col("_prev"))
            .when(F.col("_first_tie").isNotNull(), F.lit(0).cast("bigint")))
-    return joined.withColumn(GAP, gap).drop("_t_ip", "_t_ua", "_t_ts", "_first_tie", "_prev")
+    return joined.withColumn(GAP, gap).drop("_s_hash", "_s_ip", "_s_ua", "_s_ts", "_first_tie", "_prev",
+                                            VISITOR_HASH)

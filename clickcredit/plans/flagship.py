@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import enrich, keyword_report, keyword_revenue
 from ..rules import DEFAULT_RULES, Rules
-from ..sources import read_hits, report_name, spread_input, write_report
+from ..sources import read_hits, read_hits_parquet, report_name, write_report
 
 
 def search_revenue(hits: DataFrame, rules: Rules = DEFAULT_RULES, tie: str | None = None,
@@ -38,12 +38,19 @@ def search_revenue(hits: DataFrame, rules: Rules = DEFAULT_RULES, tie: str | Non
 
 def run_report(spark: SparkSession, input_path: str, output_root: str,
                rules: Rules = DEFAULT_RULES, execution_date: datetime | None = None,
-               multi_line: bool = False) -> str:
-    """S1 -> Q1 -> S4/S5. Returns the report directory that was written."""
-    hits = spread_input(read_hits(spark, input_path, multi_line=multi_line))
-    report = search_revenue(hits, rules)
+               multi_line: bool = False, parquet: bool = False, single_file: bool = False,
+               repartition: int | None = None) -> str:
+    """S1 -> Q1 -> S4/S5. Returns the report directory that was written.
+
+    ``repartition`` deals the hits to that many tasks before they are parsed.
+    It shuffles all of them, so it is only for input that can't be split, such
+    as one large gzip file.
+    """
+    hits = read_hits_parquet(spark, input_path) if parquet else read_hits(spark, input_path, multi_line)
+    if repartition:
+        hits = hits.repartition(repartition)
     target = f"{output_root.rstrip('/')}/{report_name(execution_date)}"
-    write_report(report, target)
+    write_report(search_revenue(hits, rules), target, single_file=single_file)
     return target
 
 

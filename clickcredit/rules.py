@@ -21,8 +21,6 @@ DEFAULT_SITE_DOMAIN = "esshopzilla.com"
 DEFAULT_TIMEOUT_SECONDS = 1800
 # Event code of a purchase in the comma-separated event list:
 PURCHASE_EVENT = "1"
-# Column names of the report:
-REPORT_COLUMNS = ("Search Engine Domain", "Search Keyword", "Revenue")
 # Suffix of the dated report name, ``YYYY-mm-dd_<suffix>``:
 REPORT_NAME_SUFFIX = "SearchKeywordPerformance.tab"
 # ----------------------------------------------------------------------------

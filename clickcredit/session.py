@@ -1,13 +1,10 @@
 """SparkSession with the settings the plans are designed for.
 
-On a cluster the session usually exists already; ``configure`` only sets
-what is still unset and never overrides the cluster's checkpoint folder.
+On a cluster the session usually exists already and is used as it is.
 """
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -21,7 +18,7 @@ DEFAULTS = {
 def get_session(master: str | None = None, app_name: str = "clickcredit",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
-    """Build or reuse a session; local runs get the UI off and a scratch checkpoint dir."""
+    """Build or reuse a session; local runs get the UI off."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
@@ -31,21 +28,4 @@ def get_session(master: str | None = None, app_name: str = "clickcredit",
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Use ``spark.checkpoint.dir`` when the cluster names one.
-
-    Only a local-mode session (tests) without one gets a scratch folder; on a
-    cluster a machine-local folder would be wrong, so it stays unset there.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured and spark.sparkContext.master.startswith("local"):
-        configured = tempfile.mkdtemp(prefix="clickcredit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if configured and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    return builder.getOrCreate()

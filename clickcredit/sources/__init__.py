@@ -2,7 +2,6 @@
 
 from .events import hits_from_events, read_event_hits
 from .hits_file import read_hits, read_hits_parquet, report_name, write_report
-from .layout import spread_input
 
 __all__ = [
     "hits_from_events",
@@ -10,6 +9,5 @@ __all__ = [
     "read_hits",
     "read_hits_parquet",
     "report_name",
-    "spread_input",
     "write_report",
 ]

@@ -1,9 +1,9 @@
 """Stand-in hits built from the driver's ``events`` table.
 
 The test tables hold no web hits, so this adapter maps each event to one
-hit, in the hit schema: a visitor from ``user_id``, an event list and
+hit, in the hit schema: a visitor from the whole ``user_id``, an event list and
 product list from ``event_type`` and ``value``, and a referrer drawn from a
-fixed mix. The referrers cover plain, percent- and plus-coded keywords,
+fixed mix. A few hits have no time, no ``ip`` or no ``user_agent``. The referrers cover plain, percent- and plus-coded keywords,
 parameter fall-through, an upper-case host with a port, a substring engine,
 a search without a keyword, non-search and own-site referrers, and empty,
 NULL and scheme-less referrers.
@@ -45,6 +45,10 @@ def _referrer_sql() -> str:
     return f"CASE event_id % 13 {slots} ELSE CAST(NULL AS STRING) END"
 
 
+_IP = """CASE WHEN event_id % 103 <> 5 THEN concat_ws('.', '10',
+    CAST(user_id DIV 65536 % 256 AS STRING), CAST(user_id DIV 256 % 256 AS STRING),
+    CAST(user_id % 256 AS STRING)) END"""
+_AGENT = "CASE WHEN event_id % 107 <> 9 THEN concat('ua-', CAST(user_id % 3 AS STRING)) END"
 _PRICE = "CAST(CAST(value AS DECIMAL(12,2)) AS STRING)"
 _EVENT_LIST = """CASE event_type
     WHEN 'purchase' THEN CASE WHEN event_id % 2 = 0 THEN '1' ELSE '2, 1' END
@@ -65,11 +69,10 @@ def hits_from_events(events: DataFrame) -> DataFrame:
     Written as one SQL projection: it is a fixed row mapping, and one
     expression string is also far cheaper to build than many Column calls.
     """
-    hit_ts = epoch_seconds(F.col("ts"), events.schema["ts"].dataType).alias("hit_ts")
+    seconds = epoch_seconds(F.col("ts"), events.schema["ts"].dataType)
     return events.select(
-        "event_id", hit_ts,
-        F.expr("concat('10.0.0.', CAST(user_id % 50 AS STRING))").alias("ip"),
-        F.expr("concat('ua-', CAST(user_id % 3 AS STRING))").alias("user_agent"),
+        "event_id", F.when(F.expr("event_id % 101 <> 7"), seconds).alias("hit_ts"),
+        F.expr(_IP).alias("ip"), F.expr(_AGENT).alias("user_agent"),
         F.expr(_EVENT_LIST).alias("event_list"),
         F.expr(_PRODUCT_LIST).alias("product_list"),
         F.expr(_referrer_sql()).alias("referrer"),

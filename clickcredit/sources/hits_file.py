@@ -28,9 +28,10 @@ def read_hits(spark: SparkSession, path: str | list[str], multi_line: bool = Fal
     Fields may be quoted with ``"`` and quotes doubled inside them; CRLF and
     LF line ends both work. Columns are bound by header name. The six the
     attribution needs (plus ``keep``) are selected, so a missing one is an
-    analysis error, and the CSV reader parses only those columns. Set
-    ``multi_line`` only when quoted fields hold line breaks: it makes each
-    file a single task.
+    analysis error. All files of a call must have the same header: Spark binds
+    columns by the first one, so a file whose header differs is an error when
+    it is read, never columns that are silently swapped. Set ``multi_line``
+    only when quoted fields hold line breaks: it makes each file a single task.
     """
     raw = (spark.read
            .option("sep", "\t")
@@ -40,6 +41,7 @@ def read_hits(spark: SparkSession, path: str | list[str], multi_line: bool = Fal
            .option("escape", '"')
            .option("multiLine", multi_line)
            .option("mode", "PERMISSIVE")
+           .option("enforceSchema", False)
            .csv(path))
     return raw.select(*HIT_INPUT_COLUMNS, *keep)
 
@@ -58,16 +60,19 @@ def report_name(execution_date: datetime | None = None) -> str:
 
 
 def write_report(report: DataFrame, path: str, formatted: bool = True,
-                 single_file: bool = True) -> None:
+                 single_file: bool = False) -> None:
     """S4. Write the report as tab-separated text with a header.
 
-    ``path`` is a directory. With ``single_file`` (the original tool's
-    output) Spark writes one ``part-*`` file, sorted inside that one
-    partition, so the order is certain; the report has one row per
-    (domain, keyword), so this one task is small. For very large reports,
-    ``single_file=False`` writes a globally sorted, range-partitioned set of
-    part files (in name order), each with its own header, in parallel.
-    With ``formatted`` the revenue is written as two-decimal text.
+    ``path`` is a directory. It gets a globally sorted, range-partitioned set
+    of part files (in name order), each with its own header, written in
+    parallel; keywords are free text, so the report may be large. With
+    ``single_file`` (the original tool's output) one task writes one file:
+    for reports that are known to be small. With ``formatted`` the revenue is
+    written as two-decimal text, which is where it is rounded to cents.
+
+    A field that holds a quote, a tab or a line break is written in quotes,
+    with quotes doubled (``"ipod nano"`` becomes three quotes at each end), so
+    that it reads back as it was with ``escape='"'``.
     """
     revenue_key = F.desc(REPORT_REVENUE)
     out = report

@@ -26,23 +26,23 @@ def report(spark, rows, timeout=1800, with_id=True, **kw):
     rules = DEFAULT_RULES.with_timeout(timeout)
     df = search_revenue(hits_df(spark, rows, with_id), rules,
                         tie="event_id" if with_id else None, **kw)
-    return [(r[0], r[1], r[2]) for r in df.collect()]
+    return [(r[0], r[1], round(r[2], 2)) for r in df.collect()]
 
 
 CASES = {
-    "no purchase": ([(T, "1.2.3.4", "TestBot", G.format("shoes"), "2", "")], []),
-    "no search referrer": ([(T, "1.2.3.4", "TestBot", "", "1", _buy(99))], []),
-    "timeout": ([(T, "1.2.3.4", "TestBot", G.format("shoes"), "", ""),
-                 (T + 1900, "1.2.3.4", "TestBot", SHOP, "1", _buy(120))], []),
-    "inside session": ([(T, "1.2.3.4", "TestBot", B.format("tablet"), "", ""),
-                        (T + 600, "1.2.3.4", "TestBot", SHOP, "1", _buy(350))],
-                       [("bing.com", "tablet", 350.0)]),
-    "two sessions": ([(T, "5.6.7.8", "Bot", G.format("laptop"), "", ""),
-                      (T + 300, "5.6.7.8", "Bot", SHOP, "", ""),
-                      (T + 600, "5.6.7.8", "Bot", SHOP, "1", _buy(800)),
-                      (T + 5000, "5.6.7.8", "Bot", B.format("mouse"), "", ""),
-                      (T + 5300, "5.6.7.8", "Bot", SHOP, "1", _buy(50))],
-                     [("google.com", "laptop", 800.0), ("bing.com", "mouse", 50.0)]),
+    "no purchase": ([(T, "7.7.7.1", "Probe", G.format("lamp"), "2", "")], []),
+    "no search referrer": ([(T, "7.7.7.1", "Probe", "", "1", _buy(41))], []),
+    "timeout": ([(T, "7.7.7.2", "Probe", G.format("kettle"), "", ""),
+                 (T + 2345, "7.7.7.2", "Probe", SHOP, "1", _buy(64))], []),
+    "inside session": ([(T, "7.7.7.3", "Probe", B.format("easel"), "", ""),
+                        (T + 777, "7.7.7.3", "Probe", SHOP, "1", _buy(88))],
+                       [("bing.com", "easel", 88.0)]),
+    "two sessions": ([(T, "7.7.7.4", "Reader", G.format("anvil"), "", ""),
+                      (T + 250, "7.7.7.4", "Reader", SHOP, "", ""),
+                      (T + 910, "7.7.7.4", "Reader", SHOP, "1", _buy(72)),
+                      (T + 4321, "7.7.7.4", "Reader", B.format("tongs"), "", ""),
+                      (T + 4400, "7.7.7.4", "Reader", SHOP, "1", _buy(13))],
+                     [("google.com", "anvil", 72.0), ("bing.com", "tongs", 13.0)]),
     "exactly 1800": ([(T, "1.1.1.1", "X", G.format("a"), "", ""),
                       (T + 1800, "1.1.1.1", "X", SHOP, "1", _buy(10))],
                      [("google.com", "a", 10.0)]),
@@ -59,8 +59,8 @@ CASES = {
                                (T + 60, "1.1.1.1", "X", B.format("b"), "", ""),
                                (T + 120, "1.1.1.1", "X", SHOP, "1", _buy(10))],
                               [("bing.com", "b", 10.0)]),
-    "null agent": ([(T, "1.2.3.4", None, B.format("tablet"), "", ""),
-                    (T + 600, "1.2.3.4", None, SHOP, "1", _buy(350))], []),
+    "null agent": ([(T, "7.7.7.5", None, B.format("easel"), "", ""),
+                    (T + 777, "7.7.7.5", None, SHOP, "1", _buy(88))], []),
     "same ip two agents": ([(T, "1.1.1.1", "X", G.format("a"), "", ""),
                             (T + 60, "1.1.1.1", "Y", SHOP, "1", _buy(10))], []),
     "revenue not positive": ([(T, "1.1.1.1", "X", G.format("a"), "", ""),
@@ -91,7 +91,7 @@ def test_empty_input(spark):
 
 def test_six_hour_timeout_joins_sessions(spark):
     rows = CASES["timeout"][0]
-    assert report(spark, rows, timeout=21600) == [("google.com", "shoes", 120.0)]
+    assert report(spark, rows, timeout=21600) == [("google.com", "kettle", 64.0)]
 
 
 def test_without_tie_column(spark):
@@ -107,20 +107,28 @@ def test_tie_on_equal_times_uses_tie_then_text(spark):
     assert report(spark, rows, with_id=False) == [("bing.com", "zz", 4.0)]  # 'bing' < 'google'
 
 
-def test_sample_visitors_report_order(spark):
-    """Four visitors: two buy after a search, one searches without buying."""
-    rows = [
-        (T, "67.98.123.1", "Firefox", G.format("Ipod"), "", ""),
-        (T + 100, "23.8.61.21", "Safari", B.format("Zune"), "2", "Electronics;Zune;1;;"),
-        (T + 200, "112.33.98.231", "Safari", "http://search.yahoo.com/search?p=cd+player", "", ""),
-        (T + 300, "44.12.96.2", "Chrome", "http://www.google.com/search?q=ipod", "", ""),
-        (T + 400, "67.98.123.1", "Firefox", SHOP, "2", ""),
-        (T + 500, "23.8.61.21", "Safari", SHOP, "1", "Electronics;Zune;1;250;"),
-        (T + 600, "67.98.123.1", "Firefox", SHOP, "1", "Electronics;Ipod;1;290;"),
-        (T + 700, "44.12.96.2", "Chrome", SHOP, "1", "Electronics;Ipod;1;190;"),
-        (T + 800, "112.33.98.231", "Safari", SHOP, "2", ""),
-    ]
-    assert report(spark, rows) == [("google.com", "ipod", 480.0), ("bing.com", "zune", 250.0)]
+def test_hits_without_a_time_mean_the_same_everywhere(spark):
+    """Two untimed hits of one visitor are two sessions, in every operator."""
+    rows = [(None, "1.1.1.1", "X", G.format("a"), "1", _buy(7)), (None, "1.1.1.1", "X", G.format("a"), "1", _buy(3)),
+            (T, "1.1.1.1", "X", B.format("b"), "1", _buy(5)), (None, "1.1.1.1", "X", B.format("c"), "", "")]
+    enriched = ops.enrich(hits_df(spark, rows))
+    touches = {(r.session_id, r.keyword) for r in ops.first_touch(enriched, tie="event_id").collect()}
+    assert touches == {(-1, "a"), (-2, "a"), (1, "b"), (-4, "c")}
+    numbers = {r.event_id: r.session_id for r in ops.session_numbers(enriched, 1800, tie="event_id").collect()}
+    assert numbers == {0: -1, 1: -2, 2: 1, 3: -4}
+    bought = ops.purchase_hits(enriched, tie="event_id")
+    assert {(r.event_id, r.session_id) for r in bought.collect()} == {(0, -1), (1, -2), (2, 1)}
+    joined = ops.attribute(bought, ops.first_touch(enriched, tie="event_id"))
+    assert sorted((r.keyword, r.revenue) for r in joined.collect()) == [("a", 3.0), ("a", 7.0), ("b", 5.0)]
+    assert report(spark, rows) == report(spark, rows, with_id=False) == [("google.com", "a", 10.0), ("bing.com", "b", 5.0)]
+
+
+def test_groups_rank_by_their_raw_revenue(spark):
+    rows = [(T, "1.1.1.1", "X", G.format("less"), "1", _buy("0.0041")),
+            (T, "1.1.1.2", "X", G.format("more"), "1", _buy("0.0042"))]
+    found = search_revenue(hits_df(spark, rows), tie="event_id")
+    assert [(r[1], r[2]) for r in found.collect()] == [("more", 0.0042), ("less", 0.0041)]
+    assert [r[2] for r in ops.keyword_report(found).collect()] == ["0.00", "0.00"]
 
 
 def test_bucket_width_does_not_change_sessions(spark):
@@ -209,11 +217,11 @@ def test_operators_agree_with_each_other(spark):
     """J1 (literal join of purchase_hits and first_touch) equals the bucket-join path."""
     rows = _random_hits(7, 300)
     enriched = ops.enrich(hits_df(spark, rows))
-    via_join = ops.attribute(ops.purchase_hits(enriched), ops.first_touch(enriched, tie="event_id"))
+    via_join = ops.attribute(ops.purchase_hits(enriched, tie="event_id"), ops.first_touch(enriched, tie="event_id"))
     via_buckets = ops.attributed_purchases(enriched, tie="event_id")
     cols = ["event_id", "domain", "keyword", "revenue"]
-    joined = sorted(tuple(r) for r in via_join.where("hit_ts IS NOT NULL").select(cols).collect())
-    bucketed = sorted(tuple(r) for r in via_buckets.where("hit_ts IS NOT NULL").select(cols).collect())
+    joined = sorted(tuple(r) for r in via_join.select(cols).collect())
+    bucketed = sorted(tuple(r) for r in via_buckets.select(cols).collect())
     assert joined == bucketed and joined
     total = sum(r[3] for r in via_buckets.select(cols).collect())
     report_total = sum(r[2] for r in ops.keyword_revenue(enriched, tie="event_id").collect())
@@ -225,4 +233,4 @@ def test_group_count_and_report_format(spark):
     rep = search_revenue(hits_df(spark, rows), tie="event_id")
     assert ops.group_count(rep).first().groups == 2
     text = ops.keyword_report(rep).collect()
-    assert [tuple(r) for r in text] == [("google.com", "laptop", "800.00"), ("bing.com", "mouse", "50.00")]
+    assert [tuple(r) for r in text] == [("google.com", "anvil", "72.00"), ("bing.com", "tongs", "13.00")]

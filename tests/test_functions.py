@@ -48,7 +48,11 @@ HOST_CASES = [
     ("http://tab\tbed.com/", "tabbed.com"),
     ("http://host.com#frag", "host.com"),
     ("http://host.com?x=1", "host.com"),
-    ("http://[::1]:80/", None),
+    ("http://[::1]:80/", "::1"),
+    ("http://u:p@[2001:DB8::7%25eth0]/a?b", "2001:db8::7%25eth0"),
+    ("//[1::2.3.4.5]#f", "1::2.3.4.5"),
+    ("http://[::1]x/", None),
+    ("http://[]/", None),
     ("http://host:[80/", None),
     ("http://www.host_name.com/", "www.host_name.com"),
     ("mailto:someone@example.com", None),

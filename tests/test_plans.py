@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from clickcredit import operators as ops
 from clickcredit.plans import search_revenue
-from clickcredit.sources import read_hits_parquet, spread_input
+from clickcredit.sources import read_hits_parquet
 
 T = 1_000_000
 
@@ -57,7 +57,11 @@ def test_flagship_has_no_join_and_windows_only_buckets(spark, parquet_hits):
     # the first exchange carries partial aggregates keyed by the time bucket,
     # so the per-visitor window reads bucket summaries, never raw hits
     exchanges = re.findall(r"Exchange \((\d+)\)", tree)
-    assert len(exchanges) == 4  # buckets, window, keywords, final sort
+    assert len(exchanges) == 5  # touches per bucket, buckets, window, keywords, final sort
+    assert tree.count("Scan parquet") == 1
+    # raw hits meet a hash aggregate: the aggregate nearest to the scan
+    aggregates = re.findall(r"(\w+)Aggregate", tree)
+    assert aggregates[-2:] == ["Hash", "Hash"]
     details = plan.split("\n\n")
     first_exchange = [d for d in details if d.startswith(f"({min(map(int, exchanges))}) Exchange")][0]
     assert "_bucket" in first_exchange
@@ -76,12 +80,54 @@ def test_hot_visitor_window_input_is_bounded(spark, parquet_hits):
     assert buckets.agg(F.max("session_id")).first()[0] == 1  # 111 s steps: one long session
 
 
-def test_spread_input_only_when_needed(spark, parquet_hits):
-    hits = read_hits_parquet(spark, parquet_hits)
-    few = hits.coalesce(1)
-    assert spread_input(few, 4).rdd.getNumPartitions() == 4
-    many = hits.repartition(8)
-    assert spread_input(many, 4) is many
+def test_window_of_a_bot_with_many_keywords_sees_buckets(spark):
+    """4,000 hits of one visitor in two hours, each with a keyword of its own."""
+    from clickcredit.operators import attribution
+    from conftest import hits_df
+    rows = [(T + i * 7200 // 4000, "9.9.9.9", "bot", f"http://www.google.com/search?q=k{i}", "", "") for i in range(4000)]
+    enriched = ops.enrich(hits_df(spark, rows))
+    for tie in ("event_id", None):
+        buckets = attribution._numbered_buckets(enriched, attribution.DEFAULT_RULES, tie, None).collect()
+        assert len(buckets) <= 7200 // 1800 + 2
+        assert min(r.touch for r in buckets).keyword == "k0"
+
+
+@pytest.fixture(scope="module")
+def session_queries():
+    import __spark_entry__ as entry_mod
+    from conftest import TESTDATA
+    sf = TESTDATA / "sf0.001"
+    if not sf.exists():
+        pytest.skip("test tables not present")
+    return entry_mod._QUERIES, str(sf)
+
+
+def test_no_query_deals_rows_round_robin(spark, session_queries):
+    queries, sf = session_queries
+    assert len(queries) >= 16
+    for name, query in queries.items():
+        assert "RoundRobin" not in _plan(query(spark, sf)), name
+
+
+def test_gap_reads_the_distinct_times_once(spark, session_queries):
+    queries, sf = session_queries
+    df = queries["inactivity_gap"](spark, sf)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    exchanges = len(re.findall(r"(?<!Reused)Exchange (?:hash|range|single)", final)) - final.count("ReusedExchange")
+    assert final.count("ReusedExchange") == 1 and exchanges <= 6
+    assert final.count("FileScan") == 2
+
+
+@pytest.mark.parametrize("name", ["purchase_hits", "attributed_purchases"])
+def test_only_buckets_with_a_purchase_meet_the_purchases(spark, session_queries, name):
+    queries, sf = session_queries
+    plan = _plan(queries[name](spark, sf))
+    tree = plan.split("\n\n")[0]
+    join = tree.index("Join")
+    window = tree.index("Window")
+    assert join < tree.index("Filter", join) < window  # the filter lies between the window and the join
+    assert tree.count("Scan parquet") == 2
 
 
 _PASS_THROUGH = ("Window", "Sort", "Project", "Exchange", "Filter", "AQEShuffleRead",
@@ -111,4 +157,5 @@ def test_no_window_over_raw_hits(spark, name):
         pytest.skip("test tables not present")
     inputs = _window_inputs(_plan(entry_mod.queries()[name](spark, str(sf))))
     assert inputs, "expected a window in the plan"
-    assert all(i.endswith("Aggregate") for i in inputs), inputs
+    # a union here is that of the distinct times with one row per bucket
+    assert all(i.endswith("Aggregate") or i == "Union" for i in inputs), inputs

@@ -38,7 +38,7 @@ def _model(rows, timeout):
             gap[i], sid[i], prev = g, n, ts
         for i, ts in hits:
             if ts is None:
-                gap[i], sid[i] = None, None
+                gap[i], sid[i] = None, -1 - i  # a session of its own
     return gap, sid
 
 
@@ -55,7 +55,7 @@ def test_inactivity_gap(spark, seed):
 def test_session_numbers(spark, seed, timeout):
     rows = _rows(seed, 300)
     _, expected = _model(rows, timeout)
-    got = ops.session_numbers(hits_df(spark, rows), timeout)
+    got = ops.session_numbers(hits_df(spark, rows), timeout, tie="event_id")
     assert {r.event_id: r.session_id for r in got.select("event_id", "session_id").collect()} == expected
 
 
