@@ -1,0 +1,117 @@
+from __future__ import annotations
+
+import random
+
+import xxhash
+
+from clickcredit.llm import line_dedup as L
+
+from .conftest import documents, prose
+
+
+def lines_of(text):
+    return [(i, s.strip()) for i, s in enumerate((text or "").split("\n")) if s.strip()]
+
+
+def brute(rows, least):
+    """Removed line numbers of each document by the definition, looking at all windows and positions."""
+    own = {i: lines_of(t) for i, t in rows}
+    count = {i: [len(s.split()) for _, s in x] for i, x in own.items()}
+    first, places = {}, []
+    for i in sorted(own):
+        hashes = [xxhash.xxh64_intdigest(s) for _, s in own[i]]
+        chosen = set()
+        for a in range(len(hashes)):
+            total, b = 0, a
+            while b < len(hashes) and total < least:
+                total, b = total + count[i][b], b + 1
+            if total >= least:
+                chosen.add(min(range(a, b), key=lambda q: (hashes[q], q)))
+        for q in sorted(chosen):
+            first.setdefault(own[i][q][1], (i, q))
+            places.append((i, q))
+    out = {i: set() for i in own}
+    for i, q in places:
+        j, p = first[own[i][q][1]]
+        if (j, p) == (i, q):
+            continue
+        out[i].add(q)
+        for step in (-1, 1):
+            x, y, total = q + step, p + step, 0
+            while 0 <= x < len(own[i]) and 0 <= y < len(own[j]) and own[i][x][1] == own[j][y][1] and total < least:
+                out[i].add(x)
+                total, x, y = total + count[i][x], x + step, y + step
+    removed = {}
+    for i, covered in out.items():
+        runs = []
+        for x in sorted(covered):
+            if runs and x == runs[-1][1] + 1:
+                runs[-1][1] = x
+            else:
+                runs.append([x, x])
+        gone = [(own[i][a][0], own[i][b][0]) for a, b in runs if sum(count[i][a:b + 1]) >= least]
+        if gone:
+            removed[i] = gone
+    return removed
+
+
+def removed(df, **kw):
+    return {r.doc_id: [(x.first_line, x.last_line) for x in r.cleaned.removed]
+            for r in L.clean(df, **kw).collect() if r.cleaned and r.cleaned.removed}
+
+
+def passages(seed):
+    rng = random.Random(seed)
+    shared = [[prose(1000 * seed + 10 * k + j, rng.randint(3, 30)) for j in range(rng.randint(1, 7))] for k in range(6)]
+    rows = []
+    for i in range(40):
+        text = [prose(5000 * seed + 50 * i + j, rng.randint(1, 25)) for j in range(rng.randint(0, 6))]
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randint(0, len(text))
+            text[at:at] = [x + " " * rng.randint(0, 2) for x in rng.choice(shared)] + [""] * rng.randint(0, 2)
+        rows.append((i, "\n".join(text)))
+    return rows
+
+
+def test_runs_as_by_brute_force(spark):
+    for seed in (1, 2):
+        rows = passages(seed)
+        expected = brute(rows, 50)
+        assert expected and removed(documents(spark, rows)) == expected
+        assert removed(documents(spark, rows), min_words=20) == brute(rows, 20)
+
+
+def test_every_passage_of_enough_words_stays_once(spark):
+    passage = "\n".join(prose(70 + j, 11) for j in range(6))
+    rows = [(i, f"{prose(i, 30)}\n{passage}\n\n{prose(i + 900, 30)}") for i in range(50)]
+    rows += [(60, prose(9999, 70)), (61, prose(9999, 70) + "\n" + prose(1, 9))]
+    cleaned = {r.doc_id: r.text for r in L.deduplicate(documents(spark, rows)).collect()}
+    assert passage in cleaned[0] and not any(passage in cleaned[i] for i in range(1, 50))
+    assert all(cleaned[i] == f"{prose(i, 30)}\n\n{prose(i + 900, 30)}" for i in range(1, 50))
+    assert cleaned[60] == prose(9999, 70) and cleaned[61] == prose(1, 9)
+
+
+def test_short_repeats_stay(spark):
+    rows = [(i, f"{prose(i, 60)}\nLicensed under the same terms as before\n{prose(i + 100, 60)}") for i in range(20)]
+    assert removed(documents(spark, rows)) == {}
+
+
+def test_repeats_within_a_text(spark):
+    line = prose(5, 60)
+    rows = [(1, "\n".join([line] * 5)), (2, f"{prose(6, 20)}\n{prose(7, 40)}\n{prose(6, 20)}\n{prose(7, 40)}")]
+    assert removed(documents(spark, rows)) == brute(rows, 50)
+    assert L.deduplicate(documents(spark, rows)).where("doc_id = 1").first().text == line
+
+
+def test_odd_rows(odd, nothing):
+    cleaned = L.clean(odd)
+    assert cleaned.columns == [*odd.columns, "_cleaned"]
+    out = L.deduplicate(odd)
+    assert out.schema == odd.schema
+    rows = out.collect()
+    assert len(rows) == odd.count()
+    # the null ids come first, so 5 and 6 lose the text they share with them
+    texts = sorted((r.text or "" for r in rows if r.doc_id in (5, 6)))
+    assert texts == ["", prose(2, 80), prose(2, 80)]
+    assert [r.text for r in rows if r.doc_id == 1] == [None]
+    assert L.clean(nothing).collect() == [] and L.deduplicate(nothing).collect() == []

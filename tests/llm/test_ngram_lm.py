@@ -1,0 +1,140 @@
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from clickcredit.llm import ngram_lm as M
+from clickcredit.llm.elias_fano import EliasFano, Level, map_arrays, pack_arrays, quantise, select_in_word
+
+from .conftest import documents, prose
+
+U64 = st.integers(0, 2**64 - 1)
+
+
+def sequence(values):
+    numbers, arrays = EliasFano.build(np.array(values, np.uint64))
+    return EliasFano(numbers["low_bits"], numbers["length"], arrays["low"], arrays["high"], arrays["ranks"])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(U64, st.integers(0, 200)), max_size=80), st.lists(st.one_of(U64, st.integers(0, 210)), max_size=30))
+def test_elias_fano(values, queries):
+    values = sorted(values)
+    seq = sequence(values)
+    assert seq.get(np.arange(len(values))).tolist() == values
+    queries += values
+    place, equal = seq.successor(np.array(queries, np.uint64))
+    assert place.tolist() == [sum(v < q for v in values) for q in queries]
+    assert equal.tolist() == [q in values for q in queries]
+
+
+@given(st.integers(1, 2**64 - 1))
+def test_select(word):
+    bits = [i for i in range(64) if word >> i & 1]
+    got = select_in_word(np.full(len(bits), word, np.uint64), np.arange(len(bits)))
+    assert got.tolist() == bits
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.sets(st.tuples(st.integers(0, 9), st.integers(0, 300)), max_size=60))
+def test_level(pairs):
+    pairs = sorted(pairs)
+    built = Level.build(np.array([p for p, _ in pairs], np.int64), np.array([c for _, c in pairs], np.int64), 10)
+    level = Level(*(EliasFano(n["low_bits"], n["length"], a["low"], a["high"], a["ranks"]) for n, a in (built["pointers"], built["ids"])))
+    asked = [(p, c) for p in range(10) for c in range(0, 301, 3)] + pairs
+    got = level.find(np.array([p for p, _ in asked]), np.array([c for _, c in asked]))
+    where = {x: i for i, x in enumerate(pairs)}
+    assert got.tolist() == [where.get(x, -1) for x in asked]
+
+
+def test_files_and_codes(tmp_path):
+    arrays = {"a": np.arange(5, dtype=np.int64), "none": np.empty(0), "b": np.arange(200, dtype=np.uint8)}
+    (tmp_path / "x").write_bytes(pack_arrays({"k": 1}, arrays))
+    meta, back = map_arrays(str(tmp_path / "x"))
+    assert meta == {"k": 1} and all((back[n] == arrays[n]).all() and len(back[n]) == len(arrays[n]) for n in arrays)
+    values = np.random.default_rng(1).normal(size=5000)
+    codes, book = quantise(values)
+    assert codes.dtype == np.uint8 and np.abs(book[codes] - values).mean() < 0.02
+
+
+def tokens_of(text):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return [*re.findall(r"[^\x20\x09-\x0D]+", text), "\n"]
+
+
+class Brute:
+    """The model by its formula, unquantised."""
+
+    def __init__(self, texts, share):
+        docs = [tokens_of(t) for t in texts]
+        self.c = Counter(w for d in docs for w in d)
+        self.n, self.v = sum(self.c.values()), len(self.c)
+        least = max(2, math.ceil(share * self.n))
+        self.words = {w for w, n in self.c.items() if n >= least}
+        two = Counter(p for d in docs for p in zip(d, d[1:], strict=False) if self.words.issuperset(p))
+        self.two = {p: n for p, n in two.items() if n >= least}
+        three = Counter(p for d in docs for p in zip(d, d[1:], d[2:], strict=False) if p[:2] in self.two and p[1:] in self.two)
+        self.three = {p: n for p, n in three.items() if n >= least}
+        self.left1, self.left2 = defaultdict(lambda: 1.0), defaultdict(lambda: 1.0)
+        for p, n in self.two.items():
+            self.left1[p[0]] -= (n - M.DISCOUNT) / self.c[p[0]]
+        for p, n in self.three.items():
+            self.left2[p[:2]] -= (n - M.DISCOUNT) / self.two[p[:2]]
+
+    def p1(self, w):
+        return (self.c[w] + 0.1) / (self.n + 0.1 * (self.v + 1))
+
+    def p2(self, a, w):
+        own = (self.two[a, w] - M.DISCOUNT) / self.c[a] if (a, w) in self.two else 0.0
+        return own + (self.left1[a] if a in self.words else 1.0) * self.p1(w)
+
+    def p3(self, a, b, w):
+        own = (self.three[a, b, w] - M.DISCOUNT) / self.two[a, b] if (a, b, w) in self.three else 0.0
+        return own + (self.left2[a, b] if (a, b) in self.two else 1.0) * self.p2(b, w)
+
+    def score(self, text):
+        d = tokens_of(text)
+        return sum(math.log10(self.p1(w) if k == 0 else self.p2(d[0], w) if k == 1 else self.p3(d[k - 2], d[k - 1], w))
+                   for k, w in enumerate(d))
+
+
+@pytest.mark.parametrize("share", [M.SHARE, 0.0015])
+def test_scores(spark, share):
+    rows = [(i, prose(i % 25, 5 + i)) for i in range(60)] + [(100, "New words ONLY here Alpha1"), (101, ""), (102, None), (103, "É é\x1cx")]
+    known = [t for i, t in rows if i < 45]
+    brute = Brute(known, share)
+    model = M.train(documents(spark, rows).where("doc_id < 45"), share=share)
+    got = {r.id: r for r in M.score(documents(spark, rows), model).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        d, r = tokens_of(t), got[i]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(d), sum(brute.c[w] > 0 for w in d), brute.n)
+        assert r.base_score == pytest.approx(sum(math.log10(brute.p1(w)) for w in d), rel=1e-12)
+        assert r.score == pytest.approx(brute.score(t), abs=0.05 * len(d))
+    assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
+
+
+def test_probabilities_sum_to_one():
+    brute = Brute([prose(i, 40) for i in range(20)], 0.002)
+    # every seen word, and the rest of the additive model's mass for all unseen ones
+    unseen = 0.1 / (brute.n + 0.1 * (brute.v + 1))
+    for a, b in list(brute.two)[:20] + [("nothing", "known")]:
+        back = (brute.left2[a, b] if (a, b) in brute.two else 1.0) * (brute.left1[b] if b in brute.words else 1.0)
+        assert sum(brute.p3(a, b, w) for w in brute.c) + back * unseen == pytest.approx(1.0)
+
+
+def test_odd_rows_and_no_training(spark, odd, nothing):
+    model = M.train(odd)
+    brute = Brute([r.text for r in odd.collect()], M.SHARE)
+    got = M.score(odd, model).collect()
+    assert len(got) == odd.count() and {r.train_tokens for r in got} == {brute.n}
+    assert M.score(nothing, model).collect() == []
+    untrained = M.train(nothing)
+    for r in M.score(odd, untrained).collect():
+        assert (r.n_known, r.train_tokens) == (0, 0) and r.base_score == pytest.approx(0.0) and r.score == pytest.approx(0.0)

@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+from clickcredit.llm import packing as P
+
+from .conftest import documents, prose
+
+
+def brute(lengths, sources, clusters, capacity):
+    """The tightest compatible bin by looking at all of them; of equal ones the oldest."""
+    bins, out = [], []
+    for n, s, c in zip(lengths, sources, clusters, strict=True):
+        fits = [(capacity - b["used"], k) for k, b in enumerate(bins)
+                if capacity - b["used"] >= n and (s is None or s not in b["s"]) and (c is None or c not in b["c"])]
+        k = min(fits)[1] if fits else len(bins)
+        if not fits:
+            bins.append({"used": 0, "s": set(), "c": set()})
+        out.append((k, bins[k]["used"]))
+        bins[k]["used"] += n
+        bins[k]["s"].add(s)
+        bins[k]["c"].add(c)
+    return out
+
+
+def test_each_piece_goes_to_the_tightest_compatible_bin():
+    rng = random.Random(1)
+    for _ in range(30):
+        n = rng.randint(0, 120)
+        lengths = sorted((rng.randint(1, 50) for _ in range(n)), reverse=True)
+        sources = [rng.choice([None, "hot", "hot", "a", "b", "c"]) for _ in range(n)]
+        clusters = [rng.choice([None, 1, 1, 2, 3, 100 + i]) for i in range(n)]
+        bins, offsets, used = P.pack_shard(lengths, sources, clusters, 64)
+        assert list(zip(bins, offsets, strict=True)) == brute(lengths, sources, clusters, 64)
+        assert used == len(set(bins))
+
+
+def check(docs, rows, capacity):
+    """Every word in one place, no bin over its capacity, no conflict in a bin."""
+    packed = P.pack(docs, capacity=capacity, shard_pieces=40).collect()
+    words = sorted(len([w for w in (t or "").split()]) for _, t in rows)
+    by_doc, bins = defaultdict(list), defaultdict(list)
+    for r in packed:
+        by_doc[r.id].append(r)
+        assert (r.bin_id is None) == (r.n_words == 0)
+        if r.bin_id is not None:
+            bins[r.bin_id].append(r)
+    for own in bins.values():
+        spans = sorted((r.bin_offset, r.bin_offset + r.n_words) for r in own)
+        assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False)) and spans[-1][1] <= capacity
+    sizes = defaultdict(int)
+    for r in packed:
+        sizes[r.id] += r.n_words
+        assert r.word_start == r.piece * capacity
+    return packed, bins, words, sizes
+
+
+def test_all_words_are_packed_without_conflicts(spark):
+    rng = random.Random(3)
+    rows = [(i, prose(i % 60, rng.randint(0, 90) if i % 9 else 700)) for i in range(200)] + [(900, None), (901, " \n")]
+    docs = documents(spark, rows)
+    packed, bins, words, sizes = check(docs, rows, 256)
+    assert sizes == {i: len((t or "").split()) for i, t in rows}
+    source = {r.doc_id: r.source for r in docs.collect()}
+    text = {i: " ".join((t or "").lower().split()) for i, t in rows}
+    for own in bins.values():
+        assert len({source[r.id] for r in own}) == len(own)
+        assert len({text[r.id] for r in own}) == len(own)
+
+
+def test_without_source_conflict_bins_are_well_filled(spark):
+    rows = [(i, prose(i, 20 + i % 30)) for i in range(400)]
+    packed = P.pack(documents(spark, rows), capacity=200, source_conflict=False).collect()
+    used = sum(r.n_words for r in packed)
+    assert used / (200 * len({r.bin_id for r in packed})) > 0.9
+
+
+def test_the_result_is_the_same_again_and_bins_are_unique(spark):
+    rows = [(i, prose(i, 10 + i % 30)) for i in range(300)]
+    docs = documents(spark, rows)
+    one = sorted(map(tuple, P.pack(docs, capacity=100, shard_pieces=50).collect()))
+    assert one == sorted(map(tuple, P.pack(docs.repartition(7), capacity=100, shard_pieces=50).collect()))
+
+
+def test_odd_rows(odd, nothing):
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    packed, bins, words, sizes = check(odd, rows, 2048)
+    assert sum(sizes.values()) == sum(words)
+    own = P.pack(odd, cluster_col="ROOT", capacity=2048).collect()
+    assert sum(r.n_words for r in own) == sum(words)
+    assert P.pack(nothing).collect() == []

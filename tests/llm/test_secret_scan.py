@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickcredit.llm import secret_scan as S
+
+SCHEMA = "doc_id bigint, text string, source string"
+
+
+def random_text(rng, secret):
+    words = [rng.choice("the of river internationalization antidisestablishment cloud stone notwithstandingly".split())
+             for _ in range(rng.randint(5, 60))]
+    hexa = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    digits = "".join(rng.choice("0123456789") for _ in range(16))
+    key = "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))
+    if secret:
+        words.insert(rng.randrange(len(words)), rng.choice([f'token = "{hexa}"', f"password={hexa[:18]}", key]))
+    if rng.random() < 0.5:
+        words.insert(rng.randrange(len(words)), rng.choice([digits, f"commit {hexa}", "https://example.com/a/very/long/path/to/docs"]))
+    return " ".join(words)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rng = random.Random(8)
+    rows = [(i, random_text(rng, i % 3 == 0), f"src/{rng.choice(['main', 'test'])}/f{i}.py") for i in range(600)]
+    rows += [(700, None, "a"), (701, "", None), (702, "x" * 20 + "\x01" + "y" * 30, None), (703, "a b", "p"), (None, "é" * 5 + "z" * 20, "p")]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_candidates_are_all_runs_with_their_places(docs):
+    got = {(r.id, r.start, r.candidate) for r in S.candidates(docs).collect()}
+    expected = {(r.doc_id, m.start(), m.group()) for r in docs.collect() for m in re.finditer(r"[A-Za-z0-9_+/-]{16,}", r.text or "")}
+    assert got == expected
+
+
+def test_numeric_features(spark):
+    rows = [(1, 'token = "0a1B2c3D4e5F6a7b8C9d"', "src/test/x.py"), (2, "internationalization", None)]
+    found = S.candidates(spark.createDataFrame(rows, SCHEMA))
+    grams = spark.createDataFrame([("inte",), ("nter",), ("atio",), ("tion",)], "gram string")
+    a, b = S.features(found, grams).orderBy("id").collect()
+    assert (a.n_chars, a.digit, a.lower, a.upper) == (20, 0.5, 0.3, 0.2) and a.changes == 19 / 20
+    assert (a.path_depth, a.path_example, a.coverage) == (2, 1, 0) and a.neighbours == ["left token", 'lead  "'] or "left token" in a.neighbours
+    assert (b.n_chars, b.changes, b.lower, b.path_chars) == (20, 0, 1, 0)
+    distinct = {"internationalization"[i:i + 4] for i in range(17)}
+    assert b.coverage == pytest.approx(4 / len(distinct))
+
+
+def labelled(found):
+    secret = F.col("candidate").rlike("^AKIA[A-Z0-9]{16}$") | F.col("before").rlike('(password=|token = ")$')
+    return found.withColumn("label", secret.cast("int"))
+
+
+def test_held_out_accuracy(docs):
+    found = labelled(S.candidates(docs))
+    learn = found.where("id % 2 = 0")
+    model = S.train(learn, docs)
+    judged = S.judge(found.where("id % 2 = 1"), model).collect()
+    wrong = sum(r.is_secret != bool(r.label) for r in judged)
+    assert len(judged) > 300 and sum(r.label for r in judged) > 60 and wrong <= 0.02 * len(judged)
+    assert all(0 <= r.probability <= 1 for r in judged)
+
+
+def test_without_both_labels_every_candidate_stays(docs):
+    found = S.candidates(docs)
+    model = S.train(found.withColumn("label", F.lit(1)), docs)
+    judged = S.judge(found, model)
+    assert judged.where("is_secret AND probability IS NULL").count() == found.count()
+
+
+def test_odd_rows(odd, nothing):
+    found = S.candidates(odd)
+    assert found.count() == 0
+    assert S.candidates(nothing).collect() == []
+    model = S.train(found.withColumn("label", F.lit(None).cast("int")), odd)
+    assert S.judge(found, model).collect() == []
