@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import keep_marked, materialize, row_key, text_of
+from .shared import keep_marked, materialize, prepare_workers, row_key, text_of
 from .words import NOT_ALNUM, grams, parts_of, text_words
 
 SEED_WORDS = 3
@@ -248,6 +248,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     ``id, row_key, item_id, similarity, score, item_words, word_start,
     word_end``: the best alignment, with its range of the document's words.
     """
+    prepare_workers(docs.sparkSession)
     rows = docs.select(docs[id_col].alias("id"), row_key(docs, text_col).alias("row_key"),
                        text_of(docs, text_col).alias("text"))
     items = benchmark.select(benchmark[item_col].alias("item_id"),

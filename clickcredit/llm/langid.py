@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import docs_col, free_name, text_of
+from .shared import docs_col, free_name, prepare_workers, text_of
 from .words import HashArray, mix, parts_of
 
 ORDER = 5
@@ -247,6 +247,7 @@ _ANSWER = "lang_pred string, score double, entropy double, n_letters bigint, rej
 
 def _identify_with(docs: DataFrame, model: Model):
     """A column function: the answer for a text."""
+    prepare_workers(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(_ANSWER)
@@ -259,6 +260,7 @@ def _identify_with(docs: DataFrame, model: Model):
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = ORDER,
           max_chars: int = MAX_CHARS, alpha: float = ALPHA, slack_bits: float = SLACK_BITS) -> Model:
     """The models of all languages of ``labelled``, calibrated for rejection."""
+    prepare_workers(labelled.sparkSession)
     rows = labelled.select(labelled[lang_col].cast("string").alias("lang"),
                            text_of(labelled, text_col).alias("text")).where("lang IS NOT NULL AND text <> ''")
     sizes = {r["lang"]: r["n"] for r in

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import docs_col, free_name, materialize, row_key, text_of
+from .shared import docs_col, free_name, materialize, prepare_workers, row_key, text_of
 
 MIN_WORDS = 50
 
@@ -122,6 +122,7 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             min_words: int = MIN_WORDS) -> DataFrame:
     """``id, row_key, ranges`` of the rows with matches: ranges ``(lo, hi)`` of non-empty lines."""
+    prepare_workers(docs.sparkSession)
     rows = docs.select(docs[id_col].alias("id"), row_key(docs, text_col).alias("row_key"),
                        text_of(docs, text_col).alias("text"))
     id_type = T.StructField("id", rows.schema["id"].dataType)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import materialize, text_of
+from .shared import materialize, prepare_workers, text_of
 
 CAPACITY = 2048
 SHARD_PIECES = 4096
@@ -142,6 +142,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     """
     if capacity < 1:
         raise ValueError("capacity must be at least 1")
+    prepare_workers(docs.sparkSession)
     text = text_of(docs, text_col)
     cluster = docs[cluster_col] if cluster_col else normalised_key(text)
     source = docs[source_col].cast("string") if source_conflict else F.lit(None).cast("string")

@@ -6,8 +6,11 @@ it back, so a lost executor costs the tasks it ran and never a whole job.
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,16 +18,23 @@ from pyspark.sql import functions as F
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+_folders: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder of the session.
 
-    The folder is the one the cluster names. Only a session without one (a
-    local test) gets a folder of its own.
+    The folder is the one the cluster names. Only a local session without one
+    (a test) gets a folder of its own.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        base = tempfile.mkdtemp(prefix="llm-scratch-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that driver and executors share")
+        own = spark.sparkContext.applicationId
+        if own not in _folders:
+            _folders[own] = tempfile.mkdtemp(prefix="llm-scratch-")
+        base = _folders[own]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -36,9 +46,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_shared_file(spark: SparkSession, name: str, data: bytes) -> str:
+def write_shared_file(spark: SparkSession, name: str, data: bytes, suffix: str = "") -> str:
     """Write a file of bounded size to the shared folder, through the file system it is on."""
-    path = scratch_path(spark, name)
+    path = scratch_path(spark, name) + suffix
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
@@ -50,6 +60,34 @@ def write_shared_file(spark: SparkSession, name: str, data: bytes) -> str:
     return path
 
 
+#: Bytes of an Arrow batch that goes to a Python worker.
+BATCH_BYTES = "4m"
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+_shipped: set[str] = set()
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """What Python workers need: batches of bounded size, and this package.
+
+    By default a batch is 10,000 rows, which are any number of bytes if texts
+    are long, so Spark is told to cut batches by bytes too, unless the session
+    has its own bound. The package's source is sent to the executors once per application.
+    """
+    if spark.conf.get(_BATCH_CONF, None) is None:
+        spark.conf.set(_BATCH_CONF, BATCH_BYTES)
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+            for source in sorted(root.rglob("*.py")):
+                archive.write(source, source.relative_to(root.parent))
+        context.addPyFile(write_shared_file(spark, root.name, packed.getvalue(), ".zip"))
+        _shipped.add(context.applicationId)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it (in any case)."""
     taken = {c.lower() for c in df.columns}

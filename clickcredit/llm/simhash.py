@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import keep_marked, materialize, row_key, text_of
+from .shared import keep_marked, materialize, prepare_workers, row_key, text_of
 
 SEED = 42
 PIVOTS = 32
@@ -74,6 +74,8 @@ def fingerprint(text: str, shingle_words: int = 3) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle_words: int = 3) -> DataFrame:
     """``id, row_key, fp`` of every row (``fp`` as a signed 64-bit number)."""
+    prepare_workers(docs.sparkSession)
+
     @F.pandas_udf("bigint")
     def of(texts: pd.Series) -> pd.Series:
         found = np.fromiter((fingerprint(t, shingle_words) for t in texts), np.uint64, len(texts))

@@ -50,7 +50,7 @@ def fold(i, n):
     return zlib.crc32(str(i).encode()) % n
 
 
-def test_language_id(spark, docs):
+def test_query_language_id(spark, docs):
     lang = {r.doc_id: r.lang for r in docs.collect()}
     got = run(spark, "op1_language_id").collect()
     assert sorted(r.doc_id for r in got) == sorted(lang)
@@ -60,7 +60,7 @@ def test_language_id(spark, docs):
     assert sum(r.rejected for r in got) <= 0.01 * len(got)
 
 
-def test_packing(spark, rows):
+def test_query_packing(spark, rows):
     got = run(spark, "op3_best_fit_packing").collect()
     sizes, bins = defaultdict(int), defaultdict(int)
     for r in got:
@@ -70,9 +70,12 @@ def test_packing(spark, rows):
     assert max(bins.values()) <= 2048
 
 
-def test_secret_scan(spark, rows):
+def test_query_secret_scan(spark):
+    """On the next larger tables: the smallest hold too few secrets to learn from."""
+    sf_dir = str(TESTDATA / "sf0.01")
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     text = dict(rows)
-    got = run(spark, "op4_secret_scan").collect()
+    got = Q.queries()["op4_secret_scan"](spark, sf_dir).collect()
     spans = {(i, m.start(), len(m.group())) for i, t in rows for m in re.finditer(r"[A-Za-z0-9_+/-]{16,}", t)}
     assert {(r.doc_id, r.start, r.n_chars) for r in got} == spans
 
@@ -81,10 +84,10 @@ def test_secret_scan(spark, rows):
         return bool(re.search(Q.CONFIRMED, value) or re.search(Q.CONFIRMED_VALUE, value)
                     and re.search(Q.CONFIRMED_BEFORE, before[-secret_scan._NEAR:]))
     held = [r for r in got if r.held_out]
-    assert sum(r.is_secret == confirmed(r) for r in held) >= 0.9 * len(held)
+    assert sum(r.is_secret == confirmed(r) for r in held) >= 0.95 * len(held)
 
 
-def test_lm_score(spark, rows):
+def test_query_lm_score(spark, rows):
     brute = test_ngram_lm.Brute([t for i, t in rows if fold(i, 10) != 0], 2.5e-7)
     got = {r.doc_id: r for r in run(spark, "op5_lm_score").collect()}
     assert len(got) == len(rows)
@@ -98,7 +101,7 @@ def test_lm_score(spark, rows):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_token_store(spark, rows):
+def test_query_token_store(spark, rows):
     got = run(spark, "op6_token_store").select("doc_id", "start", "n_tokens", "ids_crc32").collect()
     assert sorted(map(tuple, got)) == test_token_store.brute(rows)
 
@@ -112,18 +115,18 @@ def near_copies(rows):
     return {i: (f"{f:016x}", least[root[f]]) for i, f in fps.items()}
 
 
-def test_simhash(spark, rows):
+def test_query_simhash(spark, rows):
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in run(spark, "op7_simhash_dedup").collect()}
     assert got == near_copies(rows)
 
 
-def test_line_dedup(spark, rows):
+def test_query_line_dedup(spark, rows):
     got = {r.doc_id: [(x.first_line, x.last_line) for x in r.removed] for r in run(spark, "op8_line_dedup").collect() if r.removed}
     expected = test_line_dedup.brute(rows, 50)
     assert expected and got == expected
 
 
-def test_decontaminate(spark, rows, items):
+def test_query_decontaminate(spark, rows, items):
     got = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in run(spark, "op9_decontaminate").collect()}
     assert got == test_decontaminate.brute(rows, items)
 

@@ -26,10 +26,28 @@ def test_codes_round_trip_and_random_access(ids):
     assert codes.take(np.arange(len(ids))).tolist() == ids
     for i in range(0, len(ids), 7):
         assert codes[i] == ids[i]
+    for lo, hi in ((0, len(ids)), (0, 0), (len(ids) // 3, len(ids)), (len(ids) // 2, len(ids) // 2 + min(1, len(ids) // 2))):
+        assert codes.range(lo, hi).tolist() == ids[lo:hi]
     back = np.arange(len(ids))[::-1]
     assert codes.take(back).tolist() == ids[::-1]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.characters(exclude_categories=["Cs"]), max_size=40) | st.text(
+    st.sampled_from("aAzZéÉßÿŸİıŒſΣς'.,!?;:%&*#$)\"<|>-_0129²¼ªº \n\t\x0b\u0301\u00a0"), max_size=30) | st.lists(
+    st.sampled_from(["<|endoftext|>", "<|ENDOFTEXT|>", "It's", "'s.", "don't!", "(a)", "x.y.", "A²)", "IJ\u0130", " "]), max_size=6).map("".join))
+def test_words_give_the_tokens_of_the_text(text):
+    definition = open(PATH, encoding="utf-8").read()
+    whole = np.array(Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids, "<u4")
+    assert S.token_bytes([text], definition) == [whole.tobytes()]
+
+
+def test_a_tokenizer_of_another_kind_is_asked_word_by_word():
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert S._parts_letters(open(PATH, encoding="utf-8").read())
+    assert not S._parts_letters(open(other, encoding="utf-8").read())
+
+
 def test_access_beyond_the_end_fails():
     codes = S.Codes(S.encode(np.array([1, 500], np.uint32)))
     for i in (-1, 2):
