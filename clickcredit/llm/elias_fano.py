@@ -7,6 +7,7 @@ workers of a machine share its pages and read only what they touch.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from typing import Any
 
 import numpy as np
@@ -35,6 +36,17 @@ def select_in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
                                           (k - before).astype(np.int64)]
 
 
+#: Queries that are looked up together: their arrays fit the processor's cache.
+BLOCK = 1 << 13
+
+
+def once(find: Callable[..., np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """``find`` of each key, asked once for equal keys, in their order, block by block."""
+    distinct, where = np.unique(keys, return_inverse=True)
+    parts = [find(distinct[lo:lo + BLOCK]) for lo in range(0, len(distinct), BLOCK)]
+    return np.concatenate(parts)[where] if parts else np.empty(0, np.int64)
+
+
 class EliasFano:
     """A monotone sequence of unsigned numbers: low bits packed, high bits in unary with a rank directory."""
 
@@ -68,40 +80,63 @@ class EliasFano:
         word = np.searchsorted(before, k, side="right") - 1
         return word * 64 + select_in_word(words[word], k - before[word])
 
-    def get(self, at: np.ndarray) -> np.ndarray:
-        """The values at these places."""
-        high = (self._select(self.ranks, self.high, at) - at).astype(_U64)
+    def _low(self, at: np.ndarray) -> np.ndarray:
         if not self.low_bits:
-            return high
+            return np.zeros(len(at), _U64)
         bit = at * self.low_bits
         word, shift = bit >> 6, (bit & 63).astype(_U64)
         low = self.low[word] >> shift
         # a shift by 64 has no meaning, so the next word moves in two steps
         low |= (self.low[word + 1] << _U64(1)) << (_U64(63) - shift)
-        return high << _U64(self.low_bits) | low & self.mask
+        return low & self.mask
+
+    def get(self, at: np.ndarray) -> np.ndarray:
+        """The values at these places."""
+        high = (self._select(self.ranks, self.high, at) - at).astype(_U64)
+        return high << _U64(self.low_bits) | self._low(at)
+
+    def find(self, targets: np.ndarray) -> np.ndarray:
+        """The place of each value, -1 where it is not in the sequence."""
+        def places(some: np.ndarray) -> np.ndarray:
+            place, equal = self.successor(some)
+            return np.where(equal, place, -1)
+        return once(places, targets)
+
+    def _first(self, high: np.ndarray) -> np.ndarray:
+        """Place of the first value with this high part or a larger one: behind the zero before it."""
+        k = high - 1
+        at = np.zeros(len(high), np.int64)
+        some = np.flatnonzero(k >= 0)
+        k = k[some]
+        word = np.searchsorted(self.zeros, k, side="right") - 1
+        at[some] = word * 64 + select_in_word(~self.high[word], k - self.zeros[word]) - k
+        return at
 
     def successor(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of the first value not below each target (``length``: none), and whether it equals it."""
+        """Place of the first value not below each target (``length``: none), and whether it equals it.
+
+        The values of one high part lie together; among them the low bits are
+        searched by halving.
+        """
         place = np.full(len(targets), self.length, np.int64)
         equal = np.zeros(len(targets), bool)
         if not self.length:
             return place, equal
         high = (targets >> _U64(self.low_bits)).astype(np.int64)
-        live = np.flatnonzero(high <= len(self.high) * 64 - self.length - 1)
-        high, wanted = high[live], targets[live]
-        # the values with this high part or a larger one begin behind the zero that ends the part before
-        at = np.zeros(len(live), np.int64)
-        some = high > 0
-        k = high[some] - 1
-        word = np.searchsorted(self.zeros, k, side="right") - 1
-        at[some] = word * 64 + select_in_word(~self.high[word], k - self.zeros[word]) - k
-        while len(live):
-            inside = at < self.length
-            live, at, wanted = live[inside], at[inside], wanted[inside]
-            value = self.get(at)
-            done = value >= wanted
-            place[live[done]], equal[live[done]] = at[done], value[done] == wanted[done]
-            live, at, wanted = live[~done], at[~done] + 1, wanted[~done]
+        live = np.flatnonzero(high < len(self.high) * 64 - self.length - 1)
+        high, wanted = high[live], targets[live] & self.mask
+        lo, end = self._first(high), self._first(high + 1)
+        hi = end.copy()
+        open_ = np.flatnonzero(lo < hi)
+        while len(open_):
+            middle = (lo[open_] + hi[open_]) >> 1
+            below = self._low(middle) < wanted[open_]
+            lo[open_[below]] = middle[below] + 1
+            hi[open_[~below]] = middle[~below]
+            open_ = open_[lo[open_] < hi[open_]]
+        place[live] = lo
+        inside = np.flatnonzero(lo < end)
+        equal[live[inside]] = self._low(lo[inside]) == wanted[inside]
         return place, equal
 
 
@@ -141,6 +176,9 @@ class Level:
 
     def find(self, parents: np.ndarray, children: np.ndarray) -> np.ndarray:
         """The node of each pair, -1 where there is none."""
+        return once(lambda keys: self._find(keys >> 32, keys & (1 << 32) - 1), parents << 32 | children)
+
+    def _find(self, parents: np.ndarray, children: np.ndarray) -> np.ndarray:
         if not self.ids.length:
             return np.full(len(parents), -1, np.int64)
         first = self.pointers.get(parents).astype(np.int64)
@@ -166,7 +204,7 @@ def pack_arrays(meta: dict[str, Any], arrays: dict[str, np.ndarray]) -> bytes:
 
 def map_arrays(path: str) -> tuple[dict[str, Any], dict[str, np.ndarray]]:
     """The header and the arrays of such a file, memory-mapped."""
-    data = np.memmap(path, np.uint8, "r")
+    data = np.memmap(path, np.uint8, "r").view(np.ndarray)
     size = int(data[:8].view("<u8")[0])
     head = json.loads(data[8:8 + size].tobytes())
     first = -(-(8 + size) // 64) * 64

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .elias_fano import EliasFano, Level, map_arrays, pack_arrays, quantise
-from .shared import materialize, text_of, write_shared_file
+from .shared import materialize, prepare_workers, text_of, write_shared_file
 from .words import HashArray, parts_of, text_words
 
 SHARE = 2.5e-7
@@ -226,9 +226,8 @@ class Trie:
 
         For a rare token ``word`` is 0 and ``whole`` is what the model adds to its log ``p1``.
         """
-        place, equal = self.words.successor(tokens)
-        ids = np.where(equal, place, -1)
-        known = np.flatnonzero(equal)
+        ids = self.words.find(tokens)
+        known = np.flatnonzero(ids >= 0)
         word = np.zeros(len(tokens))
         word[known] = _log_word(self.counts[ids[known]], self.total, self.distinct)
         whole = word.copy()
@@ -259,6 +258,7 @@ def _open_trie(path: str) -> Trie:
 def train(docs: DataFrame, text_col: str = "text", share: float = SHARE) -> NgramModel:
     """Count all texts of ``docs`` and build the trie of what is frequent."""
     spark = docs.sparkSession
+    prepare_workers(spark)
     texts = docs.select(text_of(docs, text_col).alias("text"))
 
     def counted(keys_of, name: str) -> DataFrame:
@@ -315,6 +315,7 @@ def _score_in(file: str):
 
 def score(docs: DataFrame, model: NgramModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_tokens, n_known, train_tokens, base_score, score`` per row, in log10."""
+    prepare_workers(docs.sparkSession)
     rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
     longs = T.ArrayType(T.LongType())
     # written, so that a row's number is the same for its rare words and for its sums
