@@ -26,8 +26,8 @@ block of its own; other columns are never read.
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import struct
 import zlib
 from array import array
@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import text_of
+from .shared import prepare_workers, text_of
 from .words import parts_of
 
 MAGIC = b"DAC1"
@@ -49,7 +49,6 @@ CHUNK = 8
 BLOCK_TOKENS = 1 << 20
 _CACHED_WORDS = 300_000
 _BATCH_CHARS = 1 << 22
-_BREAK = re.compile("[ \n\t]+")
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -96,6 +95,21 @@ class Codes:
             raise IndexError(i)
         return int(self.take(np.array([i]))[0])
 
+    def range(self, lo: int, hi: int) -> np.ndarray:
+        """The ids from place ``lo`` to ``hi``; on every level they lie next to each other."""
+        out, owner = np.zeros(hi - lo, np.uint32), np.arange(hi - lo)
+        for k, (bitmap, ranks, chunks) in enumerate(self.levels):
+            if lo == hi:
+                break
+            out[owner] |= chunks[lo:hi].astype(np.uint32) << np.uint32(CHUNK * k)
+            bits = np.unpackbits(bitmap[lo >> 6:(hi + 63) >> 6].view(np.uint8), bitorder="little")
+            more = np.flatnonzero(bits[lo & 63:(lo & 63) + hi - lo])
+            # the ids before ``lo`` that go on come first on the next level
+            below = bitmap[lo >> 6] & ((np.uint64(1) << np.uint64(lo & 63)) - np.uint64(1))
+            lo = int(ranks[lo >> 6]) + int(np.bitwise_count(below))
+            hi, owner = lo + len(more), owner[more]
+        return out
+
     def take(self, at: np.ndarray) -> np.ndarray:
         """The ids at these places, in their order."""
         out = np.zeros(len(at), np.uint32)
@@ -112,11 +126,79 @@ class Codes:
         return out
 
 
+#: Closing marks that no added token holds, so that a word may be cut before them.
+_TAIL = ".,!?;:%&*#$)\""
+_LETTER_RUNS = "[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def _parts_letters(definition: str) -> bool:
+    """Whether the tokenizer lower-cases, and parts letters and digits from anything else by pattern."""
+    parsed = json.loads(definition)
+
+    def steps(key: str, inner: str) -> list[dict]:
+        top = parsed.get(key) or {}
+        return top.get(inner, [top])
+
+    lowers = any(s.get("type") == "Lowercase" for s in steps("normalizer", "normalizers"))
+    splits = any(s.get("type") == "Split" and s["pattern"].get("Regex", "").endswith(_LETTER_RUNS)
+                 for s in steps("pre_tokenizer", "pretokenizers"))
+    added = "".join(t["content"] for t in parsed.get("added_tokens", []))
+    return lowers and splits and not set(_TAIL) & set(added)
+
+
+def _cut(word: str) -> tuple[str, str]:
+    """A word as lower-case letters and closing marks, which such a tokenizer encodes apart.
+
+    A word that may hold an added token, or letters whose lower case or
+    composition is not plain (from U+0130 on), stays whole.
+    """
+    if "<" in word or not (word.isascii() or max(word) < "\u0130"):
+        return word, ""
+    core = word.rstrip(_TAIL)
+    if core and core[-1].isalnum():
+        return core.lower(), word[len(core):]
+    return word.lower(), ""
+
+
+class _Words:
+    """Encoded words of a worker: those of the current generation and of the one before."""
+
+    def __init__(self, definition: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_str(definition)
+        self.parts = _parts_letters(definition)
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def ensure(self, words: set[str]) -> dict[str, bytes]:
+        """The codes of these words, and of some others."""
+        if len(self.now) > _CACHED_WORDS:
+            self.now, self.before = {}, self.now
+        new = self._lost(words)
+        if self.parts:
+            cut = {w: _cut(w) for w in new}
+            self._encode(self._lost({p for c in cut.values() for p in c}))
+            self.now.update((w, self.now[a] + self.now[b]) for w, (a, b) in cut.items() if b or a != w)
+        else:
+            self._encode(new)
+        return self.now
+
+    def _lost(self, words: set[str]) -> set[str]:
+        """The words of neither generation; those of the one before move on."""
+        lost = words.difference(self.now)
+        self.now.update((w, self.before[w]) for w in lost.intersection(self.before))
+        return lost.difference(self.before)
+
+    def _encode(self, words: set[str]) -> None:
+        new = list(words)
+        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            self.now[word] = array("I", found.ids).tobytes()
+
+
 @cache
-def _tokenizer(definition: str):
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-    return Tokenizer.from_str(definition), {}
+def _words(definition: str) -> _Words:
+    return _Words(definition)
 
 
 def token_bytes(texts: list[str], definition: str) -> list[bytes]:
@@ -125,15 +207,10 @@ def token_bytes(texts: list[str], definition: str) -> list[bytes]:
     The tokenizer must drop white space and never join across it, so a text is
     encoded word by word, each distinct word once.
     """
-    tokenizer, known = _tokenizer(definition)
-    split = [[w for w in _BREAK.split(t) if w] for t in texts]
-    new = [w for w in {w for words in split for w in words} if w not in known]
-    if len(known) + len(new) > _CACHED_WORDS:
-        known.clear()
-        new = list({w for words in split for w in words})
-    for word, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-        known[word] = array("I", found.ids).tobytes()
-    return [b"".join([known[w] for w in words]) for words in split]
+    split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+    # the empty words between two spaces have no tokens, like any other white space
+    known = _words(definition).ensure(set().union(*split))
+    return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 def _encode_blocks(definition: str, end_id: int, block_tokens: int):
@@ -184,6 +261,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
     """
     with open(tokenizer, encoding="utf-8") as f:
         definition = f.read()
+    prepare_workers(docs.sparkSession)
     rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
     order = ["id", F.xxhash64("text")]
     # the hash parts the rows of an id that a third of the table may share
@@ -206,7 +284,7 @@ def _read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
                 crc = 0
                 for at in range(lo, hi, 1 << 20):
-                    found = codes.take(np.arange(at, min(at + (1 << 20), hi)))
+                    found = codes.range(at, min(at + (1 << 20), hi))
                     crc = zlib.crc32(found.astype("<u4").tobytes(), crc)
                 digest.append(crc)
             n = len(digest)
@@ -242,6 +320,7 @@ def read_tokens(store: DataFrame) -> DataFrame:
         T.StructField("shard", T.IntegerType()), T.StructField("block", T.IntegerType()),
         T.StructField("block_start", T.LongType()), T.StructField("n_tokens", T.LongType()),
         T.StructField("ids_crc32", T.LongType())])
+    prepare_workers(store.sparkSession)
     found = store.select("shard", "block", "ids", "bounds", "codes").mapInArrow(_read_blocks, schema)
     return found.join(block_starts(store), ["shard", "block"]).select(
         "id", (F.col("first") + F.col("block_start")).alias("start"), "n_tokens", "ids_crc32",
