@@ -47,7 +47,7 @@ from .words import parts_of
 MAGIC = b"DAC1"
 CHUNK = 8
 BLOCK_TOKENS = 1 << 20
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 500_000
 _BATCH_CHARS = 1 << 22
 
 
