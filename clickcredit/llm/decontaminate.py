@@ -1,13 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare word and pair seeds, then Smith-Waterman alignment.
 
 Texts are compared as lower-case words of letters and digits. The steps:
 
-1. **Statistics.** One pass counts, over all documents, every ``SEED_WORDS``-gram
-   that occurs in a benchmark item (map-side sums, then a grouping).
-2. **Seeds.** In each window of ``SEED_WINDOW`` consecutive n-grams of an item
-   the rarest is a seed. So whatever the counts are, a copy that leaves
-   ``SEED_WORDS + SEED_WINDOW - 1`` consecutive words of an item intact holds
-   a seed. There is no cap on a seed's count.
+1. **Statistics.** One pass counts, over all documents, every word and pair of
+   words that occurs in a benchmark item (map-side sums, then a grouping).
+2. **Seeds.** A copy that reaches the similarity keeps so many of the item's
+   words, and so many of its pairs, at least (``_kept``). With one fewer of the most
+   frequent left out, each of the others is a seed, so every such copy holds
+   one, wherever it was edited. An item takes its words or its pairs, whichever
+   occur less. There is no cap on a seed's count.
 3. **Join and align.** A second pass joins the documents' n-grams with the
    seeds. Seeds of one item on near diagonals give one window of the
    document, which is aligned with the whole item (match 2, mismatch and
@@ -25,6 +26,7 @@ carried like any others; other columns are never read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,7 @@ from pyspark.sql import types as T
 from .shared import keep_marked, materialize, prepare_workers, row_key, text_of
 from .words import NOT_ALNUM, grams, parts_of, text_words
 
-SEED_WORDS = 3
-SEED_WINDOW = 3
+SEED_SIZES = (1, 2)
 MIN_ITEM_WORDS = 5
 MIN_SIMILARITY = 0.6
 BLOCK_WORDS = 2_000_000
@@ -48,28 +49,48 @@ def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return text_words([t.lower().encode() for t in texts], NOT_ALNUM)
 
 
+def _kept(size: int, length: int, min_similarity: float) -> int:
+    """How many of an item's words (size 1) or pairs (2) any copy of ``min_similarity`` keeps, at least.
+
+    With m matches and e edits, 2 m - e reaches 2 s n. So m is s n or more; and as the matches are
+    e + 1 runs at most, m - e - 1 pairs or more stay, which is least for m = n.
+    """
+    least = min_similarity * length if size == 1 else (2 * min_similarity - 1) * length - 1
+    return max(ceil(least - 1e-9), 2 - size)
+
+
 class Items:
-    """Benchmark items as one word array, with their n-grams."""
+    """Benchmark items as one word array, with their words and pairs."""
 
     def __init__(self, texts: list[str]):
         self.words, self.bounds = _words(texts)
         lengths = np.diff(self.bounds)
-        all_grams = grams(self.words, SEED_WORDS)
-        keep = [np.arange(lo, lo + n - SEED_WORDS + 1) for lo, n in zip(self.bounds[:-1], lengths, strict=True)
-                if n >= MIN_ITEM_WORDS]
-        self.at = np.concatenate(keep) if keep else np.empty(0, np.int64)
-        self.grams = all_grams[self.at]
+        at, keys, sizes = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for size in SEED_SIZES:
+            found = grams(self.words, size)
+            for lo, n in zip(self.bounds[:-1], lengths, strict=True):
+                if n >= MIN_ITEM_WORDS:
+                    at.append(np.arange(lo, lo + n - size + 1))
+                    keys.append(found[at[-1]])
+                    sizes.append(np.full(len(at[-1]), size))
+        self.at, self.grams, self.size = (np.concatenate(x) for x in (at, keys, sizes))
         self.item = np.searchsorted(self.bounds, self.at, side="right") - 1
 
-    def seeds(self, counts: dict[int, int]) -> np.ndarray:
-        """Indices of the n-grams that are the rarest of some window; the first of equals."""
+    def seeds(self, counts: dict[int, int], min_similarity: float) -> np.ndarray:
+        """Indices of each item's words or pairs without its most frequent ones, as many as a copy may do without."""
         freq = np.array([counts.get(g, 0) for g in self.grams.view(np.int64).tolist()], np.int64)
-        chosen = np.zeros(len(freq), bool)
-        for lo, hi in _runs(self.item):
-            width = min(SEED_WINDOW, hi - lo)
-            view = np.lib.stride_tricks.sliding_window_view(freq[lo:hi], width)
-            chosen[lo + np.arange(len(view)) + view.argmin(axis=1)] = True
-        return np.flatnonzero(chosen)
+        best: dict[int, tuple[int, np.ndarray]] = {}
+        for lo, hi in _runs(self.item * len(SEED_SIZES) + self.size - 1):
+            item, size = int(self.item[lo]), int(self.size[lo])
+            length = int(self.bounds[item + 1] - self.bounds[item])
+            kept = _kept(size, length, min_similarity)
+            if kept < 1:
+                continue
+            rarest = lo + np.argsort(freq[lo:hi], kind="stable")[:max(hi - lo - kept + 1, 0)]
+            total = int(freq[rarest].sum())
+            if item not in best or total < best[item][0]:
+                best[item] = total, rarest
+        return np.sort(np.concatenate([np.empty(0, np.int64), *(x for _, x in best.values())]))
 
 
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -103,9 +124,10 @@ def _count_in(known: np.ndarray):
             texts = batch.column("text").to_pylist()
             for part in parts_of([len(t) for t in texts], _BATCH_BYTES):
                 words, bounds = _words(texts[part])
-                found = grams(words, SEED_WORDS)
-                found = found[_inside(bounds, len(found), SEED_WORDS)]
-                total += np.bincount(_found(known, found)[1], minlength=len(known))
+                for size in SEED_SIZES:
+                    found = grams(words, size)
+                    found = found[_inside(bounds, len(found), size)]
+                    total += np.bincount(_found(known, found)[1], minlength=len(known))
         seen = np.flatnonzero(total)
         yield pa.record_batch({"gram": pa.array(known[seen].view(np.int64)), "n": pa.array(total[seen])})
     return run
@@ -181,10 +203,13 @@ def align(items: Items, words: np.ndarray, item: np.ndarray, lo: np.ndarray, hi:
 def _candidates(items: Items, seeds: np.ndarray, order: np.ndarray, keys: np.ndarray,
                 words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     """``doc, item, lo, hi``: windows of the documents around seeds on near diagonals."""
-    found = grams(words, SEED_WORDS)
-    hit, place = _found(keys, found)
-    inside = _inside(bounds, len(found), SEED_WORDS)[hit]
-    hit, place = hit[inside], place[inside]
+    hits = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    for size in np.unique(items.size[seeds]).tolist():
+        found = grams(words, size)
+        hit, place = _found(keys, found)
+        inside = _inside(bounds, len(found), size)[hit]
+        hits.append((hit[inside], place[inside]))
+    hit, place = (np.concatenate(x) for x in zip(*hits, strict=True))
     upto = np.searchsorted(keys, keys[place], side="right")
     many = upto - place
     at = np.repeat(hit, many)
@@ -269,7 +294,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
         known = Items(texts)
         counted = (rows.select("text").mapInArrow(_count_in(np.unique(known.grams)), "gram bigint, n bigint")
                    .groupBy("gram").agg(F.sum("n").alias("n")))
-        chosen = known.seeds({r["gram"]: r["n"] for r in counted.collect()})
+        chosen = known.seeds({r["gram"]: r["n"] for r in counted.collect()}, min_similarity)
         ids = table["item_id"].combine_chunks()
         part = materialize(rows.mapInArrow(_match_in(texts, chosen, ids, min_similarity), schema),
                            "decontaminate-matches")

@@ -124,3 +124,30 @@ def test_odd_rows(spark, odd, nothing):
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted(expected, key=repr)
     assert D.decontaminate(nothing, bench).collect() == []
     assert D.decontaminate(odd, bench.limit(0)).count() == odd.count()
+
+
+def plain(docs, items):
+    """All pairs aligned, whatever seeds they have."""
+    pairs = ((i, k, words_of(t), words_of(x)) for i, t in docs for k, x in items)
+    return {(i, k): round(s, 9) for i, k, b, a in pairs if len(a) >= 5 and (s := align(a, b)) >= D.MIN_SIMILARITY}
+
+
+def matched(spark, docs, items):
+    return {(r.id, r.item_id): round(r.similarity, 9) for r in
+            D.matches(documents(spark, docs), spark.createDataFrame(items, ITEM_SCHEMA)).collect()}
+
+
+def test_copies_without_five_words_in_a_row(spark):
+    items = [(k, prose(100 + k, n)) for k, n in enumerate((40, 40, 40, 40, 23, 11, 7, 5))]
+    docs = [(i, prose(500 + i, 60)) for i in range(10)]
+    for k, x in items:
+        own = x.split()
+        for e, (step, replaced) in enumerate(((2, 0), (3, 0), (4, 0), (4, 1), (5, 1), (1, 0))):
+            out = [w if not replaced or j % step else f"new{j}" for j, w in enumerate(own, 1)]
+            if not replaced:
+                out = [y for j, w in enumerate(own, 1) for y in ([w] if j % step or j == len(own) else [w, f"new{j}"])]
+            docs.append((1000 + 10 * k + e, f"{prose(k, 30)} {' '.join(out)} {prose(k + 50, 30)}"))
+    docs.append((9000, items[0][1]))  # an intact copy beside the edited ones
+    expected = plain(docs, items)
+    assert {(1000 + e, 0) for e in range(5)} | {(1070 + e, 7) for e in (0, 5)} <= set(expected)
+    assert matched(spark, docs, items) == expected
