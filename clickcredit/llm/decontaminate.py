@@ -12,7 +12,10 @@ Texts are compared as lower-case words of letters and digits. The steps:
 3. **Join and align.** A second pass joins the documents' n-grams with the
    seeds. Seeds of one item on near diagonals give one window of the
    document, which is aligned with the whole item (match 2, mismatch and
-   gap -1). ``similarity`` is the score over that of a perfect copy.
+   gap -1). An alignment of n words that reaches the similarity s has at most
+   2 (1 - s) n gaps, and a window reaches that far to both sides of its seeds, so
+   it holds the whole of any such alignment through them. ``similarity`` is
+   the score over that of a perfect copy.
 
 Documents aren't shuffled: the benchmark comes to them, in blocks of at most
 ``BLOCK_WORDS`` words, one pass for each block.
@@ -201,7 +204,7 @@ def align(items: Items, words: np.ndarray, item: np.ndarray, lo: np.ndarray, hi:
 
 
 def _candidates(items: Items, seeds: np.ndarray, order: np.ndarray, keys: np.ndarray,
-                words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+                words: np.ndarray, bounds: np.ndarray, min_similarity: float) -> tuple[np.ndarray, ...]:
     """``doc, item, lo, hi``: windows of the documents around seeds on near diagonals."""
     hits = [(np.empty(0, np.int64), np.empty(0, np.int64))]
     for size in np.unique(items.size[seeds]).tolist():
@@ -219,7 +222,7 @@ def _candidates(items: Items, seeds: np.ndarray, order: np.ndarray, keys: np.nda
     doc = np.searchsorted(bounds, at, side="right") - 1
     diagonal = at - (items.at[gram] - items.bounds[item])
     length = np.diff(items.bounds)[item]
-    slack = length // 4 + 2
+    slack = np.ceil(2 * (1 - min_similarity) * length).astype(np.int64)
     # seeds of one document and item in one cell of diagonals share a window
     cell = (diagonal + (1 << 40)) // (slack + 1)
     by = np.lexsort((diagonal, cell, item, doc))
@@ -244,7 +247,7 @@ def _match_in(texts_of_items: list[str], chosen: np.ndarray, item_ids: pa.Array,
             texts = batch.column("text").to_pylist()
             for part in parts_of([len(t) for t in texts], _BATCH_BYTES):
                 words, bounds = _words(texts[part])
-                doc, item, lo, hi = _candidates(items, seeds, order, keys, words, bounds)
+                doc, item, lo, hi = _candidates(items, seeds, order, keys, words, bounds, min_similarity)
                 c, score, start, end = align(items, words, item, lo, hi, min_similarity)
                 if not len(c):
                     continue

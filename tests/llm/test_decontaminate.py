@@ -151,3 +151,20 @@ def test_copies_without_five_words_in_a_row(spark):
     expected = plain(docs, items)
     assert {(1000 + e, 0) for e in range(5)} | {(1070 + e, 7) for e in (0, 5)} <= set(expected)
     assert matched(spark, docs, items) == expected
+
+
+def test_copies_with_long_insertions_and_deletions(spark):
+    items = [(k, prose(100 + k, n)) for k, n in enumerate((40, 40, 25, 12))]
+    docs = []
+    for k, x in items:
+        own, n = x.split(), len(x.split())
+        for e, share in enumerate((0.3, 0.5, 0.75, 0.9)):
+            more = prose(800 + 10 * k + e, int(share * n)).split()
+            docs.append((100 * k + e, " ".join([prose(k, 30), *own[:n // 2], *more, *own[n // 2:], prose(k + 9, 30)])))
+            thirds = [*own[:n // 3], *more[::2], *own[n // 3:2 * n // 3], *more[1::2], *own[2 * n // 3:]]
+            docs.append((100 * k + 10 + e, " ".join([prose(k + 20, 30), *thirds])))
+        docs.append((100 * k + 20, " ".join(own[:n // 3] + own[n // 2:])))
+    expected = plain(docs, items)
+    assert {0, 1, 2, 10, 11, 12, 20} <= {i for i, _ in expected} and not {3, 13} & {i for i, _ in expected}
+    assert expected[1, 0] == 0.75
+    assert matched(spark, docs, items) == expected
