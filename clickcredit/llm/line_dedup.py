@@ -6,11 +6,16 @@ A document is the sequence of its non-empty lines, trimmed, each with a
 1. **Winnow.** A window is the shortest run of lines from a line on that has
    ``min_words`` words. Of each window the line of the least hash (the first of
    equals) is a fingerprint. So any run of ``min_words`` words or more that
-   occurs twice has a fingerprint in common, wherever it begins.
-2. **Join positions.** The first occurrence of each fingerprint in the corpus,
-   in order of ``(id, text hash, line)``, is found by a grouping with a map-side
-   step. Every later occurrence is joined with that one, never with each other.
-3. **Extend.** A fingerprint carries the hashes of its neighbours, on each side
+   occurs twice has a fingerprint in common, wherever it begins. But the first
+   place of a fingerprint may be another one, if its line is frequent. So the
+   windows themselves, and the shortest runs of ``min_words`` words up to each
+   line, are matched too, by the hash of all their lines. They cover every
+   run that occurs twice.
+2. **Join positions.** The first occurrence of each fingerprint and of each
+   window in the corpus, in order of ``(id, text hash, line)``, is found by a
+   grouping with a map-side step. Every later occurrence is joined with that
+   one, never with each other.
+3. **Extend.** Equal windows match as a whole. A fingerprint carries the hashes of its neighbours, on each side
    the lines with fewer than ``min_words`` words between. The match is
    extended both ways while lines agree. By the choice of windows this
    reaches the next fingerprint, or the end of the repeated run.
@@ -40,6 +45,8 @@ from pyspark.sql import types as T
 from .shared import docs_col, free_name, materialize, prepare_workers, row_key, text_of
 
 MIN_WORDS = 50
+#: Seed of the windows' hashes, so that a window of one line isn't its line.
+_WINDOW = 1
 
 
 def lines_of(text: str) -> tuple[list[int], list[str]]:
@@ -67,6 +74,21 @@ def winnow(hashes: list[int], words: list[int], min_words: int) -> list[int]:
     return chosen
 
 
+def windows(words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """The shortest runs ``(first, last)`` of ``min_words`` words from each line on, and up to each line."""
+    found, lo, total = set(), 0, 0
+    for hi, n in enumerate(words):
+        total += n
+        while total >= min_words and lo <= hi:
+            found.add((lo, hi))
+            total -= words[lo]
+            lo += 1
+        # one line more reaches the words again
+        if lo and total + words[lo - 1] >= min_words:
+            found.add((lo - 1, hi))
+    return sorted(found)
+
+
 def _reach(hashes: list[int], words: list[int], at: range, min_words: int) -> list[int]:
     """Hashes from a fingerprint outwards, while fewer than ``min_words`` words lie before their line."""
     out, total = [], 0
@@ -81,7 +103,7 @@ def _reach(hashes: list[int], words: list[int], at: range, min_words: int) -> li
 def _fingerprints(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, place, fp, left, right = [], [], [], [], []
+            row, place, last, fp, left, right = [], [], [], [], [], []
             for r, text in enumerate(batch.column("text").to_pylist()):
                 _, lines = lines_of(text)
                 hashes = [xxhash.xxh64_intdigest(s) - (1 << 63) for s in lines]
@@ -89,13 +111,22 @@ def _fingerprints(min_words: int):
                 for p in winnow(hashes, words, min_words):
                     row.append(r)
                     place.append(p)
+                    last.append(p)
                     fp.append(hashes[p])
                     left.append(_reach(hashes, words, range(p - 1, -1, -1), min_words))
                     right.append(_reach(hashes, words, range(p + 1, len(hashes)), min_words))
+                every = np.array(hashes, np.int64)
+                for lo, hi in windows(words, min_words):
+                    row.append(r)
+                    place.append(lo)
+                    last.append(hi)
+                    fp.append(xxhash.xxh64_intdigest(every[lo:hi + 1].tobytes(), _WINDOW) - (1 << 63))
+                    left.append([])
+                    right.append([])
             rows = pa.array(row, pa.int64())
             yield pa.record_batch({
                 "id": batch.column("id").take(rows), "row_key": batch.column("row_key").take(rows),
-                "place": pa.array(place, pa.int32()), "fp": pa.array(fp, pa.int64()),
+                "place": pa.array(place, pa.int32()), "last": pa.array(last, pa.int32()), "fp": pa.array(fp, pa.int64()),
                 "left": pa.array(left, pa.list_(pa.int64())), "right": pa.array(right, pa.list_(pa.int64()))})
     return run
 
@@ -111,10 +142,10 @@ def _agree(a: list[int], b: list[int]) -> int:
 
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        place, left, right, first_left, first_right = (
-            batch.column(c).to_pylist() for c in ("place", "left", "right", "first_left", "first_right"))
+        place, last, left, right, first_left, first_right = (
+            batch.column(c).to_pylist() for c in ("place", "last", "left", "right", "first_left", "first_right"))
         lo = [p - _agree(a, b) for p, a, b in zip(place, left, first_left, strict=True)]
-        hi = [p + _agree(a, b) for p, a, b in zip(place, right, first_right, strict=True)]
+        hi = [p + _agree(a, b) for p, a, b in zip(last, right, first_right, strict=True)]
         yield pa.record_batch({"id": batch.column("id"), "row_key": batch.column("row_key"),
                                "lo": pa.array(lo, pa.int32()), "hi": pa.array(hi, pa.int32())})
 
@@ -129,7 +160,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key_type = T.StructField("row_key", T.LongType())
     hashes = T.ArrayType(T.LongType())
     placed = materialize(rows.mapInArrow(_fingerprints(min_words), T.StructType([
-        id_type, key_type, T.StructField("place", T.IntegerType()), T.StructField("fp", T.LongType()),
+        id_type, key_type, T.StructField("place", T.IntegerType()), T.StructField("last", T.IntegerType()), T.StructField("fp", T.LongType()),
         T.StructField("left", hashes), T.StructField("right", hashes)])), "lines-fingerprints")
     position = F.struct("id", "row_key", "place")
     first = placed.groupBy("fp").agg(
@@ -139,7 +170,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = materialize(first, "lines-first")
     later = placed.join(first, "fp").where(
         ~position.eqNullSafe(F.struct("first.id", "first.row_key", "first.place")))
-    spans = later.select("id", "row_key", "place", "left", "right", "first.first_left",
+    spans = later.select("id", "row_key", "place", "last", "left", "right", "first.first_left",
                          "first.first_right").mapInArrow(_extend, T.StructType([
                              id_type, key_type, T.StructField("lo", T.IntegerType()),
                              T.StructField("hi", T.IntegerType())]))

@@ -115,3 +115,35 @@ def test_odd_rows(odd, nothing):
     assert texts == ["", prose(2, 80), prose(2, 80)]
     assert [r.text for r in rows if r.doc_id == 1] == [None]
     assert L.clean(nothing).collect() == [] and L.deduplicate(nothing).collect() == []
+
+
+def repeated_lines(rows, least):
+    """Lines in any run of ``least`` words that an earlier place has, looking at all runs."""
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        own = lines_of(t)
+        for a in range(len(own)):
+            for b in range(a, len(own)):
+                run = own[a:b + 1]
+                if sum(len(s.split()) for _, s in run) >= least:
+                    key = tuple(s for _, s in run)
+                    if key in seen:
+                        out.setdefault(i, set()).update(n for n, _ in run)
+                    seen.add(key)
+    return out
+
+
+def test_runs_whose_fingerprints_are_frequent_lines(spark):
+    heads = [f"heading number{k}" for k in range(400)]
+    least = sorted(heads, key=xxhash.xxh64_intdigest)[:6]  # the least hash of any window
+    rows = [(k, f"{h}\n{prose(k, 60)}") for k, h in enumerate(least)]
+    for k, h in enumerate(least):
+        run = "\n".join([prose(100 + k, 23), h, prose(200 + k, 24), prose(300 + k, 20 + k), h, prose(400 + k, 13)])
+        rows += [(10 + k, f"{prose(500 + k, 9)}\n{run}"), (20 + k, f"{prose(600 + k, 70)}\n{run}\n{prose(700 + k, 8)}")]
+    for i, (_, x) in enumerate(passages(3)):
+        rows.append((100 + i, x.replace("\n\n", f"\n{least[i % 6]}\n")))
+    expected = repeated_lines(rows, 50)
+    got = {i: {n for a, b in x for n in range(a, b + 1)} for i, x in removed(documents(spark, rows)).items()}
+    assert all(len(expected[20 + k]) == 6 for k in range(6))
+    assert not {i: x - got.get(i, set()) for i, x in expected.items() if x - got.get(i, set())}
+    assert not any(i < 20 for i in got)
