@@ -48,17 +48,25 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The tables hold no labelled findings. These formats stand in for the issuers that would
 #: confirm a finding (fixed values: what the test documents' secrets look like).
 CONFIRMED = r"^AKIA[0-9A-Z]{16}$"
-CONFIRMED_VALUE = r"^[0-9a-f]{18,40}$"
-CONFIRMED_BEFORE = r"(password=|token = \")$"
+CONFIRMED_VALUE = r"(?i)^[0-9a-f]{18,40}$"
+CONFIRMED_BEFORE = r"(?i)(password=|token = \")$"
+#: What is surely none: plain words and paths of them or numbers, unless assigned to
+#: a name, and hashes that are called so. What is neither confirmed nor this has no label.
+PLAIN = r"^(([A-Z]?[a-z]+|[A-Z]+)?([_+/-]+([A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})?)*|[0-9_+/-]+)$"
+ASSIGNED = r"[=:]>?\s*[\"'`]?$"
+HASH = r"^[0-9a-fA-F]{32,}$"
+HASH_BEFORE = r"(?i)\b(commit|revision|sha-?[0-9]*|md5|checksum|digest)[\s=:]+[\"'`]?$"
 
 
 def labelled_findings(findings: DataFrame) -> DataFrame:
-    """Findings outside fold 1 of 3, with the stand-in label."""
+    """Findings outside fold 1 of 3, with the stand-in label: 1, 0, or null where it can't tell."""
     secret = F.col("candidate").rlike(CONFIRMED) | (
         F.col("candidate").rlike(CONFIRMED_VALUE) & F.col("before").rlike(CONFIRMED_BEFORE))
+    none = (F.col("candidate").rlike(PLAIN) & ~F.col("before").rlike(ASSIGNED)) | (
+        F.col("candidate").rlike(HASH) & F.col("before").rlike(HASH_BEFORE))
     learned = findings.withColumnRenamed("id", "doc_id")
     return learned.where(fold(learned, 3) != 1).withColumnRenamed("doc_id", "id").withColumn(
-        "label", secret.cast("int"))
+        "label", F.when(secret, 1).when(none, 0))
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
