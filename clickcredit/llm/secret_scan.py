@@ -13,9 +13,9 @@ by
 * the neighbouring words and the characters that lead to it, hashed.
 
 ``train`` fits it on labelled findings, a sample of about ``MAX_FINDINGS`` of
-them at most, chosen by hash; the dictionary comes from about ``MAX_DOCS``
-documents and holds at most ``MAX_GRAMS`` grams, so it may be broadcast. All
-documents are scanned, whole.
+them at most, chosen by hash. The dictionary comes from all documents. It holds at
+most 26 ** ``GRAM`` grams, as many as the alphabet has, so it may be broadcast.
+All documents are scanned, whole.
 
 Defined cases: a null text counts as empty and a null path as empty; labelled
 findings with a null label aren't learned from; unless findings of both
@@ -41,8 +41,6 @@ from .shared import materialize, text_of
 MIN_CHARS = 16
 GRAM = 4
 MAX_FINDINGS = 20_000
-MAX_DOCS = 2_000
-MAX_GRAMS = 50_000
 MIN_PROBABILITY = 0.5
 TREES, DEPTH, SEED = 30, 8, 7
 NEIGHBOUR_BUCKETS = 64
@@ -96,17 +94,14 @@ def _letter_grams(c: Column) -> Column:
     return F.array_distinct(F.filter(spans, lambda g: g.rlike(f"^[a-z]{{{GRAM}}}$")))
 
 
-def dictionary(docs: DataFrame, text_col: str = "text", max_docs: int = MAX_DOCS) -> DataFrame:
-    """The most frequent letter grams of plain words of a sample of documents (written): ``gram``."""
-    text = text_of(docs, text_col)
-    share = min(1.0, max_docs / max(docs.count(), 1))
-    sample = docs.select(text.alias("text")).where(
-        F.pmod(F.xxhash64(F.lit("dictionary"), "text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    words = sample.select(F.explode(F.regexp_extract_all(
-        "text", F.lit(rf"(?<![^\s])([A-Za-z][a-z]{{{GRAM - 1},}})(?=[\s.,]|$)"), 1)).alias("word"))
-    counted = words.select(F.explode(_letter_grams(F.col("word"))).alias("gram")).groupBy("gram").agg(
-        F.count(F.lit(1)).alias("n")).where("n > 1")
-    return materialize(counted.orderBy(F.desc("n"), "gram").limit(MAX_GRAMS).select("gram"), "secrets-dictionary")
+def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The letter grams that plain words of the documents have more than once (written): ``gram``."""
+    words = docs.select(F.explode(F.regexp_extract_all(
+        text_of(docs, text_col), F.lit(rf"(?<![^\s])([A-Za-z][a-z]{{{GRAM - 1},}})(?=[\s.,]|$)"), 1)).alias("word"))
+    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    grams = counted.select(F.explode(_letter_grams(F.col("word"))).alias("gram"), "n").groupBy("gram").agg(
+        F.sum("n").alias("n")).where("n > 1")
+    return materialize(grams.select("gram"), "secrets-dictionary")
 
 
 def _neighbours(before: Column, after: Column) -> Column:
@@ -129,7 +124,7 @@ def features(findings: DataFrame, grams: DataFrame) -> DataFrame:
         return F.regexp_count(of, F.lit(pattern)) / n
 
     own = findings.select("finding", F.explode(_letter_grams(c)).alias("gram"))
-    # bounded by MAX_GRAMS
+    # bounded by the alphabet
     covered = own.join(F.broadcast(grams), "gram").groupBy("finding").agg(F.count(F.lit(1)).alias("covered"))
     numbered = findings.select(
         "*", n.cast("double").alias("n_chars"),

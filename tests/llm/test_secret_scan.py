@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import re
 import zlib
@@ -100,3 +101,14 @@ def test_stand_in_labels_of_the_query(spark):
     got = Q.labelled_findings(S.candidates(spark.createDataFrame(rows, SCHEMA))).collect()
     assert {r.id for r in got} == set(ids)
     assert not {(dict((i, t) for i, t, _ in rows)[r.id], r.label) for r in got if r.label != label[r.id]}
+
+
+def test_dictionary_of_all_documents(spark):
+    """Grams of words that few of many documents have, and more of them than were once kept."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    many = ["".join(x) for x in itertools.product(letters, repeat=4)][:60_000]
+    rows = [(i, f"the of river {'rarest word: Zyxwvu' if i in (70, 6900) else 'cloud'}", None) for i in range(7000)]
+    rows += [(10_000 + k, " ".join(many[k:k + 1000] * 2), None) for k in range(0, len(many), 1000)]
+    rows += [(20_000, "onlyonce", None)]
+    got = {r.gram for r in S.dictionary(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {"rive", "iver", "clou", "loud", "rare", "ares", "rest", "zyxw", "yxwv", "xwvu", *many}
