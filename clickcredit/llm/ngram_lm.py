@@ -1,12 +1,10 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
 Tokens are words (A-Z in lower case) and an end after each text. Training
-counts all texts given, in three passes: words, then pairs of frequent
-words, then triples whose pairs are frequent. *Frequent* means a share of
-``SHARE`` of all training tokens, and at least two occurrences. So no level
-of the trie can have more than ``1 / SHARE`` entries, however large the corpus, and
-only that bounded part comes to the driver. The counts themselves are Spark
-groupings over everything, and the counts of rare words stay a table.
+counts all texts given, in three passes: words, pairs, triples. The model keeps
+every pair and triple with ``MIN_COUNT`` occurrences, however large the corpus
+(``share`` of ``train`` asks for more). The counts are Spark groupings over
+everything and stay tables, which grow with the input.
 
 The model is interpolated absolute discounting down to the additive word
 model ``p1(w) = (c + 0.1) / (N + 0.1 (V + 1))``:
@@ -14,15 +12,25 @@ model ``p1(w) = (c + 0.1) / (N + 0.1 (V + 1))``:
     p(w | h) = max(c(h w) - D, 0) / c(h) + back(h) p(w | shorter h)
 
 with ``back(h)`` the mass that the kept n-grams leave, so probabilities sum to
-one whatever was pruned (up to the quantisation of ``p`` and ``back`` to 8 bits).
+one (up to the quantisation of ``p`` and ``back`` to 8 bits in the trie).
+
+The *head*, words and n-grams that have a share of ``HEAD_SHARE`` of all training
+tokens, comes to the driver and makes the trie: ``1 / HEAD_SHARE`` entries a
+level at most. All others, the *tail*, are a table of what each adds to a
+log probability where it occurs: a word its ``p1``, an n-gram what it adds to the
+one shorter by a word, both what they leave (``back``) if a token follows. So a
+text's score is that of the trie plus a sum over its words and n-grams of the
+tail.
 
 The trie's levels are Elias-Fano sequences in one memory-mapped file, which
 Spark ships to each executor: words by their 64-bit hashes, then per level
 the pointers and the ids relative to their context. Texts are scored where they
-are read. Only their rare words are shuffled, to be joined with their counts; a
-hot word is frequent by definition, so no join key is hot.
+are read. Only their words and n-grams outside the head are shuffled, to be joined
+with the tail; what is hot is in the head by definition, so no join key is hot.
+Bitmaps of ``FILTER_BITS`` bits of the kept n-grams' hashes spare the shuffle most
+of the others; where they are full they spare nothing and the results are the same.
 
-Words count as equal if their 64-bit hashes are.
+Words and n-grams count as equal if their 64-bit hashes are.
 
 Defined cases: a null text counts as empty and is one end; without training
 texts N and V are 0 and every token has probability one; repeated rows are
@@ -39,16 +47,20 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles, TaskContext
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, SparkFiles, TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .elias_fano import EliasFano, Level, map_arrays, pack_arrays, quantise
 from .shared import materialize, prepare_workers, text_of, write_shared_file
-from .words import HashArray, parts_of, text_words
+from .words import parts_of, text_words
 
-SHARE = 2.5e-7
+#: Least occurrences of a kept n-gram, and least share of the training tokens: none.
+MIN_COUNT = 2
+SHARE = 0.0
+HEAD_SHARE = 2.5e-7
+FILTER_BITS = 27
 ADD = 0.1
 DISCOUNT = 0.75
 END = np.uint64(0x9B97A6E2D5F41C03)
@@ -63,16 +75,16 @@ def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Tally:
-    """Counts of keys, passed on whenever they are too many to keep."""
+    """Counts of keys with their columns, passed on whenever they are too many to keep."""
 
-    def __init__(self) -> None:
-        self.keys, self.counts = [], []
+    def __init__(self, names: list[str]) -> None:
+        self.names = names
+        self.parts: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
-    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.unique(keys, return_counts=True)
-        self.keys.append(keys)
-        self.counts.append(counts)
+    def add(self, keys: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keys, first, counts = np.unique(keys, return_index=True, return_counts=True)
+        self.parts.append((keys, counts, *(c[first] for c in columns)))
         self.size += len(keys)
         if self.size > _TALLY:
             self._merge()
@@ -80,29 +92,31 @@ class _Tally:
                 yield from self.flush()
 
     def _merge(self) -> None:
-        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+        keys, counts, *columns = (np.concatenate(x) for x in zip(*self.parts, strict=True))
         order = np.argsort(keys)
         keys, counts = keys[order], counts[order]
         heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        self.keys, self.counts = [keys[heads]], [np.add.reduceat(counts, heads)]
+        self.parts = [(keys[heads], np.add.reduceat(counts, heads), *(c[order[heads]] for c in columns))]
         self.size = len(heads)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.size:
             self._merge()
-            yield pa.record_batch({"key": pa.array(self.keys[0].view(np.int64)),
-                                   "n": pa.array(self.counts[0].astype(np.int64))})
-        self.keys, self.counts, self.size = [], [], 0
+            keys, counts, *columns = self.parts[0]
+            yield pa.record_batch({
+                **{x: pa.array(c.view(np.int64)) for x, c in zip(self.names, columns or [keys], strict=True)},
+                "n": pa.array(counts.astype(np.int64))})
+        self.parts, self.size = [], 0
 
 
-def _count(keys_of):
-    """Arrow function: counts of the keys that ``keys_of(tokens, bounds)`` gives."""
+def _count(keys_of, names: list[str]):
+    """Arrow function: counts of the keys, with their columns, that ``keys_of(tokens, bounds)`` gives."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = _Tally()
+        tally = _Tally(names)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for part in parts_of([len(t) for t in texts], _BATCH_CHARS):
-                yield from tally.add(keys_of(*_tokens(texts[part])))
+                yield from tally.add(*keys_of(*_tokens(texts[part])))
         yield from tally.flush()
     return run
 
@@ -114,51 +128,78 @@ def _within(bounds: np.ndarray, count: int) -> np.ndarray:
     return out
 
 
-def _pairs(words, tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word ids (-1: not frequent), the places whose token and the one before are frequent, and their pairs."""
-    ids = words.value.find(tokens).astype(np.int64)
-    good = _within(bounds, len(ids)) & (ids >= 0)
-    good[1:] &= ids[:-1] >= 0
-    at = np.flatnonzero(good)
-    return ids, at, ids[at - 1] << 32 | ids[at]
-
-
-def _pairs_of(words):
-    return lambda tokens, bounds: _pairs(words, tokens, bounds)[2]
-
-
-def _triples_of(words, pairs):
-    def run(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        ids, at, keys = _pairs(words, tokens, bounds)
-        known = pairs.value
-        if not len(known):
-            return np.empty(0, np.int64)
-        place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        found = known[place] == keys
-        node = np.full(len(ids), -1, np.int64)
-        node[at[found]] = place[found]
-        # a frequent pair never leaves its text, so two that overlap are a triple of one text
-        both = np.flatnonzero((node[1:] >= 0) & (node[:-1] >= 0)) + 1
-        return node[both - 1] << 32 | ids[both]
+#: Bits that the first part of a pair's and of a triple's key is turned by; they differ, so that "a b c" isn't "c b a".
+_TURN2, _TURN3 = 21, 31
+
+
+def _turned(keys: np.ndarray, bits: int) -> np.ndarray:
+    return keys << np.uint64(bits) | keys >> np.uint64(64 - bits)
+
+
+def _turned_column(key: Column, bits: int) -> Column:
+    return F.shiftleft(key, bits).bitwiseOR(F.shiftrightunsigned(key, 64 - bits))
+
+
+def _pair_keys(tokens: np.ndarray) -> np.ndarray:
+    """Of the pair that ends at each token; of the first one a stray value."""
+    return _turned(np.roll(tokens, 1), _TURN2) ^ tokens
+
+
+def _triple_keys(pair_keys: np.ndarray) -> np.ndarray:
+    """Of the triple that ends at each token, from the pairs; of the first two stray values."""
+    return _turned(np.roll(pair_keys, 1), _TURN3) ^ pair_keys
+
+
+def _third(follows: np.ndarray) -> np.ndarray:
+    """Whether each token follows two others of its text."""
+    out = follows.copy()
+    out[1:] &= follows[:-1]
+    return out
+
+
+def _all_pairs(tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    at = np.flatnonzero(_within(bounds, len(tokens)))
+    return _pair_keys(tokens)[at], tokens[at - 1], tokens[at]
+
+
+def _triples_of(pair_filter):
+    """Triples whose pairs may be kept: those of no others can be."""
+    def run(tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+        pairs = _pair_keys(tokens)
+        may = _within(bounds, len(tokens)) & _passes(pair_filter.value, pairs)
+        at = np.flatnonzero(_third(may))
+        return _triple_keys(pairs)[at], pairs[at - 1], pairs[at]
     return run
 
 
+def _filter(keys: DataFrame) -> np.ndarray:
+    """A bitmap of the leading ``FILTER_BITS`` bits of ``key``."""
+    place = F.shiftrightunsigned("key", 64 - FILTER_BITS)
+    rows = keys.groupBy(F.shiftright(place, 15).cast("int").alias("page")).agg(
+        F.bitmap_construct_agg(place.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
+    out = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    for page in rows.toLocalIterator():
+        out[page["page"] << 12:(page["page"] + 1) << 12] = np.frombuffer(page["bits"], np.uint8)
+    return out
+
+
+def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = keys >> np.uint64(64 - FILTER_BITS)
+    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 @dataclass
 class NgramModel:
-    """A trained model: the trie's file, the totals, and the counts of the rare words (a written table)."""
+    """A trained model: the trie's file, the totals, the tail (a written table), the filters of pairs and triples.
+
+    The tail has ``key, n, value, left``: ``n`` for words only, ``left`` where a token follows.
+    """
 
     file: str
     total: int
     distinct: int
-    rare: DataFrame
-
-
-def _frequent(counted: DataFrame, least: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """The keys with ``least`` occurrences or more, sorted, and their counts."""
-    table = counted.where(F.col("n") >= least).toArrow()
-    keys, counts = table["key"].to_numpy().view(kind), table["n"].to_numpy()
-    order = np.argsort(keys)
-    return keys[order], counts[order]
+    tail: DataFrame
+    filters: Broadcast
 
 
 def _log_word(counts: np.ndarray, total: int, distinct: int) -> np.ndarray:
@@ -166,20 +207,23 @@ def _log_word(counts: np.ndarray, total: int, distinct: int) -> np.ndarray:
 
 
 def _smoothed(parents: np.ndarray, counts: np.ndarray, parent_counts: np.ndarray,
-              lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log probability of each n-gram, and of what each parent leaves to the shorter one."""
+              lower: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log probability of each n-gram, and of what each parent leaves (``left``) to the shorter one."""
     share = (counts - DISCOUNT) / parent_counts[parents]
-    left = 1.0 - np.bincount(parents, share, len(parent_counts))
     return np.log10(share + left[parents] * 10.0 ** lower), np.log10(left)
 
 
 def build_trie(words: np.ndarray, word_counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray,
-               triples: np.ndarray, triple_counts: np.ndarray, total: int, distinct: int) -> bytes:
-    """The file of a trie from sorted keys: word hashes, ``word << 32 | word`` and ``pair << 32 | word``."""
+               triples: np.ndarray, triple_counts: np.ndarray, word_left: np.ndarray, pair_left: np.ndarray,
+               total: int, distinct: int) -> bytes:
+    """The file of a trie from sorted keys: word hashes, ``word << 32 | word`` and ``pair << 32 | word``.
+
+    ``word_left`` and ``pair_left`` are what all kept n-grams leave, also those outside the trie.
+    """
     low = (1 << 32) - 1
     p1 = _log_word(word_counts, total, distinct)
     first, second = pairs >> 32, pairs & low
-    p2, back1 = _smoothed(first, pair_counts, word_counts, p1[second])
+    p2, back1 = _smoothed(first, pair_counts, word_counts, p1[second], word_left)
     parent, third = triples >> 32, triples & low
     # the shorter n-gram of a triple: its last two words, a pair, or the word behind what they leave
     shorter = second[parent] << 32 | third
@@ -187,7 +231,7 @@ def build_trie(words: np.ndarray, word_counts: np.ndarray, pairs: np.ndarray, pa
     lower = back1[second[parent]] + p1[third]
     if len(pairs):
         lower = np.where(pairs[place] == shorter, p2[place], lower)
-    p3, back2 = _smoothed(parent, triple_counts, pair_counts, lower)
+    p3, back2 = _smoothed(parent, triple_counts, pair_counts, lower, pair_left)
     meta = {"total": total, "distinct": distinct}
     arrays: dict[str, np.ndarray] = {"counts": word_counts.astype(np.int64)}
     for name, values in (("p2", p2), ("p3", p3), ("back1", back1), ("back2", back2)):
@@ -221,10 +265,10 @@ class Trie:
         book, codes = self.codes[name]
         return book[codes[at]]
 
-    def score(self, tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``ids, word, whole`` per token: its id (-1: rare), its log ``p1`` and its log probability.
+    def score(self, tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``ids, pair, triple, word, whole`` per token: the nodes that end at it (-1: none), its log ``p1`` and its score.
 
-        For a rare token ``word`` is 0 and ``whole`` is what the model adds to its log ``p1``.
+        For a token of the tail ``word`` is 0, and ``whole`` has what the trie's n-grams give.
         """
         ids = self.words.find(tokens)
         known = np.flatnonzero(ids >= 0)
@@ -246,7 +290,9 @@ class Trie:
         at = at[ids[at] >= 0]
         node = self.triples.find(pair[at - 1], ids[at])
         whole[at[node >= 0]] = self.value("p3", node[node >= 0])
-        return ids, word, whole
+        triple = np.full(len(tokens), -1, np.int64)
+        triple[at] = node
+        return ids, pair, triple, word, whole
 
 
 @cache
@@ -255,36 +301,81 @@ def _open_trie(path: str) -> Trie:
     return Trie(path)
 
 
-def train(docs: DataFrame, text_col: str = "text", share: float = SHARE) -> NgramModel:
-    """Count all texts of ``docs`` and build the trie of what is frequent."""
+def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
+          head_share: float = HEAD_SHARE) -> NgramModel:
+    """Count all texts of ``docs``, build the trie of the head and write the tail."""
     spark = docs.sparkSession
     prepare_workers(spark)
     texts = docs.select(text_of(docs, text_col).alias("text"))
 
-    def counted(keys_of, name: str) -> DataFrame:
-        return materialize(texts.mapInArrow(_count(keys_of), "key bigint, n bigint")
-                           .groupBy("key").agg(F.sum("n").alias("n")), name)
+    def counted(keys_of, names: list[str]) -> DataFrame:
+        schema = ", ".join(f"{x} bigint" for x in (*names, "n"))
+        return texts.mapInArrow(_count(keys_of, names), schema).groupBy(*names).agg(F.sum("n").alias("n"))
 
-    words = counted(lambda tokens, bounds: tokens, "lm-words")
-    totals = words.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
+    counts = materialize(counted(lambda tokens, bounds: (tokens,), ["key"]), "lm-words")
+    totals = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
     total, distinct = totals["total"] or 0, totals["distinct"]
-    least = max(2, int(np.ceil(share * total)))
-    keys, word_counts = _frequent(words, least, np.uint64)
-    shared_words = spark.sparkContext.broadcast(HashArray(keys, np.empty(0)))
-    pairs, pair_counts = _frequent(
-        texts.mapInArrow(_count(_pairs_of(shared_words)), "key bigint, n bigint")
-        .groupBy("key").agg(F.sum("n").alias("n")), least, np.int64)
-    shared_pairs = spark.sparkContext.broadcast(pairs)
-    triples, triple_counts = _frequent(
-        texts.mapInArrow(_count(_triples_of(shared_words, shared_pairs)), "key bigint, n bigint")
-        .groupBy("key").agg(F.sum("n").alias("n")), least, np.int64)
-    data = build_trie(keys, word_counts, pairs, pair_counts, triples, triple_counts, total, distinct)
+    least = max(MIN_COUNT, int(np.ceil(share * total)))
+    head = max(least, int(np.ceil(head_share * total)))
+    floor = F.lit(total + ADD * (distinct + 1))
+    kept = F.col("n") >= least
+
+    pairs = materialize(counted(_all_pairs, ["a", "b"]).where(kept).select(
+        _turned_column(F.col("a"), _TURN2).bitwiseXOR(F.col("b")).alias("key"), "a", "b", "n"), "lm-pairs")
+    pair_filter = spark.sparkContext.broadcast(_filter(pairs))
+    triples = materialize(counted(_triples_of(pair_filter), ["ab", "bc"]).where(kept), "lm-triples")
+    triple_key = _turned_column(F.col("ab"), _TURN3).bitwiseXOR(F.col("bc"))
+    triple_filter = _filter(triples.select(triple_key.alias("key")))
+    filters = spark.sparkContext.broadcast((pair_filter.value, triple_filter))
+
+    def taken(ngrams: DataFrame, by: str) -> DataFrame:
+        return ngrams.groupBy(F.col(by).alias("key")).agg(F.sum(F.col("n") - DISCOUNT).alias("taken"))
+
+    left = 1 - F.coalesce("taken", F.lit(0.0)) / F.col("n")
+    words = materialize(counts.join(taken(pairs, "a"), "key", "left").select(
+        "key", "n", left.alias("left")), "lm-word-model")
+    first = words.where(kept).select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("left").alias("left_a"))
+    second = words.where(kept).select(F.col("key").alias("b"), ((F.col("n") + ADD) / floor).alias("p1"))
+    own, lower = (F.col("n") - DISCOUNT) / F.col("n_a"), F.col("left_a") * F.col("p1")
+    pairs = materialize(pairs.join(first, "a").join(second, "b").join(taken(triples, "ab"), "key", "left").select(
+        "key", "a", "b", "n", left.alias("left"), (own + lower).alias("p"),
+        F.log10(1 + own / lower).alias("value")), "lm-pair-model")
+    ab = pairs.select(F.col("key").alias("ab"), (F.col("n") * F.col("left")).alias("scale"))
+    bc = pairs.select(F.col("key").alias("bc"), "p")
+    tail = F.col("n") < head
+    added = F.log10(1 + (F.col("n") - DISCOUNT) / (F.col("scale") * F.col("p")))
+    nothing = F.lit(None).cast("bigint")
+    rest = (words.where(tail).select("key", "n", F.log10((F.col("n") + ADD) / floor).alias("value"),
+                                     F.log10("left").alias("left"))
+            .unionByName(pairs.where(tail).select("key", nothing.alias("n"), "value", F.log10("left").alias("left")))
+            .unionByName(triples.where(tail).join(ab, "ab").join(bc, "bc").select(
+                triple_key.alias("key"), nothing.alias("n"), added.alias("value"), F.lit(0.0).alias("left"))))
+    rest = materialize(rest, "lm-tail")
+
+    def columns(table: DataFrame, *names: str) -> list[np.ndarray]:
+        found = table.where(F.col("n") >= head).select(*names).toArrow()
+        return [found[x].to_numpy() for x in names]
+
+    keys, word_counts, word_left = columns(words, "key", "n", "left")
+    order = np.argsort(keys.view(np.uint64))
+    keys, word_counts, word_left = keys.view(np.uint64)[order], word_counts[order], word_left[order]
+    pair_keys, a, b, pair_counts, pair_left = columns(pairs, "key", "a", "b", "n", "left")
+    ids = np.searchsorted(keys, a.view(np.uint64)) << 32 | np.searchsorted(keys, b.view(np.uint64))
+    order = np.argsort(ids)
+    pair_keys, ids, pair_counts, pair_left = (x[order] for x in (pair_keys, ids, pair_counts, pair_left))
+    by_key = np.argsort(pair_keys)
+    ab_keys, bc_keys, triple_counts = columns(triples, "ab", "bc", "n")
+    ab_at, bc_at = (by_key[np.searchsorted(pair_keys, x, sorter=by_key)] for x in (ab_keys, bc_keys))
+    nodes = ab_at << 32 | ids[bc_at] & ((1 << 32) - 1)
+    order = np.argsort(nodes)
+    data = build_trie(keys, word_counts, ids, pair_counts, nodes[order], triple_counts[order], word_left, pair_left,
+                      total, distinct)
     path = write_shared_file(spark, "lm-trie", data)
     spark.sparkContext.addFile(path)
-    return NgramModel(path.rsplit("/", 1)[-1], total, distinct, words.where(F.col("n") < least))
+    return NgramModel(path.rsplit("/", 1)[-1], total, distinct, rest, filters)
 
 
-def _score_in(file: str):
+def _score_in(file: str, filters):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = _open_trie(SparkFiles.get(file))
         row = TaskContext.get().partitionId() << 40
@@ -292,23 +383,36 @@ def _score_in(file: str):
             texts = batch.column("text").to_pylist()
             for part in parts_of([len(t) for t in texts], _BATCH_CHARS):
                 tokens, bounds = _tokens(texts[part])
-                ids, word, whole = trie.score(tokens, bounds)
+                ids, pair, triple, word, whole = trie.score(tokens, bounds)
                 n = len(bounds) - 1
                 doc = np.repeat(np.arange(n), np.diff(bounds))
+                follows = _within(bounds, len(tokens))
+                followed = np.append(follows[1:], False)
+                pairs = _pair_keys(tokens)
+                triples = _triple_keys(pairs)
                 lost = np.flatnonzero(ids < 0)
-                order = lost[np.lexsort((tokens[lost], doc[lost]))]
+                two = np.flatnonzero(follows & (pair < 0) & _passes(filters.value[0], pairs))
+                three = np.flatnonzero(_third(follows) & (triple < 0) & _passes(filters.value[1], triples))
+                keys = np.concatenate((tokens[lost], pairs[two], triples[three]))
+                at = np.concatenate((lost, two, three))
+                is_word = np.arange(len(at)) < len(lost)
+                order = np.lexsort((keys, ~is_word, doc[at]))
+                keys, at, is_word = keys[order], at[order], is_word[order]
                 head = np.ones(len(order), bool)
-                head[1:] = (tokens[order[1:]] != tokens[order[:-1]]) | (doc[order[1:]] != doc[order[:-1]])
+                head[1:] = ((keys[1:] != keys[:-1]) | (doc[at[1:]] != doc[at[:-1]]) | (is_word[1:] != is_word[:-1]))
                 heads = np.flatnonzero(head)
-                offsets = np.searchsorted(doc[order[heads]], np.arange(n + 1)).astype(np.int32)
+                offsets = pa.array(np.searchsorted(doc[at[heads]], np.arange(n + 1)).astype(np.int32))
                 times = np.diff(np.append(heads, len(order)))
+                before = np.concatenate(([0], np.cumsum(followed[at])))
+                goes_on = before[np.append(heads[1:], len(order))] - before[heads] if len(heads) else times
+                lists = {"rare": keys[heads].view(np.int64), "times": times.astype(np.int64),
+                         "followed": goes_on.astype(np.int64), "is_word": is_word[heads]}
                 yield pa.record_batch({
                     "row": pa.array(row + np.arange(n)), "id": batch.column("id").slice(part.start, n),
                     "n_tokens": pa.array(np.diff(bounds)),
                     "n_known": pa.array(np.bincount(doc, ids >= 0, n).astype(np.int64)),
                     "base": pa.array(np.bincount(doc, word, n)), "whole": pa.array(np.bincount(doc, whole, n)),
-                    "rare": pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens[order[heads]].view(np.int64))),
-                    "times": pa.ListArray.from_arrays(pa.array(offsets), pa.array(times.astype(np.int64)))})
+                    **{x: pa.ListArray.from_arrays(offsets, pa.array(v)) for x, v in lists.items()}})
                 row += n
     return run
 
@@ -319,21 +423,26 @@ def score(docs: DataFrame, model: NgramModel, id_col: str = "doc_id", text_col:
     rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
     longs = T.ArrayType(T.LongType())
     # written, so that a row's number is the same for its rare words and for its sums
-    part = materialize(rows.mapInArrow(_score_in(model.file), T.StructType([
+    part = materialize(rows.mapInArrow(_score_in(model.file, model.filters), T.StructType([
         T.StructField("row", T.LongType()), T.StructField("id", rows.schema["id"].dataType),
         T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
         T.StructField("base", T.DoubleType()), T.StructField("whole", T.DoubleType()),
-        T.StructField("rare", longs), T.StructField("times", longs)])), "lm-parts")
-    rare = part.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
-        "row", F.col("r.rare").alias("key"), F.col("r.times").alias("times"))
+        T.StructField("rare", longs), T.StructField("times", longs), T.StructField("followed", longs),
+        T.StructField("is_word", T.ArrayType(T.BooleanType()))])), "lm-parts")
+    rare = part.select("row", F.explode(F.arrays_zip("rare", "times", "followed", "is_word")).alias("r")).select(
+        "row", F.col("r.rare").alias("key"), F.col("r.times").alias("times"), F.col("r.followed").alias("followed"),
+        F.col("r.is_word").alias("is_word"))
     count = F.coalesce(F.col("n"), F.lit(0))
-    floor = model.total + ADD * (model.distinct + 1)
-    sums = (rare.join(model.rare, "key", "left")
-            .select("row", F.when(count > 0, F.col("times")).otherwise(0).alias("known"),
-                    (F.col("times") * F.log10((count + F.lit(ADD)) / F.lit(floor))).alias("word"))
-            .groupBy("row").agg(F.sum("known").alias("known"), F.sum("word").alias("word")))
-    word = F.coalesce("word", F.lit(0.0))
-    return part.drop("rare", "times").join(sums, "row", "left").select(
+    unknown = float(_log_word(np.zeros(1), model.total, model.distinct)[0]) if model.total else 0.0
+    word = F.when(F.col("is_word"), F.col("times") * F.coalesce(F.col("value"), F.lit(unknown))).otherwise(0.0)
+    ngram = F.when(F.col("is_word"), 0.0).otherwise(F.col("times") * F.coalesce(F.col("value"), F.lit(0.0)))
+    sums = (rare.join(model.tail, (rare["key"] == model.tail["key"])
+                      & (rare["is_word"] == model.tail["n"].isNotNull()), "left")
+            .select("row", F.when(count > 0, F.col("times")).otherwise(0).alias("known"), word.alias("word"),
+                    (ngram + F.col("followed") * F.coalesce(F.col("left"), F.lit(0.0))).alias("more"))
+            .groupBy("row").agg(F.sum("known").alias("known"), F.sum("word").alias("word"), F.sum("more").alias("more")))
+    word, more = F.coalesce("word", F.lit(0.0)), F.coalesce("more", F.lit(0.0))
+    return part.drop("rare", "times", "followed", "is_word").join(sums, "row", "left").select(
         "id", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("bigint").alias("train_tokens"),
-        (F.col("base") + word).alias("base_score"), (F.col("whole") + word).alias("score"))
+        (F.col("base") + word).alias("base_score"), (F.col("whole") + word + more).alias("score"))

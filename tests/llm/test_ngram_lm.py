@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter, defaultdict
@@ -138,3 +139,26 @@ def test_odd_rows_and_no_training(spark, odd, nothing):
     untrained = M.train(nothing)
     for r in M.score(odd, untrained).collect():
         assert (r.n_known, r.train_tokens) == (0, 0) and r.base_score == pytest.approx(0.0) and r.score == pytest.approx(0.0)
+
+
+@pytest.mark.parametrize("head_share", [0.002, 0.02, 1.0])
+def test_ngrams_below_the_head_stay_in_the_model(spark, head_share):
+    rows = [(i, prose(i % 25, 5 + i)) for i in range(60)] + [(100, "New words ONLY here Alpha1"), (101, ""), (102, None)]
+    known = [t for i, t in rows if i < 45]
+    brute = Brute(known, 0.0)
+    assert max(brute.two.values()) < head_share * brute.n or min(brute.two.values()) < head_share * brute.n
+    model = M.train(documents(spark, rows).where("doc_id < 45"), head_share=head_share)
+    for r in M.score(documents(spark, rows), model).collect():
+        t = dict(rows)[r.id]
+        d = tokens_of(t)
+        assert r.n_known == sum(brute.c[w] > 0 for w in d)
+        assert r.base_score == pytest.approx(sum(math.log10(brute.p1(w)) for w in d), rel=1e-12)
+        # nothing is quantised but the head
+        assert r.score == pytest.approx(brute.score(t), abs=(0.05 if head_share < 1 else 1e-9) * len(d))
+
+
+def test_no_order_of_words_shares_a_key():
+    tokens = M._tokens([" ".join(f"w{k}" for k in range(6))])[0][:6]
+    orders = [np.array(x) for n in (2, 3) for x in itertools.product(tokens, repeat=n)]
+    keys = [int((M._triple_keys(M._pair_keys(x)) if len(x) == 3 else M._pair_keys(x))[-1]) for x in orders]
+    assert len(set(keys)) == len(orders)
