@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, langid, line_dedup, ngram_lm, packing, secret_scan, simhash, token_store
+from . import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    fim,
+    hard_negatives,
+    langid,
+    line_dedup,
+    ngram_lm,
+    packing,
+    secret_scan,
+    simhash,
+    token_store,
+    toxicity,
+)
 from .shared import materialize, scratch_path
 
 
@@ -157,6 +171,38 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(replies, 256).alias("loss_sha256"), "formatted_chars"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every anchor and positive, the hardest rows of other labels."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.usable(vectors, "embedding").select(
+        "vec_id", label.alias("label"), hard_negatives.quantised(F.col("embedding")).alias("vec"),
+        (F.col("vec_id") % 100 == 0).alias("is_anchor"))
+    return hard_negatives.mine(rows, "is_anchor")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a fill-in-the-middle example, and the text that the example gives back."""
+    made = fim.transform(_table(spark, sf_dir, "documents"))
+    return made.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(made["output"], made["form"]), 256).alias("restored_sha256"))
+
+
+#: Least score of a toxic document.
+TOXIC = 0.3
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a machine that learned from the labels outside fold 2 of 4."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(fold(labels, 4) != 2))
+    found = toxicity.score(docs, model).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", (fold(found, 4) == 2).alias("held_out"), "score",
+                        (F.col("score") >= TOXIC).cast("int").alias("predicted"), "n_terms")
+
+
 OP2_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -190,6 +236,57 @@ SELECT conv_id, count(*) AS n_turns,
 FROM ends GROUP BY conv_id
 """
 
+OP11_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_dot_product(a.vec, b.vec) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT * FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.other_id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+  n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
+OP12_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents
+), drawn AS (
+  SELECT *, len(units) AS n,
+    CAST('0x' || substr(h, 1, 8) AS UBIGINT) % (len(units) + 1) AS one,
+    CAST('0x' || substr(h, 9, 8) AS UBIGINT) % (len(units) + 1) AS two,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+           OR CAST('0x' || substr(h, 17, 8) AS UBIGINT) % 100 >= 50 THEN 'plain'
+         WHEN CAST('0x' || substr(h, 25, 8) AS UBIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+), pieces AS (
+  SELECT *, array_to_string(units[1:least(one, two)], '') AS prefix,
+    array_to_string(units[least(one, two) + 1:greatest(one, two)], '') AS middle,
+    array_to_string(units[greatest(one, two) + 1:n], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM pieces
+"""
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -201,11 +298,16 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_chat_format": op10_chat_format,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_toxicity": op13_toxicity,
 }
 
 _SQL: dict[str, str] = {
     "op2_exact_dedup": OP2_SQL,
     "op10_chat_format": OP10_SQL,
+    "op11_hard_negatives": OP11_SQL,
+    "op12_fill_in_middle": OP12_SQL,
 }
 
 

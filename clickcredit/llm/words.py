@@ -81,6 +81,35 @@ def word_hashes(data: bytes, separator: np.ndarray = SPACE) -> tuple[np.ndarray,
     return np.concatenate(starts), np.concatenate(hashes)
 
 
+def word_prefixes(data: bytes, lengths: tuple[int, ...], separator: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """``starts, hashes`` of the words of ``data`` and of their first bytes.
+
+    ``hashes`` has a column for whole words and one for each of ``lengths``: the
+    hash of so many bytes, 0 where the word has no more.
+    """
+    buf = np.frombuffer(data, np.uint8)
+    starts, hashes = [np.empty(0, np.int64)], [np.empty((0, 1 + len(lengths)), np.uint64)]
+    for lo, hi in _pieces(buf, separator):
+        piece = buf[lo:hi]
+        inside = np.zeros(len(piece) + 2, np.int8)
+        inside[1:-1] = ~separator[piece]
+        edges = np.diff(inside)
+        a, b = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        up, down = _Powers.get(len(piece) + 1)
+        sums = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum(_BYTES[piece] * up[:-1], out=sums[1:])
+        found = np.zeros((len(a), 1 + len(lengths)), np.uint64)
+        found[:, 0] = mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
+        for k, n in enumerate(lengths, 1):
+            longer = np.flatnonzero(b - a > n)
+            at = a[longer]
+            # a prefix isn't the word of the same letters
+            found[longer, k] = mix((sums[at + n] - sums[at]) * down[at] + np.uint64(n)) ^ np.uint64(1)
+        starts.append(a + lo)
+        hashes.append(found)
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
 def text_words(texts: list[bytes], separator: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """``hashes, bounds``: text ``i`` has the word hashes ``hashes[bounds[i]:bounds[i + 1]]``."""
     offsets = np.cumsum([0, *(len(t) + 1 for t in texts)])

@@ -60,6 +60,25 @@ def test_query_language_id(spark, docs):
     assert sum(r.rejected for r in got) <= 0.01 * len(got)
 
 
+@pytest.mark.parametrize("name", ["op11_hard_negatives", "op12_fill_in_middle"])
+def test_sql_on_the_next_larger_tables(spark, name):
+    sf_dir = TESTDATA / "sf0.01"
+    found = rows_of_spark(Q.queries()[name](spark, str(sf_dir)))
+    assert len(found[1]) > 100 and found == rows_of_duck(duck_for(sf_dir), Q.oracle_sql()[name])
+
+
+def test_query_toxicity(spark):
+    """On the next larger tables: the smallest hold too few labels to learn from."""
+    sf_dir = str(TESTDATA / "sf0.01")
+    ids = sorted(r.doc_id for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    got = Q.queries()["op13_toxicity"](spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in got) == ids
+    assert all(r.held_out == (fold(r.doc_id, 4) == 2) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
+    held = [r for r in got if r.held_out and r.doc_id in toxic]
+    assert sum(r.predicted == toxic[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
 def test_query_packing(spark, rows):
     got = run(spark, "op3_best_fit_packing").collect()
     sizes, bins = defaultdict(int), defaultdict(int)
