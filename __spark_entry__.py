@@ -45,9 +45,8 @@ def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_event_hits(spark, sf_dir)
 
 
-def _enriched(spark: SparkSession, sf_dir: str, rules: Rules = RULES,
-              for_attribution: bool = True) -> DataFrame:
-    return ops.enrich(_hits(spark, sf_dir), rules, for_attribution=for_attribution)
+def _enriched(spark: SparkSession, sf_dir: str, rules: Rules = RULES) -> DataFrame:
+    return ops.enrich(_hits(spark, sf_dir), rules)
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +93,7 @@ def q_hit_revenue(spark, sf_dir):
 
 
 def q_enriched_hits(spark, sf_dir):
-    return _enriched(spark, sf_dir, for_attribution=False).select(
+    return _enriched(spark, sf_dir).select(
         TIE, "hit_ts", "domain", "keyword", "is_purchase", "revenue")
 
 

@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
+    authority_of_clean,
     clean_url,
+    domain_of_engine,
+    engine_of_host,
     epoch_seconds,
     hit_revenue,
     host_of_clean,
     hostname,
     is_purchase,
-    keyword_of_query,
+    keyword_of_raw,
     query_of_clean,
-    search_domain_of_host,
+    raw_keyword,
 )
 from ..rules import DEFAULT_RULES, Rules
 from .columns import (
@@ -31,7 +34,10 @@ from .columns import (
 
 REFERRER_HOST = "referrer_host"
 _CLEAN = "_clean_referrer"
+_AUTHORITY = "_referrer_authority"
 _QUERY = "_referrer_query"
+_RAW = "_raw_keyword"
+_ENGINE = "_engine"
 
 
 def with_hit_ts(hits: DataFrame) -> DataFrame:
@@ -46,42 +52,27 @@ def with_referrer_host(hits: DataFrame) -> DataFrame:
     return hits.withColumn(REFERRER_HOST, hostname(F.col(REFERRER)))
 
 
-def enrich(hits: DataFrame, rules: Rules = DEFAULT_RULES,
-           for_attribution: bool = False) -> DataFrame:
+def enrich(hits: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """F9. Hits plus ``hit_ts``, ``domain``, ``keyword``, ``is_purchase``, ``revenue``.
 
     Absent domain or keyword stay NULL. Native expressions only. The
-    cleaned referrer, its host and its query text are each computed once
+    cleaned referrer, its authority, host, query text and raw keyword are each computed once
     and shared (Spark does not share an expression that only later CASE or
     COALESCE branches use, so they are projected as columns first).
-
-    With ``for_attribution`` only what attribution reads is computed: the
-    keyword only where a search domain was found, and the revenue only for
-    purchases (0.0 otherwise). Most referrers of a shop are its own pages,
-    so this skips the query-string and product-list parsing for most hits.
-    The report is the same either way.
     """
     hits = with_hit_ts(hits)
     cleaned = hits.withColumn(_CLEAN, clean_url(F.col(REFERRER)))
-    hosted = cleaned.withColumn(REFERRER_HOST, host_of_clean(F.col(_CLEAN)))
-    domain = search_domain_of_host(F.col(REFERRER_HOST), rules.engines)
-    purchase = is_purchase(F.col(EVENT_LIST), rules.purchase_event)
-    if not for_attribution:
-        parts = hosted.withColumn(_QUERY, query_of_clean(F.col(_CLEAN)))
-        return parts.withColumns({
-            DOMAIN: domain,
-            KEYWORD: keyword_of_query(F.col(_QUERY), rules.keyword_params),
-            IS_PURCHASE: purchase,
-            REVENUE: hit_revenue(F.col(PRODUCT_LIST)),
-        }).drop(_CLEAN, REFERRER_HOST, _QUERY)
-    flagged = hosted.withColumns({DOMAIN: domain, IS_PURCHASE: purchase})
-    parts = flagged.withColumn(
-        _QUERY, F.when(F.col(DOMAIN).isNotNull(), query_of_clean(F.col(_CLEAN))))
-    return parts.withColumns({
-        KEYWORD: keyword_of_query(F.col(_QUERY), rules.keyword_params),
-        REVENUE: F.when(F.col(IS_PURCHASE), hit_revenue(F.col(PRODUCT_LIST)))
-                  .otherwise(F.lit(0.0).cast("double")),
-    }).drop(_CLEAN, REFERRER_HOST, _QUERY)
+    parts = cleaned.withColumns({_AUTHORITY: authority_of_clean(F.col(_CLEAN)),
+                                 _QUERY: query_of_clean(F.col(_CLEAN))})
+    hosted = parts.withColumns({REFERRER_HOST: host_of_clean(F.col(_CLEAN), F.col(_AUTHORITY)),
+                                _RAW: raw_keyword(F.col(_QUERY), rules.keyword_params)})
+    named = hosted.withColumn(_ENGINE, engine_of_host(F.col(REFERRER_HOST), rules.engines))
+    return named.withColumns({
+        DOMAIN: domain_of_engine(F.col(REFERRER_HOST), F.col(_ENGINE)),
+        KEYWORD: keyword_of_raw(F.col(_RAW)),
+        IS_PURCHASE: is_purchase(F.col(EVENT_LIST), rules.purchase_event),
+        REVENUE: hit_revenue(F.col(PRODUCT_LIST)),
+    }).drop(_CLEAN, _AUTHORITY, REFERRER_HOST, _QUERY, _RAW, _ENGINE)
 
 
 def valid_touch() -> F.Column:

@@ -32,7 +32,7 @@ from ..sources import read_hits, read_hits_parquet, report_name, write_report
 def search_revenue(hits: DataFrame, rules: Rules = DEFAULT_RULES, tie: str | None = None,
                    bucket_seconds: int | None = None) -> DataFrame:
     """Q1. ``Search Engine Domain, Search Keyword, Revenue`` for raw or timed hits."""
-    enriched = enrich(hits, rules, for_attribution=True)
+    enriched = enrich(hits, rules)
     return keyword_revenue(enriched, rules, tie=tie, bucket_seconds=bucket_seconds)
 
 

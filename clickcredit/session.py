@@ -12,6 +12,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM never compiles a method of more than 8000 bytes, and the fused enrichment is one.
+    # Above this limit Spark generates a method for each step instead, which is compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -99,11 +99,8 @@ def test_enrichment_matches_python(spark, batch):
     df = spark.createDataFrame(rows, "event_id long, hit_ts long, ip string, user_agent string, "
                                      "referrer string, event_list string, product_list string")
     full = {r.event_id: r for r in ops.enrich(df).collect()}
-    attr = {r.event_id: r for r in ops.enrich(df, for_attribution=True).collect()}
     hosts = {r.event_id: r.referrer_host for r in ops.with_referrer_host(df).collect()}
     for i, url in enumerate(batch):
         assert hosts[i] == py_host(url), url
         assert full[i].domain == py_domain(url), url
         assert full[i].keyword == py_keyword(url), url
-        assert attr[i].domain == py_domain(url), url
-        assert attr[i].keyword == (py_keyword(url) if py_domain(url) else None), url
