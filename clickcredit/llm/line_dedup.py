@@ -3,25 +3,21 @@
 A document is the sequence of its non-empty lines, trimmed, each with a
 64-bit hash. The steps:
 
-1. **Winnow.** A window is the shortest run of lines from a line on that has
-   ``min_words`` words. Of each window the line of the least hash (the first of
-   equals) is a fingerprint. So any run of ``min_words`` words or more that
-   occurs twice has a fingerprint in common, wherever it begins. But the first
-   place of a fingerprint may be another one, if its line is frequent. So the
-   windows themselves, and the shortest runs of ``min_words`` words up to each
-   line, are matched too, by the hash of all their lines. They cover every
-   run that occurs twice.
-2. **Join positions.** The first occurrence of each fingerprint and of each
-   window in the corpus, in order of ``(id, text hash, line)``, is found by a
-   grouping with a map-side step. Every later occurrence is joined with that
-   one, never with each other.
-3. **Extend.** Equal windows match as a whole. A fingerprint carries the hashes of its neighbours, on each side
-   the lines with fewer than ``min_words`` words between. The match is
-   extended both ways while lines agree. By the choice of windows this
-   reaches the next fingerprint, or the end of the repeated run.
-4. **Delete.** Extended matches that touch are one run. Runs of ``min_words``
-   words or more are deleted, with the empty lines inside. Each deleted line
-   has an equal one at an earlier place, so the first copy stays.
+1. **Winnow.** A window is the shortest run of lines with ``min_words`` words from a
+   line on, or up to a line. The line of the least hash (the first of equals) is
+   the window's fingerprint. Equal windows have the same fingerprint at the same line, wherever
+   they stand, so any run of ``min_words`` words or more that occurs twice
+   shares the fingerprints of all windows inside it.
+2. **Join positions.** A fingerprint is joined together with the hash of the lines of
+   its window, 128 bits in all: its line alone may be a frequent one, whose first place says
+   nothing about the others. The first position of each in the corpus, in order
+   of ``(id, text hash, line)``, is found by a grouping with a map-side step. Every
+   later position is joined with that one, never with each other.
+3. **Extend.** Windows stand at every line, to both sides of a fingerprint. So a match goes
+   on both ways, window by window, as far as lines agree, and no further: each matched window has
+   ``min_words`` words, so no line goes that is in no repeated run of so many.
+4. **Delete.** Matched windows that touch are one run. Runs are deleted, with the
+   empty lines inside. Each deleted line has an equal one at an earlier place, so the first copy stays.
 
 Defined cases: null and empty texts have no lines and stay as they are; null
 ids come first in the order; rows that repeat both id and text are one
@@ -32,6 +28,7 @@ gives an empty result; other columns pass through ``deduplicate``.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,8 +42,6 @@ from pyspark.sql import types as T
 from .shared import docs_col, free_name, materialize, prepare_workers, row_key, text_of
 
 MIN_WORDS = 50
-#: Seed of the windows' hashes, so that a window of one line isn't its line.
-_WINDOW = 1
 
 
 def lines_of(text: str) -> tuple[list[int], list[str]]:
@@ -55,25 +50,6 @@ def lines_of(text: str) -> tuple[list[int], list[str]]:
     return [i for i, _ in found], [s for _, s in found]
 
 
-def winnow(hashes: list[int], words: list[int], min_words: int) -> list[int]:
-    """Places of the fingerprints: the least hash of each window, the first of equals."""
-    chosen, end, total, best = [], 0, 0, -1
-    for start in range(len(hashes)):
-        if best < start:
-            best = min(range(start, max(end, start + 1)), key=lambda i: (hashes[i], i))
-        while end < len(hashes) and total < min_words:
-            total += words[end]
-            if hashes[end] < hashes[best]:
-                best = end
-            end += 1
-        if total < min_words:
-            break
-        if not chosen or chosen[-1] != best:
-            chosen.append(best)
-        total -= words[start]
-    return chosen
-
-
 def windows(words: list[int], min_words: int) -> list[tuple[int, int]]:
     """The shortest runs ``(first, last)`` of ``min_words`` words from each line on, and up to each line."""
     found, lo, total = set(), 0, 0
@@ -89,108 +65,76 @@ def windows(words: list[int], min_words: int) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def _reach(hashes: list[int], words: list[int], at: range, min_words: int) -> list[int]:
-    """Hashes from a fingerprint outwards, while fewer than ``min_words`` words lie before their line."""
-    out, total = [], 0
-    for i in at:
-        if total >= min_words:
-            break
-        out.append(hashes[i])
-        total += words[i]
-    return out
+def fingerprints(hashes: list[int], runs: list[tuple[int, int]]) -> list[int]:
+    """The fingerprint of each window: the place of its least hash, the first of equals.
+
+    Windows in order begin and end no earlier than the one before, so the candidates are kept in a queue.
+    """
+    chosen, queue, seen = [], deque(), 0
+    for lo, hi in runs:
+        for at in range(max(seen, lo), hi + 1):
+            while queue and hashes[queue[-1]] > hashes[at]:
+                queue.pop()
+            queue.append(at)
+        seen = max(seen, hi + 1)
+        while queue[0] < lo:
+            queue.popleft()
+        chosen.append(queue[0])
+    return chosen
 
 
-def _fingerprints(min_words: int):
+def _positions(min_words: int):
+    """Arrow function: the windows of every text, with their fingerprints."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, place, last, fp, left, right = [], [], [], [], [], []
+            row, lo, hi, fp, around = [], [], [], [], []
             for r, text in enumerate(batch.column("text").to_pylist()):
                 _, lines = lines_of(text)
                 hashes = [xxhash.xxh64_intdigest(s) - (1 << 63) for s in lines]
-                words = [len(s.split()) for s in lines]
-                for p in winnow(hashes, words, min_words):
-                    row.append(r)
-                    place.append(p)
-                    last.append(p)
-                    fp.append(hashes[p])
-                    left.append(_reach(hashes, words, range(p - 1, -1, -1), min_words))
-                    right.append(_reach(hashes, words, range(p + 1, len(hashes)), min_words))
+                runs = windows([len(s.split()) for s in lines], min_words)
                 every = np.array(hashes, np.int64)
-                for lo, hi in windows(words, min_words):
+                for (a, b), p in zip(runs, fingerprints(hashes, runs), strict=True):
                     row.append(r)
-                    place.append(lo)
-                    last.append(hi)
-                    fp.append(xxhash.xxh64_intdigest(every[lo:hi + 1].tobytes(), _WINDOW) - (1 << 63))
-                    left.append([])
-                    right.append([])
+                    lo.append(a)
+                    hi.append(b)
+                    fp.append(hashes[p])
+                    around.append(xxhash.xxh64_intdigest(every[a:b + 1].tobytes()) - (1 << 63))
             rows = pa.array(row, pa.int64())
             yield pa.record_batch({
                 "id": batch.column("id").take(rows), "row_key": batch.column("row_key").take(rows),
-                "place": pa.array(place, pa.int32()), "last": pa.array(last, pa.int32()), "fp": pa.array(fp, pa.int64()),
-                "left": pa.array(left, pa.list_(pa.int64())), "right": pa.array(right, pa.list_(pa.int64()))})
+                "lo": pa.array(lo, pa.int32()), "hi": pa.array(hi, pa.int32()),
+                "fp": pa.array(fp, pa.int64()), "around": pa.array(around, pa.int64())})
     return run
 
 
-def _agree(a: list[int], b: list[int]) -> int:
-    n = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        n += 1
-    return n
-
-
-def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        place, last, left, right, first_left, first_right = (
-            batch.column(c).to_pylist() for c in ("place", "last", "left", "right", "first_left", "first_right"))
-        lo = [p - _agree(a, b) for p, a, b in zip(place, left, first_left, strict=True)]
-        hi = [p + _agree(a, b) for p, a, b in zip(last, right, first_right, strict=True)]
-        yield pa.record_batch({"id": batch.column("id"), "row_key": batch.column("row_key"),
-                               "lo": pa.array(lo, pa.int32()), "hi": pa.array(hi, pa.int32())})
-
-
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             min_words: int = MIN_WORDS) -> DataFrame:
     """``id, row_key, ranges`` of the rows with matches: ranges ``(lo, hi)`` of non-empty lines."""
     prepare_workers(docs.sparkSession)
     rows = docs.select(docs[id_col].alias("id"), row_key(docs, text_col).alias("row_key"),
                        text_of(docs, text_col).alias("text"))
-    id_type = T.StructField("id", rows.schema["id"].dataType)
-    key_type = T.StructField("row_key", T.LongType())
-    hashes = T.ArrayType(T.LongType())
-    placed = materialize(rows.mapInArrow(_fingerprints(min_words), T.StructType([
-        id_type, key_type, T.StructField("place", T.IntegerType()), T.StructField("last", T.IntegerType()), T.StructField("fp", T.LongType()),
-        T.StructField("left", hashes), T.StructField("right", hashes)])), "lines-fingerprints")
-    position = F.struct("id", "row_key", "place")
-    first = placed.groupBy("fp").agg(
-        F.min(F.struct("id", "row_key", "place", F.col("left").alias("first_left"),
-                       F.col("right").alias("first_right"))).alias("first"),
-        F.count(F.lit(1)).alias("n")).where("n > 1").select("fp", "first")
-    first = materialize(first, "lines-first")
-    later = placed.join(first, "fp").where(
-        ~position.eqNullSafe(F.struct("first.id", "first.row_key", "first.place")))
-    spans = later.select("id", "row_key", "place", "last", "left", "right", "first.first_left",
-                         "first.first_right").mapInArrow(_extend, T.StructType([
-                             id_type, key_type, T.StructField("lo", T.IntegerType()),
-                             T.StructField("hi", T.IntegerType())]))
-    return materialize(spans.groupBy("id", "row_key").agg(
+    placed = materialize(rows.mapInArrow(_positions(min_words), T.StructType([
+        T.StructField("id", rows.schema["id"].dataType), T.StructField("row_key", T.LongType()),
+        T.StructField("lo", T.IntegerType()), T.StructField("hi", T.IntegerType()),
+        T.StructField("fp", T.LongType()), T.StructField("around", T.LongType())])), "lines-fingerprints")
+    first = materialize(placed.groupBy("fp", "around").agg(
+        F.min(F.struct("id", "row_key", "lo")).alias("first"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1").select("fp", "around", "first"), "lines-first")
+    later = placed.join(first, ["fp", "around"]).where(~F.struct("id", "row_key", "lo").eqNullSafe(F.col("first")))
+    return materialize(later.groupBy("id", "row_key").agg(
         F.collect_set(F.struct("lo", "hi")).alias("ranges")), "lines-ranges")
 
 
-def without_repeats(text: str, ranges: list[tuple[int, int]], min_words: int) -> tuple[str, list[tuple[int, int]]]:
+def without_repeats(text: str, ranges: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]]:
     """The text without its repeated runs, and the line numbers ``(from, to)`` of each run."""
-    numbers, lines = lines_of(text)
+    numbers, _ = lines_of(text)
     runs: list[list[int]] = []
     for lo, hi in sorted(ranges):
         if runs and lo <= runs[-1][1] + 1:
             runs[-1][1] = max(runs[-1][1], hi)
         else:
             runs.append([lo, hi])
-    gone = [(numbers[lo], numbers[hi]) for lo, hi in runs
-            if sum(len(s.split()) for s in lines[lo:hi + 1]) >= min_words]
-    if not gone:
-        return text, []
+    gone = [(numbers[lo], numbers[hi]) for lo, hi in runs]
     kept, at = [], 0
     whole = text.split("\n")
     for lo, hi in gone:
@@ -210,7 +154,7 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
     @F.pandas_udf(_CLEANED)
     def cut(texts: pd.Series, ranges: pd.Series) -> pd.DataFrame:
         found = [(None, None) if t is None else
-                 without_repeats(t, [(x["lo"], x["hi"]) for x in r], min_words)
+                 without_repeats(t, [(x["lo"], x["hi"]) for x in r])
                  for t, r in zip(texts, ranges, strict=True)]
         return pd.DataFrame({
             "text": [t for t, _ in found],

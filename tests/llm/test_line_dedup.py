@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import defaultdict
 
 import xxhash
 
@@ -14,50 +15,35 @@ def lines_of(text):
 
 
 def brute(rows, least):
-    """Removed line numbers of each document by the definition, looking at all windows and positions."""
+    """Lines of each text in any run of ``least`` words that an earlier place has, from all pairs of equal lines."""
     own = {i: lines_of(t) for i, t in rows}
-    count = {i: [len(s.split()) for _, s in x] for i, x in own.items()}
-    first, places = {}, []
-    for i in sorted(own):
-        hashes = [xxhash.xxh64_intdigest(s) for _, s in own[i]]
-        chosen = set()
-        for a in range(len(hashes)):
-            total, b = 0, a
-            while b < len(hashes) and total < least:
-                total, b = total + count[i][b], b + 1
-            if total >= least:
-                chosen.add(min(range(a, b), key=lambda q: (hashes[q], q)))
-        for q in sorted(chosen):
-            first.setdefault(own[i][q][1], (i, q))
-            places.append((i, q))
-    out = {i: set() for i in own}
-    for i, q in places:
-        j, p = first[own[i][q][1]]
-        if (j, p) == (i, q):
-            continue
-        out[i].add(q)
-        for step in (-1, 1):
-            x, y, total = q + step, p + step, 0
-            while 0 <= x < len(own[i]) and 0 <= y < len(own[j]) and own[i][x][1] == own[j][y][1] and total < least:
-                out[i].add(x)
-                total, x, y = total + count[i][x], x + step, y + step
-    removed = {}
-    for i, covered in out.items():
-        runs = []
-        for x in sorted(covered):
-            if runs and x == runs[-1][1] + 1:
-                runs[-1][1] = x
-            else:
-                runs.append([x, x])
-        gone = [(own[i][a][0], own[i][b][0]) for a, b in runs if sum(count[i][a:b + 1]) >= least]
-        if gone:
-            removed[i] = gone
-    return removed
+    places, out = defaultdict(list), defaultdict(set)
+    order = [(i, k) for i in sorted(own) for k in range(len(own[i]))]
+    rank = {p: n for n, p in enumerate(order)}
+    for i, k in order:
+        places[own[i][k][1]].append((i, k))
+    for i, k in order:
+        for j, m in places[own[i][k][1]]:
+            if rank[j, m] >= rank[i, k]:
+                break
+            if k and m and own[i][k - 1][1] == own[j][m - 1][1]:
+                continue  # the run began before
+            run = []
+            while k + len(run) < len(own[i]) and m + len(run) < len(own[j]) and own[i][k + len(run)][1] == own[j][m + len(run)][1]:
+                run.append(own[i][k + len(run)])
+            if sum(len(s.split()) for _, s in run) >= least:
+                out[i].update(n for n, _ in run)
+    return dict(out)
 
 
 def removed(df, **kw):
-    return {r.doc_id: [(x.first_line, x.last_line) for x in r.cleaned.removed]
-            for r in L.clean(df, **kw).collect() if r.cleaned and r.cleaned.removed}
+    """The non-empty lines that were removed from each text."""
+    out = {}
+    for r in L.clean(df, **kw).collect():
+        if r.cleaned and r.cleaned.removed:
+            gone = {n for x in r.cleaned.removed for n in range(x.first_line, x.last_line + 1)}
+            out[r.doc_id] = {n for n, _ in lines_of(r.text) if n in gone}
+    return out
 
 
 def passages(seed):
@@ -117,22 +103,6 @@ def test_odd_rows(odd, nothing):
     assert L.clean(nothing).collect() == [] and L.deduplicate(nothing).collect() == []
 
 
-def repeated_lines(rows, least):
-    """Lines in any run of ``least`` words that an earlier place has, looking at all runs."""
-    seen, out = set(), {}
-    for i, t in sorted(rows):
-        own = lines_of(t)
-        for a in range(len(own)):
-            for b in range(a, len(own)):
-                run = own[a:b + 1]
-                if sum(len(s.split()) for _, s in run) >= least:
-                    key = tuple(s for _, s in run)
-                    if key in seen:
-                        out.setdefault(i, set()).update(n for n, _ in run)
-                    seen.add(key)
-    return out
-
-
 def test_runs_whose_fingerprints_are_frequent_lines(spark):
     heads = [f"heading number{k}" for k in range(400)]
     least = sorted(heads, key=xxhash.xxh64_intdigest)[:6]  # the least hash of any window
@@ -142,8 +112,27 @@ def test_runs_whose_fingerprints_are_frequent_lines(spark):
         rows += [(10 + k, f"{prose(500 + k, 9)}\n{run}"), (20 + k, f"{prose(600 + k, 70)}\n{run}\n{prose(700 + k, 8)}")]
     for i, (_, x) in enumerate(passages(3)):
         rows.append((100 + i, x.replace("\n\n", f"\n{least[i % 6]}\n")))
-    expected = repeated_lines(rows, 50)
-    got = {i: {n for a, b in x for n in range(a, b + 1)} for i, x in removed(documents(spark, rows)).items()}
+    expected = brute(rows, 50)
     assert all(len(expected[20 + k]) == 6 for k in range(6))
-    assert not {i: x - got.get(i, set()) for i, x in expected.items() if x - got.get(i, set())}
-    assert not any(i < 20 for i in got)
+    assert removed(documents(spark, rows)) == expected
+
+
+def test_all_repeated_runs_of_random_sets(spark):
+    """A hundred sets of texts of few lines, so that runs overlap, shift and repeat within a text."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(100):
+        lines = [f"set{k} " + prose(rng.randrange(10**6), rng.choice((1, 4, 9, 15, 24, 60))) for _ in range(rng.randint(2, 9))]
+        rows += [(100 * k + i, "\n".join(rng.choice(lines) for _ in range(rng.randint(1, 30)))) for i in range(8)]
+    expected = brute(rows, 50)
+    assert sum(map(len, expected.values())) > 3000
+    assert removed(documents(spark, rows)) == expected
+
+
+def test_fingerprints_are_window_minima():
+    rng = random.Random(3)
+    for _ in range(200):
+        words = [rng.randint(1, 30) for _ in range(rng.randint(1, 15))]
+        hashes = [rng.randrange(6) for _ in words]
+        runs = L.windows(words, 50)
+        assert L.fingerprints(hashes, runs) == [min(range(a, b + 1), key=lambda q: (hashes[q], q)) for a, b in runs]
