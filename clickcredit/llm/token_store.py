@@ -42,12 +42,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import prepare_workers, text_of
-from .words import parts_of
+from .words import SPACE, parts_of, word_hashes
 
 MAGIC = b"DAC1"
 CHUNK = 8
 BLOCK_TOKENS = 1 << 20
-_CACHED_WORDS = 500_000
+#: Words and parts of words that a worker remembers.
+_CACHED_WORDS, _CACHED_PARTS = 2_000_000, 200_000
 _BATCH_CHARS = 1 << 22
 
 
@@ -161,39 +162,68 @@ def _cut(word: str) -> tuple[str, str]:
 
 
 class _Words:
-    """Encoded words of a worker: those of the current generation and of the one before."""
+    """Encoded words of a worker: their sorted 64-bit hashes, and where the ids of each lie."""
 
     def __init__(self, definition: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
         self.parts = _parts_letters(definition)
+        #: Parts of words, those of the current generation and of the one before.
         self.now: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
-
-    def ensure(self, words: set[str]) -> dict[str, bytes]:
-        """The codes of these words, and of some others."""
-        if len(self.now) > _CACHED_WORDS:
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys = np.empty(0, np.uint64)
+        self.first, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids = np.empty(0, "<u4")
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and the bounds of each text's."""
+        data = "\n".join(texts).encode()
+        offsets = np.cumsum([0, *(len(t) if t.isascii() else len(t.encode()) for t in texts)]) + np.arange(len(texts) + 1)
+        starts, hashes = word_hashes(data)
+        distinct, at, word = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.keys) > _CACHED_WORDS:
+            self._forget()
+        place = np.searchsorted(self.keys, distinct)
+        known = np.append(self.keys, np.uint64(0))[place] == distinct
+        known &= place < len(self.keys)
+        if not known.all():
+            self._learn(distinct[~known], data, starts[at[~known]])
+            place = np.searchsorted(self.keys, distinct)
+        first, sizes = self.first[place][word], self.sizes[place][word]
+        ends = np.cumsum(sizes)
+        out = self.ids[np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        return out, np.append(0, ends)[np.searchsorted(starts, offsets)]
+
+    def _learn(self, keys: np.ndarray, data: bytes, starts: np.ndarray) -> None:
+        """Add words that start at these places of ``data``."""
+        breaks = np.append(np.flatnonzero(SPACE[np.frombuffer(data, np.uint8)]), len(data))
+        ends = breaks[np.searchsorted(breaks, starts)]
+        found = self._encoded([data[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+        sizes = np.array([len(x) // 4 for x in found], np.int64)
+        first = len(self.ids) + np.cumsum(sizes) - sizes
+        keys = np.concatenate((self.keys, keys))
+        order = np.argsort(keys, kind="stable")
+        self.keys = keys[order]
+        self.first = np.concatenate((self.first, first))[order]
+        self.sizes = np.concatenate((self.sizes, sizes))[order]
+        self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(found), "<u4")))
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """The ids of each word as little-endian 32-bit numbers."""
+        if len(self.now) > _CACHED_PARTS:
             self.now, self.before = {}, self.now
-        new = self._lost(words)
-        if self.parts:
-            cut = {w: _cut(w) for w in new}
-            self._encode(self._lost({p for c in cut.values() for p in c}))
-            self.now.update((w, self.now[a] + self.now[b]) for w, (a, b) in cut.items() if b or a != w)
-        else:
-            self._encode(new)
-        return self.now
-
-    def _lost(self, words: set[str]) -> set[str]:
-        """The words of neither generation; those of the one before move on."""
-        lost = words.difference(self.now)
-        self.now.update((w, self.before[w]) for w in lost.intersection(self.before))
-        return lost.difference(self.before)
-
-    def _encode(self, words: set[str]) -> None:
-        new = list(words)
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.now[word] = array("I", found.ids).tobytes()
+        cut = [_cut(w) if self.parts else (w, "") for w in words]
+        wanted = {p for c in cut for p in c}
+        lost = wanted.difference(self.now)
+        self.now.update((p, self.before[p]) for p in lost.intersection(self.before))
+        new = list(lost.difference(self.before))
+        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            self.now[part] = array("I", found.ids).tobytes()
+        return [self.now[a] + self.now[b] if b else self.now[a] for a, b in cut]
 
 
 @cache
@@ -205,12 +235,11 @@ def token_bytes(texts: list[str], definition: str) -> list[bytes]:
     """The ids of each text as little-endian 32-bit numbers.
 
     The tokenizer must drop white space and never join across it, so a text is
-    encoded word by word, each distinct word once.
+    encoded word by word. Words are told apart by 64-bit hashes: each distinct
+    one is encoded once, and the texts' ids are gathered by arrays.
     """
-    split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-    # the empty words between two spaces have no tokens, like any other white space
-    known = _words(definition).ensure(set().union(*split))
-    return [b"".join(map(known.__getitem__, words)) for words in split]
+    ids, bounds = _words(definition).encode(texts)
+    return [ids[lo:hi].tobytes() for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
 def _encode_blocks(definition: str, end_id: int, block_tokens: int):
