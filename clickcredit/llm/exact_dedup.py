@@ -2,31 +2,32 @@
 
 Only DataFrame functions run here. The steps:
 
-1. **Entries.** Rows are grouped by ``(h, text)``, where ``h`` is the 64-bit
-   XXH64 of the text. The grouping compares texts byte by byte, so two texts
-   that share a hash become two entries. It has a map-side step: a group
-   that holds a third of all rows leaves each mapper as one row. An entry
-   keeps the largest id, the group size and the digest, not the text.
-2. **Directory.** It starts at one bucket per ``bucket_entries`` entries. An
+1. **Hashes.** Rows are counted by ``h``, the 64-bit XXH64 of the text, with a map-side step: a
+   text that a third of all rows share leaves each mapper as one row of three numbers. No text moves.
+2. **Directory.** It starts at one bucket per ``bucket_entries`` hashes. An
    overfull bucket of local depth ``d`` is split on the next bit of the hash
    into two of depth ``d + 1``, which doubles the directory where needed, until
    none is overfull. The directory is a table: slot to bucket.
-3. **Index.** Each owner task takes a range of buckets, numbers the entries
-   that share a hash into a chain, and writes them to the shared folder.
-4. **Probe.** A row looks up its hash. A chain of one entry is the answer.
-   Where texts collided, the row's text is compared with the texts of the
-   chain, by a join on hash and text over the rows of collided hashes only.
+3. **Index.** The directory routes each hash to its bucket. Each owner task takes a range of buckets and
+   writes them to the shared folder. A hash of one row is an entry as it is. Of
+   hashes of several rows, and only of those, the texts are fetched and compared byte by byte,
+   again with a map-side step: those that differ form a chain of entries.
+4. **Probe.** A row goes through the directory to its bucket and looks its hash up there. A chain of one entry
+   is the answer. In longer chains the row's text is compared with the texts of the
+   chain, by a join on hash and text over the rows of such hashes only.
 
 Defined cases: a null text counts as empty; among equal texts the row with
 the largest id stays and null ids come last (a group without any id keeps a
 null); rows that repeat both id and text are all marked kept by ``mark``, and
 ``deduplicate`` returns one of them; an empty table gives an empty result;
+a text may be arbitrarily long, and is moved only if its hash occurs again;
 other columns are never read by the index and pass through untouched.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,26 +45,24 @@ def _prefix(depth: int) -> Column:
     return F.shiftrightunsigned("h", HASH_BITS - depth)
 
 
-def entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            key: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """One row per distinct text: ``h, keep_id, group_size, text_sha256`` (written)."""
-    rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
-    grouped = (rows.withColumn("h", key(F.col("text")).cast("bigint")).groupBy("h", "text")
-               .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
-    return materialize(grouped.select("h", "keep_id", "group_size",
-                                      F.sha2("text", 256).alias("text_sha256")), "dedup-entries")
+def hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           key: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """One row per hash of a text: ``h, keep_id, group_size`` (written)."""
+    rows = docs.select(docs[id_col].alias("id"), key(text_of(docs, text_col)).cast("bigint").alias("h"))
+    return materialize(rows.groupBy("h").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")),
+                       "dedup-hashes")
 
 
-def directory(hashes: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> tuple[DataFrame, int]:
+def directory(seen: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> tuple[DataFrame, int]:
     """Slots of the directory ``(slot, bucket, depth)`` and its global depth.
 
-    ``hashes`` is a written table with the column ``h``. A slot is a prefix of
+    ``seen`` is a written table with the column ``h``. A slot is a prefix of
     global depth; ``bucket`` is the first slot of its bucket. All slots of a
     bucket share its ``depth`` leading bits.
     """
-    depth = ((max(hashes.count(), 1) - 1) // bucket_entries).bit_length()
+    depth = ((max(seen.count(), 1) - 1) // bucket_entries).bit_length()
     leaves: list[tuple[int, DataFrame]] = []
-    todo = hashes.select("h")
+    todo = seen.select("h")
     while True:
         sizes = materialize(todo.groupBy(_prefix(depth).alias("prefix"))
                             .agg(F.count(F.lit(1)).alias("n")), "dedup-buckets")
@@ -87,18 +86,46 @@ def directory(hashes: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> tuple[
     return materialize(slots, "dedup-directory"), depth
 
 
+@dataclass
+class Index:
+    """The written index ``bucket, depth, h, keep_id, group_size, digest, chain_no, chain_len``, and its directory.
+
+    ``digest`` is the text's SHA-256 where the chain's texts were compared.
+    """
+
+    table: DataFrame
+    slots: DataFrame
+    depth: int
+
+    def route(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with a hash ``h``, each with the ``bucket`` that the directory names, and its ``depth``."""
+        return rows.withColumn("slot", _prefix(self.depth)).join(self.slots, "slot").drop("slot")
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 bucket_entries: int = BUCKET_ENTRIES,
-                key: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """The index (written): ``h, keep_id, group_size, text_sha256, bucket, depth, chain_no, chain_len``."""
-    found = entries(docs, id_col, text_col, key)
-    slots, depth = directory(found, bucket_entries)
-    dealt = found.withColumn("slot", _prefix(depth)).join(slots, "slot").drop("slot")
-    chain = F.expr("row_number() OVER (PARTITION BY bucket, h ORDER BY text_sha256)")
+                key: Callable[[Column], Column] = F.xxhash64) -> Index:
+    """The index of ``docs``."""
+    seen = hashes(docs, id_col, text_col, key)
+    index = Index(seen, *directory(seen, bucket_entries))
+    routed = index.route(seen)
+    alone = routed.where("group_size = 1").withColumn("digest", F.lit(None).cast("binary"))
+    several = routed.where("group_size > 1").select("h", "bucket", "depth")
+    rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
+    equal = (rows.withColumn("h", key(F.col("text")).cast("bigint")).join(several, "h")
+             .groupBy("bucket", "depth", "h", "text")
+             .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+             .withColumn("digest", _digest(F.col("text"))).drop("text"))
+    chain = F.expr("row_number() OVER (PARTITION BY bucket, h ORDER BY digest)")
     length = F.expr("count(1) OVER (PARTITION BY bucket, h)")
-    owned = (dealt.repartitionByRange("bucket")
+    owned = (alone.unionByName(equal).repartitionByRange("bucket")
              .select("*", chain.alias("chain_no"), length.alias("chain_len")))
-    return materialize(owned, "dedup-index")
+    index.table = materialize(owned, "dedup-index")
+    return index
 
 
 def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -110,23 +137,25 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the id; ``kept`` says that the row holds the largest id of its text.
     """
     index = build_index(docs, id_col, text_col, bucket_entries, key)
-    answer = ["keep_id", "group_size", "text_sha256"]
+    answer = ["id", "row_key", "digest", "keep_id", "group_size"]
+    text = text_of(docs, text_col)
     rows = docs.select(docs[id_col].alias("id"), row_key(docs, text_col).alias("row_key"),
-                       key(text_of(docs, text_col)).cast("bigint").alias("h"))
-    found = rows.join(index.where("chain_len = 1").select("h", *answer), "h")
-    collided = index.where("chain_len > 1").select("h", "text_sha256", "keep_id", "group_size")
+                       key(text).cast("bigint").alias("h"), _digest(text).alias("digest"))
+    place = ["bucket", "h"]
+    found = index.route(rows).join(
+        index.table.where("chain_len = 1").select(*place, "keep_id", "group_size"), place).select(answer)
+    collided = index.table.where("chain_len > 1").select(*place, "digest", "keep_id", "group_size")
     if not collided.isEmpty():
-        texts = docs.select(docs[id_col].alias("id"), row_key(docs, text_col).alias("row_key"),
-                            text_of(docs, text_col).alias("text"))
-        probes = (texts.withColumn("h", key(F.col("text")).cast("bigint"))
-                  .join(collided.select("h").distinct(), "h", "left_semi"))
+        texts = docs.select(docs[id_col].alias("id"), row_key(docs, text_col).alias("row_key"), text.alias("text"))
+        probes = index.route(texts.withColumn("h", key(F.col("text")).cast("bigint"))
+                             .join(collided.select("h").distinct(), "h", "left_semi"))
         # the chain's texts, fetched by digest; the row is then compared with them byte by byte
-        chains = (probes.select("h", "text", F.sha2("text", 256).alias("text_sha256")).distinct()
-                  .join(collided, ["h", "text_sha256"]))
-        found = found.unionByName(
-            probes.join(chains, ["h", "text"]).select("h", "id", "row_key", *answer))
+        chains = (probes.select(*place, "text", _digest(F.col("text")).alias("digest")).distinct()
+                  .join(collided, [*place, "digest"]))
+        found = found.unionByName(probes.join(chains, [*place, "text"]).select(answer))
     return found.select("id", "row_key", "keep_id", "group_size",
-                        F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+                        F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
+                        F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

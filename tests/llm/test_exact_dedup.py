@@ -39,6 +39,27 @@ def test_colliding_hashes_are_told_apart_by_their_bytes(spark):
     assert marked(df, key=lambda c: F.xxhash64(F.length(c))) == brute(rows)
 
 
+def test_rows_are_found_through_the_directory(spark, monkeypatch):
+    rows = [(i, f"text {i % 300}") for i in range(600)] + [(1000 + i, f"once {i}") for i in range(50)]
+    df = documents(spark, rows)
+    assert marked(df, bucket_entries=8) == brute(rows)
+    sound = D.directory
+
+    def broken(*args):
+        slots, depth = sound(*args)
+        first = slots.agg(F.min("bucket")).first()[0]
+        return slots.where(F.col("bucket") != first), depth
+    monkeypatch.setattr(D, "directory", broken)
+    lost = marked(df, bucket_entries=8)
+    assert 0 < len(lost) < len(rows) and set(lost) < set(brute(rows))
+
+
+def test_no_text_moves_but_repeated_ones(spark):
+    df = documents(spark, [(i, f"{i}" * 50) for i in range(100)] + [(200 + i, "again") for i in range(5)])
+    index = D.build_index(df)
+    assert {(r.group_size, r.digest is None) for r in index.table.collect()} == {(1, True), (5, False)}
+
+
 @settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.sampled_from(["", "a", "b ", "b", "A", "\n", "é", "é", "long " * 50]), max_size=30))
 def test_any_groups(spark, texts):
