@@ -140,16 +140,13 @@ class EliasFano:
         return place, equal
 
 
-def quantise(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of 8 bits and their codebook: the means of up to 256 groups of equal size."""
-    levels, inverse = np.unique(values, return_inverse=True)
-    if len(levels) <= 256:
-        return inverse.astype(np.uint8), levels if len(levels) else np.zeros(1)
-    order = np.argsort(values, kind="stable")
-    codes = np.empty(len(values), np.uint8)
-    codes[order] = np.arange(len(values)) * 256 // len(values)
-    sums = np.bincount(codes, values, 256)
-    return codes, sums / np.bincount(codes, minlength=256)
+#: Steps of a quantised logarithm to one.
+STEPS = 2048
+
+
+def quantise(values: np.ndarray) -> np.ndarray:
+    """Codes of 16 bits: the nearest step. The same value has the same code in every model and shard."""
+    return np.clip(np.rint(values * STEPS), -(1 << 15), (1 << 15) - 1).astype(np.int16)
 
 
 class Level:

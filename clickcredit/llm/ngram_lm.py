@@ -12,15 +12,14 @@ model ``p1(w) = (c + 0.1) / (N + 0.1 (V + 1))``:
     p(w | h) = max(c(h w) - D, 0) / c(h) + back(h) p(w | shorter h)
 
 with ``back(h)`` the mass that the kept n-grams leave, so probabilities sum to
-one (up to the quantisation of ``p`` and ``back`` to 8 bits in the trie).
+one. So a kept n-gram adds a ``gain`` to the log probability that its shorter one
+gives, and each context adds what it leaves (``left``) to the token behind it. Both are quantised to 16 bits on
+one grid (``STEPS`` of ``elias_fano``), and a text's score is a sum of them over its words and n-grams.
 
-The *head*, words and n-grams that have a share of ``HEAD_SHARE`` of all training
-tokens, comes to the driver and makes the trie: ``1 / HEAD_SHARE`` entries a
-level at most. All others, the *tail*, are a table of what each adds to a
-log probability where it occurs: a word its ``p1``, an n-gram what it adds to the
-one shorter by a word, both what they leave (``back``) if a token follows. So a
-text's score is that of the trie plus a sum over its words and n-grams of the
-tail.
+All words and n-grams are a written table of their codes. The *head*, those that have a
+share of ``HEAD_SHARE`` of all training tokens, is ``1 / HEAD_SHARE`` entries a
+level at most, and makes the trie, so that texts meet their most frequent n-grams where they are read. The others, the *tail*,
+are looked up by a shuffle. Where an n-gram is found doesn't change the score: its codes are the same.
 
 The trie's levels are Elias-Fano sequences in one memory-mapped file, which
 Spark ships to each executor: words by their 64-bit hashes, then per level
@@ -52,8 +51,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .elias_fano import EliasFano, Level, map_arrays, pack_arrays, quantise
-from .shared import materialize, prepare_workers, text_of, write_shared_file
+from .elias_fano import STEPS, EliasFano, Level, map_arrays, pack_arrays
+from .shared import discard, materialize, prepare_workers, text_of, write_shared_file
 from .words import parts_of, text_words
 
 #: Least occurrences of a kept n-gram, and least share of the training tokens: none.
@@ -192,7 +191,7 @@ def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 class NgramModel:
     """A trained model: the trie's file, the totals, the tail (a written table), the filters of pairs and triples.
 
-    The tail has ``key, n, value, left``: ``n`` for words only, ``left`` where a token follows.
+    The tail has ``key, n, value, left``: ``n`` for words only, ``value`` and ``left`` as codes, ``left`` where a token follows.
     """
 
     file: str
@@ -206,39 +205,18 @@ def _log_word(counts: np.ndarray, total: int, distinct: int) -> np.ndarray:
     return np.log10((counts + ADD) / (total + ADD * (distinct + 1)))
 
 
-def _smoothed(parents: np.ndarray, counts: np.ndarray, parent_counts: np.ndarray,
-              lower: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log probability of each n-gram, and of what each parent leaves (``left``) to the shorter one."""
-    share = (counts - DISCOUNT) / parent_counts[parents]
-    return np.log10(share + left[parents] * 10.0 ** lower), np.log10(left)
-
-
-def build_trie(words: np.ndarray, word_counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray,
-               triples: np.ndarray, triple_counts: np.ndarray, word_left: np.ndarray, pair_left: np.ndarray,
-               total: int, distinct: int) -> bytes:
+def build_trie(words: np.ndarray, word_counts: np.ndarray, pairs: np.ndarray, triples: np.ndarray,
+               codes: dict[str, np.ndarray], total: int, distinct: int) -> bytes:
     """The file of a trie from sorted keys: word hashes, ``word << 32 | word`` and ``pair << 32 | word``.
 
-    ``word_left`` and ``pair_left`` are what all kept n-grams leave, also those outside the trie.
+    ``codes`` are the quantised ``left1`` of words, ``gain2`` and ``left2`` of pairs, and ``gain3`` of triples.
     """
     low = (1 << 32) - 1
-    p1 = _log_word(word_counts, total, distinct)
-    first, second = pairs >> 32, pairs & low
-    p2, back1 = _smoothed(first, pair_counts, word_counts, p1[second], word_left)
-    parent, third = triples >> 32, triples & low
-    # the shorter n-gram of a triple: its last two words, a pair, or the word behind what they leave
-    shorter = second[parent] << 32 | third
-    place = np.minimum(np.searchsorted(pairs, shorter), max(len(pairs) - 1, 0))
-    lower = back1[second[parent]] + p1[third]
-    if len(pairs):
-        lower = np.where(pairs[place] == shorter, p2[place], lower)
-    p3, back2 = _smoothed(parent, triple_counts, pair_counts, lower, pair_left)
     meta = {"total": total, "distinct": distinct}
-    arrays: dict[str, np.ndarray] = {"counts": word_counts.astype(np.int64)}
-    for name, values in (("p2", p2), ("p3", p3), ("back1", back1), ("back2", back2)):
-        arrays[f"{name}_codes"], arrays[f"{name}_book"] = quantise(values)
+    arrays: dict[str, np.ndarray] = {"counts": word_counts.astype(np.int64), **codes}
     parts = {"words": EliasFano.build(words)}
-    for k, (up, down, count) in enumerate(((first, second, len(words)), (parent, third, len(pairs))), 2):
-        parts |= {f"{name}{k}": x for name, x in Level.build(up, down, count).items()}
+    for k, (keys, count) in enumerate(((pairs, len(words)), (triples, len(pairs))), 2):
+        parts |= {f"{name}{k}": x for name, x in Level.build(keys >> 32, keys & low, count).items()}
     for name, (numbers, own) in parts.items():
         meta[name] = numbers
         arrays |= {f"{name}_{x}": a for x, a in own.items()}
@@ -259,11 +237,10 @@ class Trie:
         self.words = sequence("words")
         self.pairs = Level(sequence("pointers2"), sequence("ids2"))
         self.triples = Level(sequence("pointers3"), sequence("ids3"))
-        self.codes = {x: (arrays[f"{x}_book"], arrays[f"{x}_codes"]) for x in ("p2", "p3", "back1", "back2")}
+        self.codes = {x: arrays[x] for x in ("left1", "gain2", "left2", "gain3")}
 
     def value(self, name: str, at: np.ndarray) -> np.ndarray:
-        book, codes = self.codes[name]
-        return book[codes[at]]
+        return self.codes[name][at] / STEPS
 
     def score(self, tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
         """``ids, pair, triple, word, whole`` per token: the nodes that end at it (-1: none), its log ``p1`` and its score.
@@ -278,18 +255,18 @@ class Trie:
         follows = _within(bounds, len(tokens))
         at = np.flatnonzero(follows)
         at = at[ids[at - 1] >= 0]
-        whole[at] += self.value("back1", ids[at - 1])
+        whole[at] += self.value("left1", ids[at - 1])
         at = at[ids[at] >= 0]
         pair = np.full(len(tokens), -1, np.int64)
         pair[at] = self.pairs.find(ids[at - 1], ids[at])
         at = at[pair[at] >= 0]
-        whole[at] = self.value("p2", pair[at])
+        whole[at] += self.value("gain2", pair[at])
         at = np.flatnonzero(follows)
         at = at[pair[at - 1] >= 0]
-        whole[at] += self.value("back2", pair[at - 1])
+        whole[at] += self.value("left2", pair[at - 1])
         at = at[ids[at] >= 0]
         node = self.triples.find(pair[at - 1], ids[at])
-        whole[at[node >= 0]] = self.value("p3", node[node >= 0])
+        whole[at[node >= 0]] += self.value("gain3", node[node >= 0])
         triple = np.full(len(tokens), -1, np.int64)
         triple[at] = node
         return ids, pair, triple, word, whole
@@ -331,45 +308,50 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
     def taken(ngrams: DataFrame, by: str) -> DataFrame:
         return ngrams.groupBy(F.col(by).alias("key")).agg(F.sum(F.col("n") - DISCOUNT).alias("taken"))
 
+    def code(value: Column) -> Column:
+        return F.rint(F.log10(value) * STEPS).cast("smallint")
+
     left = 1 - F.coalesce("taken", F.lit(0.0)) / F.col("n")
     words = materialize(counts.join(taken(pairs, "a"), "key", "left").select(
         "key", "n", left.alias("left")), "lm-word-model")
     first = words.where(kept).select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("left").alias("left_a"))
     second = words.where(kept).select(F.col("key").alias("b"), ((F.col("n") + ADD) / floor).alias("p1"))
     own, lower = (F.col("n") - DISCOUNT) / F.col("n_a"), F.col("left_a") * F.col("p1")
-    pairs = materialize(pairs.join(first, "a").join(second, "b").join(taken(triples, "ab"), "key", "left").select(
-        "key", "a", "b", "n", left.alias("left"), (own + lower).alias("p"),
-        F.log10(1 + own / lower).alias("value")), "lm-pair-model")
-    ab = pairs.select(F.col("key").alias("ab"), (F.col("n") * F.col("left")).alias("scale"))
-    bc = pairs.select(F.col("key").alias("bc"), "p")
+    two = materialize(pairs.join(first, "a").join(second, "b").join(taken(triples, "ab"), "key", "left").select(
+        "key", "a", "b", "n", left.alias("left"), (own + lower).alias("p"), code(1 + own / lower).alias("value")), "lm-pair-model")
+    ab = two.select(F.col("key").alias("ab"), (F.col("n") * F.col("left")).alias("scale"))
+    bc = two.select(F.col("key").alias("bc"), "p")
+    gain = code(1 + (F.col("n") - DISCOUNT) / (F.col("scale") * F.col("p")))
+    three = materialize(triples.join(ab, "ab").join(bc, "bc").select("ab", "bc", "n", gain.alias("value")), "lm-triple-model")
+    discard(counts, pairs, triples)
+
     tail = F.col("n") < head
-    added = F.log10(1 + (F.col("n") - DISCOUNT) / (F.col("scale") * F.col("p")))
     nothing = F.lit(None).cast("bigint")
-    rest = (words.where(tail).select("key", "n", F.log10((F.col("n") + ADD) / floor).alias("value"),
-                                     F.log10("left").alias("left"))
-            .unionByName(pairs.where(tail).select("key", nothing.alias("n"), "value", F.log10("left").alias("left")))
-            .unionByName(triples.where(tail).join(ab, "ab").join(bc, "bc").select(
-                triple_key.alias("key"), nothing.alias("n"), added.alias("value"), F.lit(0.0).alias("left"))))
-    rest = materialize(rest, "lm-tail")
-
-    def columns(table: DataFrame, *names: str) -> list[np.ndarray]:
+    rest = materialize(
+        words.where(tail).select("key", "n", F.lit(0).cast("smallint").alias("value"), code(F.col("left")).alias("left"))
+        .unionByName(two.where(tail).select("key", nothing.alias("n"), "value", code(F.col("left")).alias("left")))
+        .unionByName(three.where(tail).select(triple_key.alias("key"), nothing.alias("n"), "value",
+                                              F.lit(0).cast("smallint").alias("left"))), "lm-tail")
+
+    def columns(table: DataFrame, *names: str | Column) -> list[np.ndarray]:
         found = table.where(F.col("n") >= head).select(*names).toArrow()
-        return [found[x].to_numpy() for x in names]
+        return [c.to_numpy() for c in found.columns]
 
-    keys, word_counts, word_left = columns(words, "key", "n", "left")
+    keys, word_counts, left1 = columns(words, "key", "n", code(F.col("left")))
     order = np.argsort(keys.view(np.uint64))
-    keys, word_counts, word_left = keys.view(np.uint64)[order], word_counts[order], word_left[order]
-    pair_keys, a, b, pair_counts, pair_left = columns(pairs, "key", "a", "b", "n", "left")
+    keys, word_counts, left1 = keys.view(np.uint64)[order], word_counts[order], left1[order]
+    pair_keys, a, b, gain2, left2 = columns(two, "key", "a", "b", "value", code(F.col("left")))
     ids = np.searchsorted(keys, a.view(np.uint64)) << 32 | np.searchsorted(keys, b.view(np.uint64))
     order = np.argsort(ids)
-    pair_keys, ids, pair_counts, pair_left = (x[order] for x in (pair_keys, ids, pair_counts, pair_left))
+    pair_keys, ids, gain2, left2 = (x[order] for x in (pair_keys, ids, gain2, left2))
     by_key = np.argsort(pair_keys)
-    ab_keys, bc_keys, triple_counts = columns(triples, "ab", "bc", "n")
+    ab_keys, bc_keys, gain3 = columns(three, "ab", "bc", "value")
     ab_at, bc_at = (by_key[np.searchsorted(pair_keys, x, sorter=by_key)] for x in (ab_keys, bc_keys))
     nodes = ab_at << 32 | ids[bc_at] & ((1 << 32) - 1)
     order = np.argsort(nodes)
-    data = build_trie(keys, word_counts, ids, pair_counts, nodes[order], triple_counts[order], word_left, pair_left,
-                      total, distinct)
+    codes = {"left1": left1, "gain2": gain2, "left2": left2, "gain3": gain3[order]}
+    data = build_trie(keys, word_counts, ids, nodes[order], codes, total, distinct)
+    discard(words, two, three)
     path = write_shared_file(spark, "lm-trie", data)
     spark.sparkContext.addFile(path)
     return NgramModel(path.rsplit("/", 1)[-1], total, distinct, rest, filters)
@@ -405,8 +387,8 @@ def _score_in(file: str, filters):
                 times = np.diff(np.append(heads, len(order)))
                 before = np.concatenate(([0], np.cumsum(followed[at])))
                 goes_on = before[np.append(heads[1:], len(order))] - before[heads] if len(heads) else times
-                lists = {"rare": keys[heads].view(np.int64), "times": times.astype(np.int64),
-                         "followed": goes_on.astype(np.int64), "is_word": is_word[heads]}
+                lists = {"rare": keys[heads].view(np.int64),
+                         "uses": times.astype(np.int64) << 32 | goes_on.astype(np.int64) << 1 | is_word[heads]}
                 yield pa.record_batch({
                     "row": pa.array(row + np.arange(n)), "id": batch.column("id").slice(part.start, n),
                     "n_tokens": pa.array(np.diff(bounds)),
@@ -427,22 +409,22 @@ def score(docs: DataFrame, model: NgramModel, id_col: str = "doc_id", text_col:
         T.StructField("row", T.LongType()), T.StructField("id", rows.schema["id"].dataType),
         T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
         T.StructField("base", T.DoubleType()), T.StructField("whole", T.DoubleType()),
-        T.StructField("rare", longs), T.StructField("times", longs), T.StructField("followed", longs),
-        T.StructField("is_word", T.ArrayType(T.BooleanType()))])), "lm-parts")
-    rare = part.select("row", F.explode(F.arrays_zip("rare", "times", "followed", "is_word")).alias("r")).select(
-        "row", F.col("r.rare").alias("key"), F.col("r.times").alias("times"), F.col("r.followed").alias("followed"),
-        F.col("r.is_word").alias("is_word"))
+        T.StructField("rare", longs), T.StructField("uses", longs)])), "lm-parts")
+    rare = part.select("row", F.explode(F.arrays_zip("rare", "uses")).alias("r")).select(
+        "row", F.col("r.rare").alias("key"), F.col("r.uses").alias("uses"))
+    times, is_word = F.shiftright("uses", 32), F.col("uses").bitwiseAND(F.lit(1)) == 1
+    followed = F.shiftright(F.col("uses").bitwiseAND(F.lit((1 << 32) - 1)), 1)
     count = F.coalesce(F.col("n"), F.lit(0))
-    unknown = float(_log_word(np.zeros(1), model.total, model.distinct)[0]) if model.total else 0.0
-    word = F.when(F.col("is_word"), F.col("times") * F.coalesce(F.col("value"), F.lit(unknown))).otherwise(0.0)
-    ngram = F.when(F.col("is_word"), 0.0).otherwise(F.col("times") * F.coalesce(F.col("value"), F.lit(0.0)))
-    sums = (rare.join(model.tail, (rare["key"] == model.tail["key"])
-                      & (rare["is_word"] == model.tail["n"].isNotNull()), "left")
-            .select("row", F.when(count > 0, F.col("times")).otherwise(0).alias("known"), word.alias("word"),
-                    (ngram + F.col("followed") * F.coalesce(F.col("left"), F.lit(0.0))).alias("more"))
-            .groupBy("row").agg(F.sum("known").alias("known"), F.sum("word").alias("word"), F.sum("more").alias("more")))
+    floor = F.lit(model.total + ADD * (model.distinct + 1))
+    word = F.when(is_word, times * (F.log10((count + ADD) / floor) if model.total else F.lit(0.0))).otherwise(0.0)
+    gain = times * F.coalesce(F.col("value"), F.lit(0)) + followed * F.coalesce(F.col("left"), F.lit(0))
+    found = rare.withColumn("is_word", is_word)
+    sums = (found.join(model.tail, (found["key"] == model.tail["key"])
+                       & (found["is_word"] == model.tail["n"].isNotNull()), "left")
+            .groupBy("row").agg(F.sum(F.when(count > 0, times).otherwise(0)).alias("known"), F.sum(word).alias("word"),
+                                (F.sum(gain) / float(STEPS)).alias("more")))
     word, more = F.coalesce("word", F.lit(0.0)), F.coalesce("more", F.lit(0.0))
-    return part.drop("rare", "times", "followed", "is_word").join(sums, "row", "left").select(
+    return part.drop("rare", "uses").join(sums, "row", "left").select(
         "id", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("bigint").alias("train_tokens"),
         (F.col("base") + word).alias("base_score"), (F.col("whole") + word + more).alias("score"))

@@ -46,6 +46,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = files(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_shared_file(spark: SparkSession, name: str, data: bytes, suffix: str = "") -> str:
     """Write a file of bounded size to the shared folder, through the file system it is on."""
     path = scratch_path(spark, name) + suffix
