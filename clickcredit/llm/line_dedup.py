@@ -164,6 +164,8 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
     key, name, ranges = (free_name(docs, x) for x in ("row_key", "cleaned", "ranges"))
     marks = repeats(docs, id_col, text_col, min_words).select(
         F.col("id").alias("mark_id"), F.col("row_key").alias("mark_key"), F.col("ranges").alias(ranges))
+    # a table of ranges that grows with the texts: merged at every size, so that the plan doesn't turn with it
+    marks = marks.hint("merge")
     keyed = docs.withColumn(key, row_key(docs, text_col))
     joined = keyed.join(marks, keyed[id_col].eqNullSafe(marks["mark_id"])
                         & (keyed[key] == marks["mark_key"]), "left")
