@@ -114,7 +114,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     index = Index(seen, *directory(seen, bucket_entries))
     routed = index.route(seen)
     alone = routed.where("group_size = 1").withColumn("digest", F.lit(None).cast("binary"))
-    several = routed.where("group_size > 1").select("h", "bucket", "depth")
+    # written, so that the planner knows how few they are before it moves any text to them
+    several = materialize(routed.where("group_size > 1").select("h", "bucket", "depth"), "dedup-repeated")
     rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
     equal = (rows.withColumn("h", key(F.col("text")).cast("bigint")).join(several, "h")
              .groupBy("bucket", "depth", "h", "text")
