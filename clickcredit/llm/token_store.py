@@ -147,6 +147,28 @@ def _parts_letters(definition: str) -> bool:
     return lowers and splits and not set(_TAIL) & set(added)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes before merging: visible Latin-1 ones for themselves, the rest from U+0100 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def _merges_letters(definition: str) -> bool:
+    """Whether a run of plain lower-case letters goes to the merges as it is, byte by byte."""
+    parsed = json.loads(definition)
+    normalizer, splitter = parsed.get("normalizer") or {}, parsed.get("pre_tokenizer") or {}
+    steps = [x["type"] for x in splitter.get("pretokenizers", [])]
+    return (_parts_letters(definition) and parsed["model"]["type"] == "BPE" and steps == ["Split", "ByteLevel"]
+            and not splitter["pretokenizers"][1]["add_prefix_space"] and not splitter["pretokenizers"][1]["use_regex"]
+            and {x["type"] for x in normalizer.get("normalizers", [normalizer])} <= {"NFC", "Lowercase", "Replace"}
+            and all(x["pattern"] == {"Regex": "\\s+"} for x in normalizer.get("normalizers", []) if x["type"] == "Replace")
+            and not any(t["content"].isalpha() for t in parsed.get("added_tokens", [])))
+
+
 def _cut(word: str) -> tuple[str, str]:
     """A word as lower-case letters and closing marks, which such a tokenizer encodes apart.
 
@@ -169,6 +191,7 @@ class _Words:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
         self.parts = _parts_letters(definition)
+        self.merge = self.tokenizer.model.tokenize if _merges_letters(definition) else None
         #: Parts of words, those of the current generation and of the one before.
         self.now: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -220,7 +243,16 @@ class _Words:
         wanted = {p for c in cut for p in c}
         lost = wanted.difference(self.now)
         self.now.update((p, self.before[p]) for p in lost.intersection(self.before))
-        new = list(lost.difference(self.before))
+        new = lost.difference(self.before)
+        if self.merge:
+            # most parts: no normalising or splitting is left to do
+            plain = [p for p in new if p.isascii() and p.isalpha() and p.islower()]
+            plain += [p for p in new if not p.isascii() and p.isalpha() and p == p.lower() and max(p) < "\u0130"]
+            for part in plain:
+                letters = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                self.now[part] = array("I", [t.id for t in self.merge(letters)]).tobytes()
+            new = new.difference(plain)
+        new = list(new)
         for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
             self.now[part] = array("I", found.ids).tobytes()
         return [self.now[a] + self.now[b] if b else self.now[a] for a, b in cut]

@@ -42,10 +42,20 @@ def test_words_give_the_tokens_of_the_text(text):
     assert S.token_bytes([text], definition) == [whole.tobytes()]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.characters(min_codepoint=0x41, max_codepoint=0x250, categories=["L"]), min_size=1, max_size=14), max_size=8))
+def test_letters_go_straight_to_the_merges(words):
+    definition = open(PATH, encoding="utf-8").read()
+    assert S._merges_letters(definition)
+    whole = np.array(Tokenizer.from_file(PATH).encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+    assert S.token_bytes([" ".join(words)], definition) == [whole.tobytes()]
+
+
 def test_a_tokenizer_of_another_kind_is_asked_word_by_word():
     other = public_tokenizers.path("byte_bpe_50k.json")
     assert S._parts_letters(open(PATH, encoding="utf-8").read())
     assert not S._parts_letters(open(other, encoding="utf-8").read())
+    assert not S._merges_letters(open(other, encoding="utf-8").read())
 
 
 def test_access_beyond_the_end_fails():
