@@ -38,11 +38,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark deletes the shuffle files of a query as soon as it has ended.
+_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return it as a table read from there."""
+    """Write ``df`` to the shared folder and return it as a table read from there.
+
+    Nothing reads the shuffles of the write again, so their files go when it ends
+    and the disk holds those of one step at a time.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP_CONF)
+    spark.conf.set(_CLEANUP_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
