@@ -122,9 +122,9 @@ class EliasFano:
         equal = np.zeros(len(targets), bool)
         if not self.length:
             return place, equal
-        high = (targets >> _U64(self.low_bits)).astype(np.int64)
-        live = np.flatnonzero(high < len(self.high) * 64 - self.length - 1)
-        high, wanted = high[live], targets[live] & self.mask
+        high = targets >> _U64(self.low_bits)
+        live = np.flatnonzero(high < _U64(len(self.high) * 64 - self.length - 1))
+        high, wanted = high[live].astype(np.int64), targets[live] & self.mask
         lo, end = self._first(high), self._first(high + 1)
         hi = end.copy()
         open_ = np.flatnonzero(lo < hi)
@@ -175,6 +175,11 @@ class Level:
         """The node of each pair, -1 where there is none."""
         return once(lambda keys: self._find(keys >> 32, keys & (1 << 32) - 1), parents << 32 | children)
 
+    def find_wide(self, parents: np.ndarray, children: np.ndarray) -> np.ndarray:
+        """``find`` for children of more than 32 bits, block by block."""
+        parts = [self._find(parents[lo:lo + BLOCK], children[lo:lo + BLOCK]) for lo in range(0, len(parents), BLOCK)]
+        return np.concatenate(parts) if parts else np.empty(0, np.int64)
+
     def _find(self, parents: np.ndarray, children: np.ndarray) -> np.ndarray:
         if not self.ids.length:
             return np.full(len(parents), -1, np.int64)
@@ -201,7 +206,11 @@ def pack_arrays(meta: dict[str, Any], arrays: dict[str, np.ndarray]) -> bytes:
 
 def map_arrays(path: str) -> tuple[dict[str, Any], dict[str, np.ndarray]]:
     """The header and the arrays of such a file, memory-mapped."""
-    data = np.memmap(path, np.uint8, "r").view(np.ndarray)
+    return view_arrays(np.memmap(path, np.uint8, "r").view(np.ndarray))
+
+
+def view_arrays(data: np.ndarray) -> tuple[dict[str, Any], dict[str, np.ndarray]]:
+    """The header and the arrays of such a file's bytes, uncopied."""
     size = int(data[:8].view("<u8")[0])
     head = json.loads(data[8:8 + size].tobytes())
     first = -(-(8 + size) // 64) * 64

@@ -16,20 +16,27 @@ one. So a kept n-gram adds a ``gain`` to the log probability that its shorter on
 gives, and each context adds what it leaves (``left``) to the token behind it. Both are quantised to 16 bits on
 one grid (``STEPS`` of ``elias_fano``), and a text's score is a sum of them over its words and n-grams.
 
-All words and n-grams are a written table of their codes. The *head*, those that have a
+All words and n-grams of the model are in Elias-Fano tries. The *head*, those that have a
 share of ``HEAD_SHARE`` of all training tokens, is ``1 / HEAD_SHARE`` entries a
-level at most, and makes the trie, so that texts meet their most frequent n-grams where they are read. The others, the *tail*,
-are looked up by a shuffle. Where an n-gram is found doesn't change the score: its codes are the same.
-
-The trie's levels are Elias-Fano sequences in one memory-mapped file, which
-Spark ships to each executor: words by their 64-bit hashes, then per level
-the pointers and the ids relative to their context. Texts are scored where they
-are read. Only their words and n-grams outside the head are shuffled, to be joined
-with the tail; what is hot is in the head by definition, so no join key is hot.
+level at most. Its trie is one memory-mapped file, which Spark ships to each executor, so that
+texts meet their most frequent n-grams where they are read. All others are in *shards*: tries
+of about ``SHARD_NGRAMS`` entries, built by tasks, one for each range of context hashes, so that the
+model grows with the corpus and no task or machine needs to hold it. A context of the head,
+whose children can be many, has them in the shards of their own hashes instead. Where an
+n-gram is kept doesn't change the score: its codes are the same.
+
+The head's levels are words by their 64-bit hashes, then per level the pointers and the ids
+relative to their context. A shard's are the same with contexts by their 64-bit hashes and
+children by ``64 - CHILD_CUT`` bits of theirs. Texts are scored in batches where they are read.
+What the head doesn't have goes to its shard as packed blocks, one for each batch and shard; the shard
+sends back what each text of the block gains, and the batch sums that up. No key is hot: what is frequent is in the head.
 Bitmaps of ``FILTER_BITS`` bits of the kept n-grams' hashes spare the shuffle most
-of the others; where they are full they spare nothing and the results are the same.
+of the n-grams that no shard has; where they are full they spare nothing and the results are the same.
 
-Words and n-grams count as equal if their 64-bit hashes are.
+Words and n-grams count as equal if their 64-bit hashes are (of a context in a shard: if those bits of their last token are).
+
+``docs`` of ``score`` should be a table: if an executor is lost, batches are cut again from the
+rows in their order. If that order changed, ``score`` ends with an error instead of a mixed result.
 
 Defined cases: a null text counts as empty and is one end; without training
 texts N and V are 0 and every token has probability one; repeated rows are
@@ -40,6 +47,7 @@ columns are never read.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -51,7 +59,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .elias_fano import STEPS, EliasFano, Level, map_arrays, pack_arrays
+from .elias_fano import STEPS, EliasFano, Level, map_arrays, pack_arrays, view_arrays
 from .shared import discard, materialize, prepare_workers, text_of, write_shared_file
 from .words import parts_of, text_words
 
@@ -59,12 +67,16 @@ from .words import parts_of, text_words
 MIN_COUNT = 2
 SHARE = 0.0
 HEAD_SHARE = 2.5e-7
+SHARD_NGRAMS = 1 << 20
+CHILD_CUT = 24
 FILTER_BITS = 27
 ADD = 0.1
 DISCOUNT = 0.75
 END = np.uint64(0x9B97A6E2D5F41C03)
-_BATCH_CHARS = 1 << 22
-_TALLY = 1 << 21
+_BATCH_CHARS = 1 << 21
+_TALLY = 1 << 20
+#: Characters that a text counts for besides its own, so that a batch has no more than 65,536 texts.
+_TEXT_CHARS = 32
 
 
 def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -189,15 +201,16 @@ def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 @dataclass
 class NgramModel:
-    """A trained model: the trie's file, the totals, the tail (a written table), the filters of pairs and triples.
+    """A trained model: the head's file, the totals, the shards (a written table), the filters of pairs and triples.
 
-    The tail has ``key, n, value, left``: ``n`` for words only, ``value`` and ``left`` as codes, ``left`` where a token follows.
+    ``shards`` has ``shard, trie``, of ``parts`` shards those that aren't empty.
     """
 
     file: str
     total: int
     distinct: int
-    tail: DataFrame
+    shards: DataFrame
+    parts: int
     filters: Broadcast
 
 
@@ -272,6 +285,70 @@ class Trie:
         return ids, pair, triple, word, whole
 
 
+#: Kinds of a shard's entries.
+WORD, PAIR, TRIPLE = 0, 1, 2
+
+
+def _children(hashes: np.ndarray) -> np.ndarray:
+    """A child's bits in a shard."""
+    return (hashes >> np.uint64(CHILD_CUT)).astype(np.int64)
+
+
+def _build_shard(table: pa.Table) -> pa.Table:
+    """The trie of one shard's entries."""
+    kind, context, child, n, value, left = (table.column(x).to_numpy() for x in ("kind", "context", "child", "n", "value", "left"))
+    context, child = context.view(np.uint64), _children(child.view(np.uint64))
+    at = np.flatnonzero(kind == WORD)
+    at = at[np.argsort(context[at])]
+    arrays, parts = {"counts": n[at], f"left{WORD}": left[at]}, {"words": EliasFano.build(context[at])}
+    for k in (PAIR, TRIPLE):
+        at = np.flatnonzero(kind == k)
+        contexts, parents = np.unique(context[at], return_inverse=True)
+        order = np.lexsort((child[at], parents))
+        at, parents = at[order], parents[order]
+        arrays |= {f"value{k}": value[at], f"left{k}": left[at]}
+        parts[f"contexts{k}"] = EliasFano.build(contexts)
+        parts |= {f"{name}{k}": x for name, x in Level.build(parents, child[at], len(contexts)).items()}
+    meta = {name: numbers for name, (numbers, _) in parts.items()}
+    arrays |= {f"{name}_{x}": a for name, (_, own) in parts.items() for x, a in own.items()}
+    return pa.table({"shard": table.column("shard").slice(0, 1).cast(pa.int32()),
+                     "trie": pa.array([pack_arrays(meta, arrays)], pa.binary())})
+
+
+class Shard:
+    """The trie of one shard."""
+
+    def __init__(self, data: bytes):
+        meta, self.arrays = view_arrays(np.frombuffer(data, np.uint8))
+
+        def sequence(name: str) -> EliasFano:
+            return EliasFano(meta[name]["low_bits"], meta[name]["length"],
+                             *(self.arrays[f"{name}_{x}"] for x in ("low", "high", "ranks")))
+
+        self.words = sequence("words")
+        self.contexts = {k: sequence(f"contexts{k}") for k in (PAIR, TRIPLE)}
+        self.levels = {k: Level(sequence(f"pointers{k}"), sequence(f"ids{k}")) for k in (PAIR, TRIPLE)}
+
+    def count(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Count and ``left`` code of each word; 0 for unknown ones."""
+        node = self.words.find(words)
+        return self._codes("counts", node), self._codes(f"left{WORD}", node)
+
+    def gains(self, kind: int, contexts: np.ndarray, children: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``value`` and ``left`` codes of the n-grams; 0 for unknown ones."""
+        parent = self.contexts[kind].find(contexts)
+        at = np.flatnonzero(parent >= 0)
+        node = np.full(len(contexts), -1, np.int64)
+        node[at] = self.levels[kind].find_wide(parent[at], children[at])
+        return self._codes(f"value{kind}", node), self._codes(f"left{kind}", node)
+
+    def _codes(self, name: str, node: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(node), np.int64)
+        found = np.flatnonzero(node >= 0)
+        out[found] = self.arrays[name][node[found]]
+        return out
+
+
 @cache
 def _open_trie(path: str) -> Trie:
     """The trie of a file, opened once per worker."""
@@ -279,8 +356,8 @@ def _open_trie(path: str) -> Trie:
 
 
 def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
-          head_share: float = HEAD_SHARE) -> NgramModel:
-    """Count all texts of ``docs``, build the trie of the head and write the tail."""
+          head_share: float = HEAD_SHARE, shard_ngrams: int = SHARD_NGRAMS) -> NgramModel:
+    """Count all texts of ``docs``, build the head's trie and the shards."""
     spark = docs.sparkSession
     prepare_workers(spark)
     texts = docs.select(text_of(docs, text_col).alias("text"))
@@ -318,29 +395,41 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
     second = words.where(kept).select(F.col("key").alias("b"), ((F.col("n") + ADD) / floor).alias("p1"))
     own, lower = (F.col("n") - DISCOUNT) / F.col("n_a"), F.col("left_a") * F.col("p1")
     two = materialize(pairs.join(first, "a").join(second, "b").join(taken(triples, "ab"), "key", "left").select(
-        "key", "a", "b", "n", left.alias("left"), (own + lower).alias("p"), code(1 + own / lower).alias("value")), "lm-pair-model")
-    ab = two.select(F.col("key").alias("ab"), (F.col("n") * F.col("left")).alias("scale"))
+        "key", "a", "b", "n", (F.col("n_a") >= head).alias("split"), left.alias("left"), (own + lower).alias("p"),
+        code(1 + own / lower).alias("value")), "lm-pair-model")
+    discard(pairs)
+    ab = two.select(F.col("key").alias("ab"), (F.col("n") * F.col("left")).alias("scale"), (F.col("n") >= head).alias("split"))
     bc = two.select(F.col("key").alias("bc"), "p")
     gain = code(1 + (F.col("n") - DISCOUNT) / (F.col("scale") * F.col("p")))
-    three = materialize(triples.join(ab, "ab").join(bc, "bc").select("ab", "bc", "n", gain.alias("value")), "lm-triple-model")
-    discard(counts, pairs, triples)
-
-    tail = F.col("n") < head
-    nothing = F.lit(None).cast("bigint")
-    rest = materialize(
-        words.where(tail).select("key", "n", F.lit(0).cast("smallint").alias("value"), code(F.col("left")).alias("left"))
-        .unionByName(two.where(tail).select("key", nothing.alias("n"), "value", code(F.col("left")).alias("left")))
-        .unionByName(three.where(tail).select(triple_key.alias("key"), nothing.alias("n"), "value",
-                                              F.lit(0).cast("smallint").alias("left"))), "lm-tail")
+    three = materialize(triples.join(ab, "ab").join(bc, "bc").select("ab", "bc", "n", "split", gain.alias("value")),
+                        "lm-triple-model")
+    discard(counts, triples)
+
+    parts = max(1, sum(x.count() for x in (words, two, three)) // shard_ngrams)
+
+    def entries(table: DataFrame, kind: int, context: str, child: Column, home: Column, value: Column, left: Column) -> DataFrame:
+        shard = F.shiftright(F.shiftrightunsigned(home, 32) * F.lit(parts).cast("bigint"), 32)
+        return table.where(F.col("n") < head).select(
+            shard.cast("int").alias("shard"), F.lit(kind).cast("tinyint").alias("kind"), F.col(context).alias("context"),
+            child.alias("child"), "n", value.alias("value"), left.alias("left"))
+
+    none, left_code = F.lit(0).cast("smallint"), code(F.col("left"))
+    shards = materialize(
+        entries(words, WORD, "key", F.lit(0).cast("bigint"), F.col("key"), none, left_code)
+        .unionByName(entries(two, PAIR, "a", F.col("b"), F.when(F.col("split"), F.col("key")).otherwise(F.col("a")),
+                             F.col("value"), left_code))
+        .unionByName(entries(three, TRIPLE, "ab", F.col("bc"), F.when(F.col("split"), triple_key).otherwise(F.col("ab")),
+                             F.col("value"), none))
+        .groupBy("shard").applyInArrow(_build_shard, "shard int, trie binary"), "lm-shards")
 
     def columns(table: DataFrame, *names: str | Column) -> list[np.ndarray]:
         found = table.where(F.col("n") >= head).select(*names).toArrow()
         return [c.to_numpy() for c in found.columns]
 
-    keys, word_counts, left1 = columns(words, "key", "n", code(F.col("left")))
+    keys, word_counts, left1 = columns(words, "key", "n", left_code)
     order = np.argsort(keys.view(np.uint64))
     keys, word_counts, left1 = keys.view(np.uint64)[order], word_counts[order], left1[order]
-    pair_keys, a, b, gain2, left2 = columns(two, "key", "a", "b", "value", code(F.col("left")))
+    pair_keys, a, b, gain2, left2 = columns(two, "key", "a", "b", "value", left_code)
     ids = np.searchsorted(keys, a.view(np.uint64)) << 32 | np.searchsorted(keys, b.view(np.uint64))
     order = np.argsort(ids)
     pair_keys, ids, gain2, left2 = (x[order] for x in (pair_keys, ids, gain2, left2))
@@ -354,48 +443,156 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
     discard(words, two, three)
     path = write_shared_file(spark, "lm-trie", data)
     spark.sparkContext.addFile(path)
-    return NgramModel(path.rsplit("/", 1)[-1], total, distinct, rest, filters)
+    return NgramModel(path.rsplit("/", 1)[-1], total, distinct, shards, parts, filters)
+
+
+#: A block of n-grams that a batch of texts asks a shard for, its answer, or (with shard -1) the batch itself, with its ``ids``.
+_ASKED = ("kinds", "contexts", "children")
+_ANSWERED = ("texts", "known", "words", "gains", "n_tokens")
+
+
+def _block_type(id_type: T.DataType, asked: bool) -> T.StructType:
+    fields = {"shard": T.IntegerType(), "batch": T.StringType(), "blocks": T.IntegerType(), "ids": T.ArrayType(id_type)}
+    fields |= dict.fromkeys((*(_ASKED if asked else ()), *_ANSWERED), T.BinaryType())
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-def _score_in(file: str, filters):
+def _blocks(rows: list[dict], ids: pa.DataType, asked: bool) -> pa.RecordBatch:
+    fields = {"shard": pa.int32(), "batch": pa.string(), "blocks": pa.int32(), "ids": ids}
+    fields |= dict.fromkeys((*(_ASKED if asked else ()), *_ANSWERED), pa.binary())
+    return pa.record_batch({name: pa.array([r.get(name) for r in rows], kind) for name, kind in fields.items()})
+
+
+def _ask(file: str, parts: int, filters):
+    """Arrow function: of each batch of texts what the head gives, and a block for each shard that may have more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = _open_trie(SparkFiles.get(file))
-        row = TaskContext.get().partitionId() << 40
+        task, made = TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for part in parts_of([len(t) for t in texts], _BATCH_CHARS):
+            for part in parts_of([len(t) + _TEXT_CHARS for t in texts], _BATCH_CHARS):
                 tokens, bounds = _tokens(texts[part])
-                ids, pair, triple, word, whole = trie.score(tokens, bounds)
-                n = len(bounds) - 1
-                doc = np.repeat(np.arange(n), np.diff(bounds))
-                follows = _within(bounds, len(tokens))
-                followed = np.append(follows[1:], False)
-                pairs = _pair_keys(tokens)
-                triples = _triple_keys(pairs)
-                lost = np.flatnonzero(ids < 0)
-                two = np.flatnonzero(follows & (pair < 0) & _passes(filters.value[0], pairs))
-                three = np.flatnonzero(_third(follows) & (triple < 0) & _passes(filters.value[1], triples))
-                keys = np.concatenate((tokens[lost], pairs[two], triples[three]))
-                at = np.concatenate((lost, two, three))
-                is_word = np.arange(len(at)) < len(lost)
-                order = np.lexsort((keys, ~is_word, doc[at]))
-                keys, at, is_word = keys[order], at[order], is_word[order]
-                head = np.ones(len(order), bool)
-                head[1:] = ((keys[1:] != keys[:-1]) | (doc[at[1:]] != doc[at[:-1]]) | (is_word[1:] != is_word[:-1]))
-                heads = np.flatnonzero(head)
-                offsets = pa.array(np.searchsorted(doc[at[heads]], np.arange(n + 1)).astype(np.int32))
-                times = np.diff(np.append(heads, len(order)))
-                before = np.concatenate(([0], np.cumsum(followed[at])))
-                goes_on = before[np.append(heads[1:], len(order))] - before[heads] if len(heads) else times
-                lists = {"rare": keys[heads].view(np.int64),
-                         "uses": times.astype(np.int64) << 32 | goes_on.astype(np.int64) << 1 | is_word[heads]}
-                yield pa.record_batch({
-                    "row": pa.array(row + np.arange(n)), "id": batch.column("id").slice(part.start, n),
-                    "n_tokens": pa.array(np.diff(bounds)),
-                    "n_known": pa.array(np.bincount(doc, ids >= 0, n).astype(np.int64)),
-                    "base": pa.array(np.bincount(doc, word, n)), "whole": pa.array(np.bincount(doc, whole, n)),
-                    **{x: pa.ListArray.from_arrays(offsets, pa.array(v)) for x, v in lists.items()}})
-                row += n
+                ids = batch.column("id").slice(part.start, len(bounds) - 1)
+                content = hashlib.blake2b(tokens.tobytes() + bounds.tobytes() + repr(ids).encode(), digest_size=12)
+                name = f"{task}.{made}.{content.hexdigest()}"
+                made += 1
+                yield from _ask_batch(trie, parts, filters, name, ids, tokens, bounds)
+    return run
+
+
+def _ask_batch(trie: Trie, parts: int, filters, name: str, ids: pa.Array,
+               tokens: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+    node, pair, triple, word, whole = trie.score(tokens, bounds)
+    n = len(bounds) - 1
+    doc = np.repeat(np.arange(n, dtype=np.uint32), np.diff(bounds))
+    follows = _within(bounds, len(tokens))
+    followed = np.append(follows[1:], False)
+    pairs = _pair_keys(tokens)
+    triples = _triple_keys(pairs)
+    one = np.flatnonzero(node < 0)
+    two = np.flatnonzero(follows & (pair < 0) & _passes(filters.value[0], pairs))
+    three = np.flatnonzero(_third(follows) & (triple < 0) & _passes(filters.value[1], triples))
+    at = np.concatenate((one, two, three))
+    home = np.concatenate((tokens[one], np.where(node[two - 1] >= 0, pairs[two], tokens[two - 1]),
+                           np.where(pair[three - 1] >= 0, triples[three], pairs[three - 1])))
+    contexts = np.concatenate((tokens[one], tokens[two - 1], pairs[three - 1]))
+    children = np.concatenate((np.zeros(len(one), np.int64), _children(tokens[two]), _children(pairs[three])))
+    kinds = np.repeat([WORD, PAIR, TRIPLE], (len(one), len(two), len(three))) << 1 | followed[at]
+    shard = ((home >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    edges = np.append(np.flatnonzero(np.diff(shard[order], prepend=-1)), len(order)).tolist()
+    runs = list(zip(edges, edges[1:], strict=False))
+    kinds, contexts, texts = kinds[order].astype(np.uint8), contexts[order], doc[at[order]]
+    children = children[order].view(np.uint8).reshape(-1, 8)[:, :8 - CHILD_CUT // 8]
+    rows = [{"shard": int(shard[order[lo]]), "batch": name, "kinds": kinds[lo:hi].tobytes(), "contexts": contexts[lo:hi].tobytes(),
+             "children": children[lo:hi].tobytes(), "texts": texts[lo:hi].astype(np.uint16 if n <= 1 << 16 else np.uint32).tobytes()}
+            for lo, hi in runs]
+    listed = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ids)
+    yield _blocks(rows, listed.type, True)
+    own = _blocks([{"shard": -1, "batch": name, "blocks": len(runs), "n_tokens": np.diff(bounds).astype(np.int64).tobytes(),
+                    "known": np.bincount(doc, node >= 0, n).astype(np.int64).tobytes(),
+                    "words": np.bincount(doc, word, n).tobytes(), "gains": np.bincount(doc, whole, n).tobytes()}], listed.type, True)
+    yield own.set_column(own.schema.get_field_index("ids"), "ids", listed)
+
+
+def _answer(total: int, distinct: int):
+    """Arrow function: blocks answered by their shard's trie, which comes before them; batches pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, of = None, None
+        for batch in batches:
+            shards = batch.column("shard").to_numpy()
+            whole = batch.filter(pa.array(shards < 0))
+            yield whole.select(["shard", "batch", "blocks", "ids", *_ANSWERED])
+            rows = []
+            for i in np.flatnonzero(shards >= 0):
+                if batch.column("trie")[i].is_valid:
+                    trie, of = Shard(batch.column("trie")[i].as_py()), shards[i]
+                    continue
+                block = {x: batch.column(x)[i].as_py() for x in ("batch", "kinds", "contexts", "children", "texts")}
+                rows.append({"shard": int(shards[i]), "batch": block["batch"],
+                             **_gains(trie if of == shards[i] else None, total, distinct, block)})
+            yield _blocks(rows, batch.schema.field("ids").type, False)
+    return run
+
+
+def _gains(trie: Shard | None, total: int, distinct: int, block: dict[str, bytes]) -> dict[str, bytes]:
+    """Per text of a block: its number, known words, their log ``p1`` and the codes' sum."""
+    kinds = np.frombuffer(block["kinds"], np.uint8)
+    n = len(kinds)
+    contexts = np.frombuffer(block["contexts"], np.uint64)
+    children = np.zeros((n, 8), np.uint8)
+    children[:, :8 - CHILD_CUT // 8] = np.frombuffer(block["children"], np.uint8).reshape(n, -1)
+    children = children.view(np.int64)[:, 0]
+    texts = np.frombuffer(block["texts"], f"u{len(block['texts']) // n}")
+    counts, codes = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for kind in (WORD, PAIR, TRIPLE) if trie else ():
+        at = np.flatnonzero(kinds >> 1 == kind)
+        if kind == WORD:
+            counts[at], left = trie.count(contexts[at])
+        else:
+            codes[at], left = trie.gains(kind, contexts[at], children[at])
+        codes[at] += left * (kinds[at] & 1)
+    is_word = kinds >> 1 == WORD
+    word = np.where(is_word, _log_word(counts, total, distinct) if total else 0.0, 0.0)
+    own, place = np.unique(texts, return_inverse=True)
+    return {"texts": own.tobytes(), "known": np.bincount(place, counts > 0).astype(np.uint32).tobytes(),
+            "words": np.bincount(place, word).tobytes(), "gains": np.bincount(place, codes).astype(np.int64).tobytes()}
+
+
+def _sum_up(total: int):
+    """Arrow function: the texts of one batch with what its blocks brought."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = words = gains = batch = None
+        came, waiting = 0, []
+        more: dict[str, np.ndarray] = {}
+
+        def add(row: dict) -> None:
+            at = np.frombuffer(row["texts"], f"u{len(row['texts']) * 4 // len(row['known'])}")
+            more["known"][at] += np.frombuffer(row["known"], np.uint32)
+            more["words"][at] += np.frombuffer(row["words"], np.float64)
+            more["codes"][at] += np.frombuffer(row["gains"], np.int64)
+
+        for rows in batches:
+            for row in rows.drop_columns(["ids"]).to_pylist():
+                if row["shard"] < 0:
+                    known, words, gains, n_tokens = (np.frombuffer(row[x], kind) for x, kind in (
+                        ("known", np.int64), ("words", np.float64), ("gains", np.float64), ("n_tokens", np.int64)))
+                    at = rows.column("shard").to_pylist().index(-1)
+                    ids, batch = rows.column("ids")[at].values, row
+                    more = {"known": np.zeros(len(known), np.int64), "words": np.zeros(len(known)),
+                            "codes": np.zeros(len(known), np.int64)}
+                    for other in waiting:
+                        add(other)
+                    waiting = []
+                else:
+                    came += 1
+                    add(row) if more else waiting.append(row)
+        if batch is None or came != batch["blocks"]:
+            raise RuntimeError("a lost task read its rows in another order: score a written table")
+        yield pa.record_batch({
+            "id": ids, "n_tokens": pa.array(n_tokens), "n_known": pa.array(known + more["known"]),
+            "train_tokens": pa.array(np.full(len(known), total, np.int64)), "base_score": pa.array(words + more["words"]),
+            "score": pa.array(gains + more["words"] + more["codes"] / STEPS)})
     return run
 
 
@@ -403,28 +600,13 @@ def score(docs: DataFrame, model: NgramModel, id_col: str = "doc_id", text_col:
     """``id, n_tokens, n_known, train_tokens, base_score, score`` per row, in log10."""
     prepare_workers(docs.sparkSession)
     rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
-    longs = T.ArrayType(T.LongType())
-    # written, so that a row's number is the same for its rare words and for its sums
-    part = materialize(rows.mapInArrow(_score_in(model.file, model.filters), T.StructType([
-        T.StructField("row", T.LongType()), T.StructField("id", rows.schema["id"].dataType),
-        T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
-        T.StructField("base", T.DoubleType()), T.StructField("whole", T.DoubleType()),
-        T.StructField("rare", longs), T.StructField("uses", longs)])), "lm-parts")
-    rare = part.select("row", F.explode(F.arrays_zip("rare", "uses")).alias("r")).select(
-        "row", F.col("r.rare").alias("key"), F.col("r.uses").alias("uses"))
-    times, is_word = F.shiftright("uses", 32), F.col("uses").bitwiseAND(F.lit(1)) == 1
-    followed = F.shiftright(F.col("uses").bitwiseAND(F.lit((1 << 32) - 1)), 1)
-    count = F.coalesce(F.col("n"), F.lit(0))
-    floor = F.lit(model.total + ADD * (model.distinct + 1))
-    word = F.when(is_word, times * (F.log10((count + ADD) / floor) if model.total else F.lit(0.0))).otherwise(0.0)
-    gain = times * F.coalesce(F.col("value"), F.lit(0)) + followed * F.coalesce(F.col("left"), F.lit(0))
-    found = rare.withColumn("is_word", is_word)
-    sums = (found.join(model.tail, (found["key"] == model.tail["key"])
-                       & (found["is_word"] == model.tail["n"].isNotNull()), "left")
-            .groupBy("row").agg(F.sum(F.when(count > 0, times).otherwise(0)).alias("known"), F.sum(word).alias("word"),
-                                (F.sum(gain) / float(STEPS)).alias("more")))
-    word, more = F.coalesce("word", F.lit(0.0)), F.coalesce("more", F.lit(0.0))
-    return part.drop("rare", "uses").join(sums, "row", "left").select(
-        "id", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(model.total).cast("bigint").alias("train_tokens"),
-        (F.col("base") + word).alias("base_score"), (F.col("whole") + word + more).alias("score"))
+    id_type = rows.schema["id"].dataType
+    scored = T.StructType([T.StructField("id", id_type), *(T.StructField(x, T.LongType()) for x in ("n_tokens", "n_known", "train_tokens")),
+                           *(T.StructField(x, T.DoubleType()) for x in ("base_score", "score"))])
+    blocks = rows.mapInArrow(_ask(model.file, model.parts, model.filters), _block_type(id_type, True))
+    # a batch's name is not empty, so a shard's trie comes before its blocks
+    routed = (blocks.withColumn("trie", F.lit(None).cast("binary"))
+              .unionByName(model.shards.withColumn("batch", F.lit("")), allowMissingColumns=True)
+              .repartition("shard", F.when(F.col("shard") < 0, F.col("batch"))).sortWithinPartitions("shard", "batch"))
+    return (routed.mapInArrow(_answer(model.total, model.distinct), _block_type(id_type, False))
+            .groupBy("batch").applyInArrow(_sum_up(model.total), scored))

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -145,8 +146,9 @@ def test_scores_are_the_same_wherever_an_ngram_is_kept(spark):
     rows = [(i, prose(i % 25, 5 + i)) for i in range(60)] + [(100, "New words ONLY here Alpha1"), (101, ""), (102, None)]
     known = [t for i, t in rows if i < 45]
     brute, scores = Brute(known, 0.0), {}
-    for head_share in (0.0, 0.002, 0.02, 1.0):  # all in the trie, some, few, none
-        model = M.train(documents(spark, rows).where("doc_id < 45"), head_share=head_share)
+    # all in the head, some, few, none; one shard and many
+    for head_share, shard_ngrams in ((0.0, M.SHARD_NGRAMS), (0.002, 40), (0.02, M.SHARD_NGRAMS), (0.02, 7), (1.0, 100)):
+        model = M.train(documents(spark, rows).where("doc_id < 45"), head_share=head_share, shard_ngrams=shard_ngrams)
         for r in M.score(documents(spark, rows), model).collect():
             t = dict(rows)[r.id]
             d = tokens_of(t)
@@ -156,6 +158,31 @@ def test_scores_are_the_same_wherever_an_ngram_is_kept(spark):
             assert r.score == pytest.approx(scores.setdefault(r.id, r.score), rel=1e-12)
 
 
+U40 = st.integers(0, 2**40 - 1)
+ENTRIES = st.dictionaries(st.tuples(st.sampled_from([M.PAIR, M.TRIPLE]), st.sampled_from([0, 5, 2**63, 2**64 - 1]), U40),
+                          st.tuples(st.integers(-9, 9), st.integers(-9, 9)), max_size=40)
+
+
+@settings(max_examples=60, deadline=None)
+@given(ENTRIES, st.dictionaries(U64, st.tuples(st.integers(1, 99), st.integers(-9, 9)), max_size=30), st.lists(U40, max_size=5))
+def test_shard(ngrams, words, others):
+    rows = [(M.WORD, w, 0, n, 0, left) for w, (n, left) in words.items()]
+    rows += [(k, c, x << M.CHILD_CUT | 7, 0, value, left) for (k, c, x), (value, left) in ngrams.items()]
+    if not rows:
+        return
+    kind, context, child, n, value, left = zip(*rows, strict=True)
+    table = pa.table({"shard": pa.array([3] * len(rows), pa.int32()), "kind": pa.array(kind, pa.int8()),
+                      "context": np.array(context, np.uint64).view(np.int64), "child": np.array(child, np.uint64).view(np.int64),
+                      "n": pa.array(n, pa.int64()), "value": pa.array(value, pa.int16()), "left": pa.array(left, pa.int16())})
+    shard = M.Shard(M._build_shard(table).column("trie")[0].as_py())
+    asked = np.array([*words, *others], np.uint64)
+    assert list(zip(*(x.tolist() for x in shard.count(asked)), strict=True)) == [words.get(int(w), (0, 0)) for w in asked]
+    for k in (M.PAIR, M.TRIPLE):
+        asked = [(c, x) for c in (0, 1, 5, 2**63, 2**64 - 1) for x in {x for _, _, x in ngrams} | set(others)]
+        got = shard.gains(k, np.array([c for c, _ in asked], np.uint64), np.array([x for _, x in asked], np.int64))
+        assert list(zip(*(x.tolist() for x in got), strict=True)) == [ngrams.get((k, *q), (0, 0)) for q in asked]
+
+
 def test_no_order_of_words_shares_a_key():
     tokens = M._tokens([" ".join(f"w{k}" for k in range(6))])[0][:6]
     orders = [np.array(x) for n in (2, 3) for x in itertools.product(tokens, repeat=n)]
