@@ -75,6 +75,8 @@ DISCOUNT = 0.75
 END = np.uint64(0x9B97A6E2D5F41C03)
 _BATCH_CHARS = 1 << 21
 _TALLY = 1 << 20
+#: Training tokens, and so n-grams at most, of a range of keys that one group counts.
+RANGE_TOKENS = 1 << 19
 #: Characters that a text counts for besides its own, so that a batch has no more than 65,536 texts.
 _TEXT_CHARS = 32
 
@@ -86,49 +88,89 @@ def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Tally:
-    """Counts of keys with their columns, passed on whenever they are too many to keep."""
+    """Counts of keys with their first parts, given back whenever they are too many to keep."""
 
-    def __init__(self, names: list[str]) -> None:
-        self.names = names
-        self.parts: list[tuple[np.ndarray, ...]] = []
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.size = 0
 
-    def add(self, keys: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-        keys, first, counts = np.unique(keys, return_index=True, return_counts=True)
-        self.parts.append((keys, counts, *(c[first] for c in columns)))
+    def add(self, keys: np.ndarray, firsts: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((keys, firsts, counts))
         self.size += len(keys)
-        if self.size > _TALLY:
-            self._merge()
-            if self.size > _TALLY // 2:
-                yield from self.flush()
 
-    def _merge(self) -> None:
-        keys, counts, *columns = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+    def full(self) -> bool:
+        """Whether more keys than ``_TALLY`` are left after equal ones are put together."""
+        if self.size > 2 * _TALLY:
+            self.parts = [self.merged()]
+            self.size = len(self.parts[0][0])
+        return self.size > _TALLY
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each key once, in order."""
+        keys, firsts, counts = (np.concatenate(x) for x in zip(*self.parts, strict=True))
         order = np.argsort(keys)
-        keys, counts = keys[order], counts[order]
-        heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        self.parts = [(keys[heads], np.add.reduceat(counts, heads), *(c[order[heads]] for c in columns))]
-        self.size = len(heads)
-
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        if self.size:
-            self._merge()
-            keys, counts, *columns = self.parts[0]
-            yield pa.record_batch({
-                **{x: pa.array(c.view(np.int64)) for x, c in zip(self.names, columns or [keys], strict=True)},
-                "n": pa.array(counts.astype(np.int64))})
+        keys = keys[order]
+        heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+        return keys[heads], firsts[order[heads]], np.add.reduceat(counts[order], heads) if len(heads) else counts
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``merged``; the tally is empty afterwards."""
+        found = self.merged()
         self.parts, self.size = [], 0
+        return found
 
 
-def _count(keys_of, names: list[str]):
-    """Arrow function: counts of the keys, with their columns, that ``keys_of(tokens, bounds)`` gives."""
+def _count(keys_of, give):
+    """Arrow function: counts of the keys, with their first parts, that ``keys_of(tokens, bounds)`` gives, as batches by ``give``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = _Tally(names)
+        tally = _Tally()
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for part in parts_of([len(t) for t in texts], _BATCH_CHARS):
-                yield from tally.add(*keys_of(*_tokens(texts[part])))
-        yield from tally.flush()
+                keys, firsts = keys_of(*_tokens(texts[part]))
+                tally.add(keys, firsts, np.ones(len(keys), np.int64))
+                if tally.full():
+                    yield give(*tally.taken())
+        if tally.size:
+            yield give(*tally.taken())
+    return run
+
+
+def _word_rows(keys: np.ndarray, _: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch({"key": pa.array(keys.view(np.int64)), "n": pa.array(counts)})
+
+
+def _key_range(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Of ``parts`` equal ranges of hashes the one that each is in."""
+    return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _ngram_blocks(parts: int):
+    """Counts of sorted keys as one packed block for each range of keys."""
+    def give(keys: np.ndarray, firsts: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        ranges = _key_range(keys, parts)
+        edges = np.append(np.flatnonzero(np.diff(ranges, prepend=-1)), len(keys)).tolist()
+        columns = (keys, firsts, counts.astype(np.uint64))
+        blocks = [b"".join(x[lo:hi].tobytes() for x in columns) for lo, hi in zip(edges, edges[1:], strict=False)]
+        return pa.record_batch({"range": pa.array(ranges[edges[:-1]], pa.int32()), "block": pa.array(blocks, pa.binary())})
+    return give
+
+
+def _kept(names: list[str], turn: int, least: int):
+    """Arrow function: of the blocks of one range the n-grams with ``least`` occurrences. The key gives the second part."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = _Tally()
+        for batch in batches:
+            for block in batch.column("block").to_pylist():
+                keys, firsts, counts = np.frombuffer(block, np.uint64).reshape(3, -1)
+                tally.add(keys, firsts, counts.astype(np.int64))
+            tally.full()
+        keys, firsts, counts = tally.taken()
+        at = np.flatnonzero(counts >= least)
+        keys, firsts = keys[at], firsts[at]
+        columns = (keys, firsts, keys ^ _turned(firsts, turn))
+        yield pa.record_batch({
+            **{x: pa.array(c.view(np.int64)) for x, c in zip(names, columns, strict=True)}, "n": pa.array(counts[at])})
     return run
 
 
@@ -147,10 +189,6 @@ def _turned(keys: np.ndarray, bits: int) -> np.ndarray:
     return keys << np.uint64(bits) | keys >> np.uint64(64 - bits)
 
 
-def _turned_column(key: Column, bits: int) -> Column:
-    return F.shiftleft(key, bits).bitwiseOR(F.shiftrightunsigned(key, 64 - bits))
-
-
 def _pair_keys(tokens: np.ndarray) -> np.ndarray:
     """Of the pair that ends at each token; of the first one a stray value."""
     return _turned(np.roll(tokens, 1), _TURN2) ^ tokens
@@ -170,7 +208,7 @@ def _third(follows: np.ndarray) -> np.ndarray:
 
 def _all_pairs(tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     at = np.flatnonzero(_within(bounds, len(tokens)))
-    return _pair_keys(tokens)[at], tokens[at - 1], tokens[at]
+    return _pair_keys(tokens)[at], tokens[at - 1]
 
 
 def _triples_of(pair_filter):
@@ -179,7 +217,7 @@ def _triples_of(pair_filter):
         pairs = _pair_keys(tokens)
         may = _within(bounds, len(tokens)) & _passes(pair_filter.value, pairs)
         at = np.flatnonzero(_third(may))
-        return _triple_keys(pairs)[at], pairs[at - 1], pairs[at]
+        return _triple_keys(pairs)[at], pairs[at - 1]
     return run
 
 
@@ -255,9 +293,10 @@ class Trie:
     def value(self, name: str, at: np.ndarray) -> np.ndarray:
         return self.codes[name][at] / STEPS
 
-    def score(self, tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    def score(self, tokens: np.ndarray, bounds: np.ndarray, pairs: np.ndarray, triples: np.ndarray) -> tuple[np.ndarray, ...]:
         """``ids, pair, triple, word, whole`` per token: the nodes that end at it (-1: none), its log ``p1`` and its score.
 
+        ``pairs`` and ``triples`` tell where the one that ends there may be kept.
         For a token of the tail ``word`` is 0, and ``whole`` has what the trie's n-grams give.
         """
         ids = self.words.find(tokens)
@@ -269,7 +308,7 @@ class Trie:
         at = np.flatnonzero(follows)
         at = at[ids[at - 1] >= 0]
         whole[at] += self.value("left1", ids[at - 1])
-        at = at[ids[at] >= 0]
+        at = at[(ids[at] >= 0) & pairs[at]]
         pair = np.full(len(tokens), -1, np.int64)
         pair[at] = self.pairs.find(ids[at - 1], ids[at])
         at = at[pair[at] >= 0]
@@ -277,7 +316,7 @@ class Trie:
         at = np.flatnonzero(follows)
         at = at[pair[at - 1] >= 0]
         whole[at] += self.value("left2", pair[at - 1])
-        at = at[ids[at] >= 0]
+        at = at[(ids[at] >= 0) & triples[at]]
         node = self.triples.find(pair[at - 1], ids[at])
         whole[at[node >= 0]] += self.value("gain3", node[node >= 0])
         triple = np.full(len(tokens), -1, np.int64)
@@ -362,11 +401,8 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
     prepare_workers(spark)
     texts = docs.select(text_of(docs, text_col).alias("text"))
 
-    def counted(keys_of, names: list[str]) -> DataFrame:
-        schema = ", ".join(f"{x} bigint" for x in (*names, "n"))
-        return texts.mapInArrow(_count(keys_of, names), schema).groupBy(*names).agg(F.sum("n").alias("n"))
-
-    counts = materialize(counted(lambda tokens, bounds: (tokens,), ["key"]), "lm-words")
+    counts = materialize(texts.mapInArrow(_count(lambda tokens, bounds: (tokens, tokens), _word_rows), "key bigint, n bigint")
+                         .groupBy("key").agg(F.sum("n").alias("n")), "lm-words")
     totals = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
     total, distinct = totals["total"] or 0, totals["distinct"]
     least = max(MIN_COUNT, int(np.ceil(share * total)))
@@ -374,12 +410,17 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
     floor = F.lit(total + ADD * (distinct + 1))
     kept = F.col("n") >= least
 
-    pairs = materialize(counted(_all_pairs, ["a", "b"]).where(kept).select(
-        _turned_column(F.col("a"), _TURN2).bitwiseXOR(F.col("b")).alias("key"), "a", "b", "n"), "lm-pairs")
+    ranges = max(1, total // RANGE_TOKENS)
+
+    def counted(keys_of, names: list[str], turn: int) -> DataFrame:
+        blocks = texts.mapInArrow(_count(keys_of, _ngram_blocks(ranges)), "range int, block binary")
+        return blocks.groupBy("range").applyInArrow(
+            _kept(names, turn, least), ", ".join(f"{x} bigint" for x in (*names, "n")))
+
+    pairs = materialize(counted(_all_pairs, ["key", "a", "b"], _TURN2), "lm-pairs")
     pair_filter = spark.sparkContext.broadcast(_filter(pairs))
-    triples = materialize(counted(_triples_of(pair_filter), ["ab", "bc"]).where(kept), "lm-triples")
-    triple_key = _turned_column(F.col("ab"), _TURN3).bitwiseXOR(F.col("bc"))
-    triple_filter = _filter(triples.select(triple_key.alias("key")))
+    triples = materialize(counted(_triples_of(pair_filter), ["key", "ab", "bc"], _TURN3), "lm-triples")
+    triple_filter = _filter(triples)
     filters = spark.sparkContext.broadcast((pair_filter.value, triple_filter))
 
     def taken(ngrams: DataFrame, by: str) -> DataFrame:
@@ -401,7 +442,7 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
     ab = two.select(F.col("key").alias("ab"), (F.col("n") * F.col("left")).alias("scale"), (F.col("n") >= head).alias("split"))
     bc = two.select(F.col("key").alias("bc"), "p")
     gain = code(1 + (F.col("n") - DISCOUNT) / (F.col("scale") * F.col("p")))
-    three = materialize(triples.join(ab, "ab").join(bc, "bc").select("ab", "bc", "n", "split", gain.alias("value")),
+    three = materialize(triples.join(ab, "ab").join(bc, "bc").select("key", "ab", "bc", "n", "split", gain.alias("value")),
                         "lm-triple-model")
     discard(counts, triples)
 
@@ -418,7 +459,7 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
         entries(words, WORD, "key", F.lit(0).cast("bigint"), F.col("key"), none, left_code)
         .unionByName(entries(two, PAIR, "a", F.col("b"), F.when(F.col("split"), F.col("key")).otherwise(F.col("a")),
                              F.col("value"), left_code))
-        .unionByName(entries(three, TRIPLE, "ab", F.col("bc"), F.when(F.col("split"), triple_key).otherwise(F.col("ab")),
+        .unionByName(entries(three, TRIPLE, "ab", F.col("bc"), F.when(F.col("split"), F.col("key")).otherwise(F.col("ab")),
                              F.col("value"), none))
         .groupBy("shard").applyInArrow(_build_shard, "shard int, trie binary"), "lm-shards")
 
@@ -482,23 +523,25 @@ def _ask(file: str, parts: int, filters):
 
 def _ask_batch(trie: Trie, parts: int, filters, name: str, ids: pa.Array,
                tokens: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
-    node, pair, triple, word, whole = trie.score(tokens, bounds)
     n = len(bounds) - 1
     doc = np.repeat(np.arange(n, dtype=np.uint32), np.diff(bounds))
     follows = _within(bounds, len(tokens))
     followed = np.append(follows[1:], False)
     pairs = _pair_keys(tokens)
     triples = _triple_keys(pairs)
+    may_two = follows & _passes(filters.value[0], pairs)
+    may_three = _third(may_two) & _passes(filters.value[1], triples)
+    node, pair, triple, word, whole = trie.score(tokens, bounds, may_two, may_three)
     one = np.flatnonzero(node < 0)
-    two = np.flatnonzero(follows & (pair < 0) & _passes(filters.value[0], pairs))
-    three = np.flatnonzero(_third(follows) & (triple < 0) & _passes(filters.value[1], triples))
+    two = np.flatnonzero(may_two & (pair < 0))
+    three = np.flatnonzero(may_three & (triple < 0))
     at = np.concatenate((one, two, three))
     home = np.concatenate((tokens[one], np.where(node[two - 1] >= 0, pairs[two], tokens[two - 1]),
                            np.where(pair[three - 1] >= 0, triples[three], pairs[three - 1])))
     contexts = np.concatenate((tokens[one], tokens[two - 1], pairs[three - 1]))
     children = np.concatenate((np.zeros(len(one), np.int64), _children(tokens[two]), _children(pairs[three])))
     kinds = np.repeat([WORD, PAIR, TRIPLE], (len(one), len(two), len(three))) << 1 | followed[at]
-    shard = ((home >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    shard = _key_range(home, parts)
     order = np.argsort(shard, kind="stable")
     edges = np.append(np.flatnonzero(np.diff(shard[order], prepend=-1)), len(order)).tolist()
     runs = list(zip(edges, edges[1:], strict=False))
