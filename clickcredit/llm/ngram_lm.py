@@ -26,14 +26,14 @@ whose children can be many, has them in the shards of their own hashes instead.
 n-gram is kept doesn't change the score: its codes are the same.
 
 The head's levels are words by their 64-bit hashes, then per level the pointers and the ids
-relative to their context. A shard's are the same with contexts by their 64-bit hashes and
-children by ``64 - CHILD_CUT`` bits of theirs. Texts are scored in batches where they are read.
+relative to their context. A shard's are the same with contexts and children
+by ``64 - CHILD_CUT`` bits of their hashes: a context's last, as the shard stands for its first ones. Texts are scored in batches where they are read.
 What the head doesn't have goes to its shard as packed blocks, one for each batch and shard; the shard
 sends back what each text of the block gains, and the batch sums that up. No key is hot: what is frequent is in the head.
 Bitmaps of ``FILTER_BITS`` bits of the kept n-grams' hashes spare the shuffle most
 of the n-grams that no shard has; where they are full they spare nothing and the results are the same.
 
-Words and n-grams count as equal if their 64-bit hashes are (of a context in a shard: if those bits of their last token are).
+Words and n-grams count as equal if their 64-bit hashes are (n-grams in a shard: if those bits of context and child are).
 
 ``docs`` of ``score`` should be a table: if an executor is lost, batches are cut again from the
 rows in their order. If that order changed, ``score`` ends with an error instead of a mixed result.
@@ -73,8 +73,10 @@ FILTER_BITS = 27
 ADD = 0.1
 DISCOUNT = 0.75
 END = np.uint64(0x9B97A6E2D5F41C03)
+#: Characters whose n-grams are asked for together, and of them those that are hashed and looked up at a time.
 _BATCH_CHARS = 1 << 21
-_TALLY = 1 << 20
+_PART_CHARS = 1 << 19
+_TALLY = 1 << 19
 #: Training tokens, and so n-grams at most, of a range of keys that one group counts.
 RANGE_TOKENS = 1 << 19
 #: Characters that a text counts for besides its own, so that a batch has no more than 65,536 texts.
@@ -126,7 +128,7 @@ def _count(keys_of, give):
         tally = _Tally()
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for part in parts_of([len(t) for t in texts], _BATCH_CHARS):
+            for part in parts_of([len(t) for t in texts], _PART_CHARS):
                 keys, firsts = keys_of(*_tokens(texts[part]))
                 tally.add(keys, firsts, np.ones(len(keys), np.int64))
                 if tally.full():
@@ -333,6 +335,11 @@ def _children(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(CHILD_CUT)).astype(np.int64)
 
 
+#: A context's bits in a shard: the last ones, as the shard itself, a range of hashes, stands for the first.
+CONTEXT_BITS = 64 - CHILD_CUT
+_CONTEXT = (1 << CONTEXT_BITS) - 1
+
+
 def _build_shard(table: pa.Table) -> pa.Table:
     """The trie of one shard's entries."""
     kind, context, child, n, value, left = (table.column(x).to_numpy() for x in ("kind", "context", "child", "n", "value", "left"))
@@ -451,7 +458,8 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
     def entries(table: DataFrame, kind: int, context: str, child: Column, home: Column, value: Column, left: Column) -> DataFrame:
         shard = F.shiftright(F.shiftrightunsigned(home, 32) * F.lit(parts).cast("bigint"), 32)
         return table.where(F.col("n") < head).select(
-            shard.cast("int").alias("shard"), F.lit(kind).cast("tinyint").alias("kind"), F.col(context).alias("context"),
+            shard.cast("int").alias("shard"), F.lit(kind).cast("tinyint").alias("kind"),
+            (F.col(context) if kind == WORD else F.col(context).bitwiseAND(F.lit(_CONTEXT))).alias("context"),
             child.alias("child"), "n", value.alias("value"), left.alias("left"))
 
     none, left_code = F.lit(0).cast("smallint"), code(F.col("left"))
@@ -512,17 +520,37 @@ def _ask(file: str, parts: int, filters):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for part in parts_of([len(t) + _TEXT_CHARS for t in texts], _BATCH_CHARS):
-                tokens, bounds = _tokens(texts[part])
-                ids = batch.column("id").slice(part.start, len(bounds) - 1)
-                content = hashlib.blake2b(tokens.tobytes() + bounds.tobytes() + repr(ids).encode(), digest_size=12)
-                name = f"{task}.{made}.{content.hexdigest()}"
+                ids = batch.column("id").slice(part.start, part.stop - part.start)
+                content = hashlib.blake2b(repr(ids).encode(), digest_size=12)
+                asked, own = [], []
+                for piece in parts_of([len(t) for t in texts[part]], _PART_CHARS):
+                    tokens, bounds = _tokens(texts[part][piece])
+                    content.update(tokens)
+                    content.update(bounds)
+                    wanted, sums = _ask_head(trie, parts, filters, tokens, bounds)
+                    wanted["texts"] += np.uint32(piece.start)
+                    asked.append(wanted)
+                    own.append(sums)
+                yield from _ask_shards(f"{task}.{made}.{content.hexdigest()}", ids,
+                                       *({x: np.concatenate([y[x] for y in found]) for x in found[0]} for found in (asked, own)))
                 made += 1
-                yield from _ask_batch(trie, parts, filters, name, ids, tokens, bounds)
     return run
 
 
-def _ask_batch(trie: Trie, parts: int, filters, name: str, ids: pa.Array,
-               tokens: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _packed(numbers: np.ndarray) -> np.ndarray:
+    """The lower bytes of numbers that have ``64 - CHILD_CUT`` bits, a row each."""
+    return numbers.view(np.uint8).reshape(-1, 8)[:, :8 - CHILD_CUT // 8]
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :8 - CHILD_CUT // 8] = np.frombuffer(data, np.uint8).reshape(n, -1)
+    return out.view(np.int64)[:, 0]
+
+
+def _ask_head(trie: Trie, parts: int, filters, tokens: np.ndarray,
+              bounds: np.ndarray) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """What shards may have more of, and per text its numbers from the head. A word's first bits are where others have a child."""
     n = len(bounds) - 1
     doc = np.repeat(np.arange(n, dtype=np.uint32), np.diff(bounds))
     follows = _within(bounds, len(tokens))
@@ -538,24 +566,29 @@ def _ask_batch(trie: Trie, parts: int, filters, name: str, ids: pa.Array,
     at = np.concatenate((one, two, three))
     home = np.concatenate((tokens[one], np.where(node[two - 1] >= 0, pairs[two], tokens[two - 1]),
                            np.where(pair[three - 1] >= 0, triples[three], pairs[three - 1])))
-    contexts = np.concatenate((tokens[one], tokens[two - 1], pairs[three - 1]))
-    children = np.concatenate((np.zeros(len(one), np.int64), _children(tokens[two]), _children(pairs[three])))
+    contexts = np.concatenate((tokens[one], tokens[two - 1], pairs[three - 1])) & np.uint64(_CONTEXT)
+    children = np.concatenate(((tokens[one] >> np.uint64(CONTEXT_BITS)).astype(np.int64), _children(tokens[two]),
+                               _children(pairs[three])))
     kinds = np.repeat([WORD, PAIR, TRIPLE], (len(one), len(two), len(three))) << 1 | followed[at]
-    shard = _key_range(home, parts)
+    return ({"shard": _key_range(home, parts).astype(np.int32), "kinds": kinds.astype(np.uint8), "contexts": _packed(contexts),
+             "children": _packed(children), "texts": doc[at]},
+            {"n_tokens": np.diff(bounds).astype(np.int64), "known": np.bincount(doc, node >= 0, n).astype(np.int64),
+             "words": np.bincount(doc, word, n), "gains": np.bincount(doc, whole, n)})
+
+
+def _ask_shards(name: str, ids: pa.Array, asked: dict[str, np.ndarray], own: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    n = len(ids)
+    shard = asked.pop("shard")
     order = np.argsort(shard, kind="stable")
     edges = np.append(np.flatnonzero(np.diff(shard[order], prepend=-1)), len(order)).tolist()
-    runs = list(zip(edges, edges[1:], strict=False))
-    kinds, contexts, texts = kinds[order].astype(np.uint8), contexts[order], doc[at[order]]
-    children = children[order].view(np.uint8).reshape(-1, 8)[:, :8 - CHILD_CUT // 8]
-    rows = [{"shard": int(shard[order[lo]]), "batch": name, "kinds": kinds[lo:hi].tobytes(), "contexts": contexts[lo:hi].tobytes(),
-             "children": children[lo:hi].tobytes(), "texts": texts[lo:hi].astype(np.uint16 if n <= 1 << 16 else np.uint32).tobytes()}
-            for lo, hi in runs]
+    asked = {x: y[order] for x, y in asked.items()}
+    asked["texts"] = asked["texts"].astype(np.uint16 if n <= 1 << 16 else np.uint32)
+    rows = [{"shard": int(shard[order[lo]]), "batch": name, **{x: y[lo:hi].tobytes() for x, y in asked.items()}}
+            for lo, hi in zip(edges, edges[1:], strict=False)]
     listed = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ids)
     yield _blocks(rows, listed.type, True)
-    own = _blocks([{"shard": -1, "batch": name, "blocks": len(runs), "n_tokens": np.diff(bounds).astype(np.int64).tobytes(),
-                    "known": np.bincount(doc, node >= 0, n).astype(np.int64).tobytes(),
-                    "words": np.bincount(doc, word, n).tobytes(), "gains": np.bincount(doc, whole, n).tobytes()}], listed.type, True)
-    yield own.set_column(own.schema.get_field_index("ids"), "ids", listed)
+    whole = _blocks([{"shard": -1, "batch": name, "blocks": len(rows), **{x: y.tobytes() for x, y in own.items()}}], listed.type, True)
+    yield whole.set_column(whole.schema.get_field_index("ids"), "ids", listed)
 
 
 def _answer(total: int, distinct: int):
@@ -582,18 +615,16 @@ def _gains(trie: Shard | None, total: int, distinct: int, block: dict[str, bytes
     """Per text of a block: its number, known words, their log ``p1`` and the codes' sum."""
     kinds = np.frombuffer(block["kinds"], np.uint8)
     n = len(kinds)
-    contexts = np.frombuffer(block["contexts"], np.uint64)
-    children = np.zeros((n, 8), np.uint8)
-    children[:, :8 - CHILD_CUT // 8] = np.frombuffer(block["children"], np.uint8).reshape(n, -1)
-    children = children.view(np.int64)[:, 0]
+    contexts, children = _unpacked(block["contexts"], n), _unpacked(block["children"], n)
     texts = np.frombuffer(block["texts"], f"u{len(block['texts']) // n}")
     counts, codes = np.zeros(n, np.int64), np.zeros(n, np.int64)
     for kind in (WORD, PAIR, TRIPLE) if trie else ():
         at = np.flatnonzero(kinds >> 1 == kind)
         if kind == WORD:
-            counts[at], left = trie.count(contexts[at])
+            words = (children[at] << CONTEXT_BITS | contexts[at]).view(np.uint64)
+            counts[at], left = trie.count(words)
         else:
-            codes[at], left = trie.gains(kind, contexts[at], children[at])
+            codes[at], left = trie.gains(kind, contexts[at].view(np.uint64), children[at])
         codes[at] += left * (kinds[at] & 1)
     is_word = kinds >> 1 == WORD
     word = np.where(is_word, _log_word(counts, total, distinct) if total else 0.0, 0.0)
