@@ -158,8 +158,8 @@ def _ngram_blocks(parts: int):
     return give
 
 
-def _kept(names: list[str], turn: int, least: int):
-    """Arrow function: of the blocks of one range the n-grams with ``least`` occurrences. The key gives the second part."""
+def _kept(first: str, least: int):
+    """Arrow function: of the blocks of one range the n-grams with ``least`` occurrences. The key and the first part give the second."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = _Tally()
         for batch in batches:
@@ -169,10 +169,8 @@ def _kept(names: list[str], turn: int, least: int):
             tally.full()
         keys, firsts, counts = tally.taken()
         at = np.flatnonzero(counts >= least)
-        keys, firsts = keys[at], firsts[at]
-        columns = (keys, firsts, keys ^ _turned(firsts, turn))
-        yield pa.record_batch({
-            **{x: pa.array(c.view(np.int64)) for x, c in zip(names, columns, strict=True)}, "n": pa.array(counts[at])})
+        yield pa.record_batch({"key": pa.array(keys[at].view(np.int64)), first: pa.array(firsts[at].view(np.int64)),
+                               "n": pa.array(counts[at])})
     return run
 
 
@@ -191,6 +189,10 @@ def _turned(keys: np.ndarray, bits: int) -> np.ndarray:
     return keys << np.uint64(bits) | keys >> np.uint64(64 - bits)
 
 
+def _turned_column(key: Column, bits: int) -> Column:
+    return F.shiftleft(key, bits).bitwiseOR(F.shiftrightunsigned(key, 64 - bits))
+
+
 def _pair_keys(tokens: np.ndarray) -> np.ndarray:
     """Of the pair that ends at each token; of the first one a stray value."""
     return _turned(np.roll(tokens, 1), _TURN2) ^ tokens
@@ -419,17 +421,21 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
 
     ranges = max(1, total // RANGE_TOKENS)
 
-    def counted(keys_of, names: list[str], turn: int) -> DataFrame:
+    def counted(keys_of, first: str) -> DataFrame:
         blocks = texts.mapInArrow(_count(keys_of, _ngram_blocks(ranges)), "range int, block binary")
         return blocks.groupBy("range").applyInArrow(
-            _kept(names, turn, least), ", ".join(f"{x} bigint" for x in (*names, "n")))
+            _kept(first, least), f"key bigint, {first} bigint, n bigint")
 
-    pairs = materialize(counted(_all_pairs, ["key", "a", "b"], _TURN2), "lm-pairs")
+    pairs = materialize(counted(_all_pairs, "a"), "lm-pairs")
     pair_filter = spark.sparkContext.broadcast(_filter(pairs))
-    triples = materialize(counted(_triples_of(pair_filter), ["key", "ab", "bc"], _TURN3), "lm-triples")
+    triples = materialize(counted(_triples_of(pair_filter), "ab"), "lm-triples")
     triple_filter = _filter(triples)
     filters = spark.sparkContext.broadcast((pair_filter.value, triple_filter))
 
+    # the second part of a pair and of a triple, from its key and its first part
+    b_of = F.col("key").bitwiseXOR(_turned_column(F.col("a"), _TURN2))
+    bc_of = F.col("key").bitwiseXOR(_turned_column(F.col("ab"), _TURN3))
+
     def taken(ngrams: DataFrame, by: str) -> DataFrame:
         return ngrams.groupBy(F.col(by).alias("key")).agg(F.sum(F.col("n") - DISCOUNT).alias("taken"))
 
@@ -442,14 +448,14 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
     first = words.where(kept).select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("left").alias("left_a"))
     second = words.where(kept).select(F.col("key").alias("b"), ((F.col("n") + ADD) / floor).alias("p1"))
     own, lower = (F.col("n") - DISCOUNT) / F.col("n_a"), F.col("left_a") * F.col("p1")
-    two = materialize(pairs.join(first, "a").join(second, "b").join(taken(triples, "ab"), "key", "left").select(
-        "key", "a", "b", "n", (F.col("n_a") >= head).alias("split"), left.alias("left"), (own + lower).alias("p"),
+    two = materialize(pairs.join(first, "a").withColumn("b", b_of).join(second, "b").join(taken(triples, "ab"), "key", "left").select(
+        "key", "a", "n", (F.col("n_a") >= head).alias("split"), left.alias("left"), (own + lower).alias("p"),
         code(1 + own / lower).alias("value")), "lm-pair-model")
     discard(pairs)
     ab = two.select(F.col("key").alias("ab"), (F.col("n") * F.col("left")).alias("scale"), (F.col("n") >= head).alias("split"))
     bc = two.select(F.col("key").alias("bc"), "p")
     gain = code(1 + (F.col("n") - DISCOUNT) / (F.col("scale") * F.col("p")))
-    three = materialize(triples.join(ab, "ab").join(bc, "bc").select("key", "ab", "bc", "n", "split", gain.alias("value")),
+    three = materialize(triples.join(ab, "ab").withColumn("bc", bc_of).join(bc, "bc").select("key", "ab", "n", "split", gain.alias("value")),
                         "lm-triple-model")
     discard(counts, triples)
 
@@ -465,9 +471,9 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
     none, left_code = F.lit(0).cast("smallint"), code(F.col("left"))
     shards = materialize(
         entries(words, WORD, "key", F.lit(0).cast("bigint"), F.col("key"), none, left_code)
-        .unionByName(entries(two, PAIR, "a", F.col("b"), F.when(F.col("split"), F.col("key")).otherwise(F.col("a")),
+        .unionByName(entries(two, PAIR, "a", b_of, F.when(F.col("split"), F.col("key")).otherwise(F.col("a")),
                              F.col("value"), left_code))
-        .unionByName(entries(three, TRIPLE, "ab", F.col("bc"), F.when(F.col("split"), F.col("key")).otherwise(F.col("ab")),
+        .unionByName(entries(three, TRIPLE, "ab", bc_of, F.when(F.col("split"), F.col("key")).otherwise(F.col("ab")),
                              F.col("value"), none))
         .groupBy("shard").applyInArrow(_build_shard, "shard int, trie binary"), "lm-shards")
 
@@ -478,12 +484,12 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
     keys, word_counts, left1 = columns(words, "key", "n", left_code)
     order = np.argsort(keys.view(np.uint64))
     keys, word_counts, left1 = keys.view(np.uint64)[order], word_counts[order], left1[order]
-    pair_keys, a, b, gain2, left2 = columns(two, "key", "a", "b", "value", left_code)
+    pair_keys, a, b, gain2, left2 = columns(two, "key", "a", b_of, "value", left_code)
     ids = np.searchsorted(keys, a.view(np.uint64)) << 32 | np.searchsorted(keys, b.view(np.uint64))
     order = np.argsort(ids)
     pair_keys, ids, gain2, left2 = (x[order] for x in (pair_keys, ids, gain2, left2))
     by_key = np.argsort(pair_keys)
-    ab_keys, bc_keys, gain3 = columns(three, "ab", "bc", "value")
+    ab_keys, bc_keys, gain3 = columns(three, "ab", bc_of, "value")
     ab_at, bc_at = (by_key[np.searchsorted(pair_keys, x, sorter=by_key)] for x in (ab_keys, bc_keys))
     nodes = ab_at << 32 | ids[bc_at] & ((1 << 32) - 1)
     order = np.argsort(nodes)
