@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import cached_property
 from typing import Any
 
 import numpy as np
@@ -38,6 +39,8 @@ def select_in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
 
 #: Queries that are looked up together: their arrays fit the processor's cache.
 BLOCK = 1 << 13
+#: Values of a sequence for each query after which its directories pay: a select costs about as much as unfolding so many.
+UNFOLD = 8
 
 
 def once(find: Callable[..., np.ndarray], keys: np.ndarray) -> np.ndarray:
@@ -48,13 +51,18 @@ def once(find: Callable[..., np.ndarray], keys: np.ndarray) -> np.ndarray:
 
 
 class EliasFano:
-    """A monotone sequence of unsigned numbers: low bits packed, high bits in unary with a rank directory."""
+    """A monotone sequence of unsigned numbers: low bits packed, high bits in unary with a rank directory.
+
+    A sequence that is asked often unfolds its high bits into directories of all selects, 4 bytes for each bit at most,
+    which only the process that asks holds; the file has none of them.
+    """
 
     def __init__(self, low_bits: int, length: int, low: np.ndarray, high: np.ndarray, ranks: np.ndarray):
         self.low_bits, self.length = low_bits, length
         self.low, self.high, self.ranks = low, high, ranks
         self.zeros = np.arange(len(ranks), dtype=np.int64) * 64 - ranks
         self.mask = _U64((1 << low_bits) - 1)
+        self.asked = 0
 
     @staticmethod
     def build(values: np.ndarray) -> tuple[dict[str, int], dict[str, np.ndarray]]:
@@ -76,6 +84,23 @@ class EliasFano:
         ranks = np.concatenate(([0], np.cumsum(np.bitwise_count(high), dtype=np.int64))).astype(np.uint32)
         return {"low_bits": low_bits, "length": n}, {"low": low, "high": high, "ranks": ranks}
 
+    def _often(self, queries: int) -> bool:
+        """Whether the directories pay, with these queries."""
+        self.asked += queries
+        return self.asked * UNFOLD > self.length
+
+    @cached_property
+    def _highs(self) -> np.ndarray:
+        """The high part of each value."""
+        ones = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))
+        return (ones - np.arange(len(ones))).astype(np.uint32)
+
+    @cached_property
+    def _firsts(self) -> np.ndarray:
+        """``_first`` of each high part."""
+        zeros = np.flatnonzero(np.unpackbits(~self.high.view(np.uint8), bitorder="little"))
+        return np.append(np.uint32(0), (zeros - np.arange(len(zeros))).astype(np.uint32))
+
     def _select(self, before: np.ndarray, words: np.ndarray, k: np.ndarray) -> np.ndarray:
         word = np.searchsorted(before, k, side="right") - 1
         return word * 64 + select_in_word(words[word], k - before[word])
@@ -92,7 +117,7 @@ class EliasFano:
 
     def get(self, at: np.ndarray) -> np.ndarray:
         """The values at these places."""
-        high = (self._select(self.ranks, self.high, at) - at).astype(_U64)
+        high = (self._highs[at] if self._often(len(at)) else self._select(self.ranks, self.high, at) - at).astype(_U64)
         return high << _U64(self.low_bits) | self._low(at)
 
     def find(self, targets: np.ndarray) -> np.ndarray:
@@ -125,18 +150,23 @@ class EliasFano:
         high = targets >> _U64(self.low_bits)
         live = np.flatnonzero(high < _U64(len(self.high) * 64 - self.length - 1))
         high, wanted = high[live].astype(np.int64), targets[live] & self.mask
-        lo, end = self._first(high), self._first(high + 1)
-        hi = end.copy()
-        open_ = np.flatnonzero(lo < hi)
-        while len(open_):
-            middle = (lo[open_] + hi[open_]) >> 1
-            below = self._low(middle) < wanted[open_]
-            lo[open_[below]] = middle[below] + 1
-            hi[open_[~below]] = middle[~below]
-            open_ = open_[lo[open_] < hi[open_]]
+        if self._often(len(live)):
+            lo, end = self._firsts[high].astype(np.int64), self._firsts[high + 1].astype(np.int64)
+        else:
+            lo, end = self._first(high), self._first(high + 1)
         place[live] = lo
-        inside = np.flatnonzero(lo < end)
-        equal[live[inside]] = self._low(lo[inside]) == wanted[inside]
+        some = np.flatnonzero(lo < end)
+        live, lo, hi, wanted = live[some], lo[some], end[some], wanted[some]
+        while len(live):
+            middle = (lo + hi) >> 1
+            low = self._low(middle)
+            below = low < wanted
+            # values may repeat, so an equal one is the first of them only if none is left before it
+            equal[live[low == wanted]] = True
+            lo, hi = np.where(below, middle + 1, lo), np.where(below, hi, middle)
+            place[live] = lo
+            some = np.flatnonzero(lo < hi)
+            live, lo, hi, wanted = live[some], lo[some], hi[some], wanted[some]
         return place, equal
 
 

@@ -48,19 +48,19 @@ columns are never read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, SparkFiles, TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles, TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .elias_fano import STEPS, EliasFano, Level, map_arrays, pack_arrays, view_arrays
-from .shared import discard, materialize, prepare_workers, text_of, write_shared_file
+from .shared import discard, materialize, prepare_workers, releasing, text_of, write_shared_file
 from .words import parts_of, text_words
 
 #: Least occurrences of a kept n-gram, and least share of the training tokens: none.
@@ -108,8 +108,11 @@ class _Tally:
         return self.size > _TALLY
 
     def merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Each key once, in order."""
-        keys, firsts, counts = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        """Each key once, in order; the parts are gone."""
+        columns = [list(x) for x in zip(*self.parts, strict=True)]
+        self.parts = []
+        # a column's parts go as soon as they are put together
+        keys, firsts, counts = (np.concatenate(columns.pop(0)) for _ in range(3))
         order = np.argsort(keys)
         keys = keys[order]
         heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
@@ -147,14 +150,27 @@ def _key_range(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
+def _edges(places: np.ndarray) -> list[int]:
+    """Where each run of equal places begins, and the end."""
+    return np.append(np.flatnonzero(np.diff(places, prepend=-1)), len(places)).tolist()
+
+
+def _by_place(name: str, places: np.ndarray, columns: Iterable[np.ndarray]) -> pa.RecordBatch:
+    """The columns of rows in the order of ``places``, as one packed block for each place."""
+    edges = _edges(places)
+    blocks = [b"".join(x[lo:hi].tobytes() for x in columns) for lo, hi in zip(edges, edges[1:], strict=False)]
+    return pa.record_batch({name: pa.array(places[edges[:-1]], pa.int32()), "block": pa.array(blocks, pa.binary())})
+
+
+def _place_order(places: np.ndarray) -> np.ndarray:
+    """Their stable order; numbers of 16 bits are sorted by radix."""
+    return np.argsort(places.astype(np.uint16) if places.max(initial=0) < 1 << 16 else places, kind="stable")
+
+
 def _ngram_blocks(parts: int):
     """Counts of sorted keys as one packed block for each range of keys."""
     def give(keys: np.ndarray, firsts: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        ranges = _key_range(keys, parts)
-        edges = np.append(np.flatnonzero(np.diff(ranges, prepend=-1)), len(keys)).tolist()
-        columns = (keys, firsts, counts.astype(np.uint64))
-        blocks = [b"".join(x[lo:hi].tobytes() for x in columns) for lo, hi in zip(edges, edges[1:], strict=False)]
-        return pa.record_batch({"range": pa.array(ranges[edges[:-1]], pa.int32()), "block": pa.array(blocks, pa.binary())})
+        return _by_place("range", _key_range(keys, parts), (keys, firsts, counts.astype(np.uint64)))
     return give
 
 
@@ -215,11 +231,11 @@ def _all_pairs(tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]
     return _pair_keys(tokens)[at], tokens[at - 1]
 
 
-def _triples_of(pair_filter):
+def _triples_of(pair_filter: str):
     """Triples whose pairs may be kept: those of no others can be."""
     def run(tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
         pairs = _pair_keys(tokens)
-        may = _within(bounds, len(tokens)) & _passes(pair_filter.value, pairs)
+        may = _within(bounds, len(tokens)) & _passes(_open_filter(pair_filter), pairs)
         at = np.flatnonzero(_third(may))
         return _triple_keys(pairs)[at], pairs[at - 1]
     return run
@@ -236,6 +252,19 @@ def _filter(keys: DataFrame) -> np.ndarray:
     return out
 
 
+def _share(spark: SparkSession, name: str, data: bytes) -> str:
+    """Ship a file to each executor; its name there."""
+    path = write_shared_file(spark, name, data)
+    spark.sparkContext.addFile(path)
+    return path.rsplit("/", 1)[-1]
+
+
+@lru_cache(maxsize=2)
+def _open_filter(file: str) -> np.ndarray:
+    """The bitmap of a file, memory-mapped, so that the workers of a machine share its pages."""
+    return np.memmap(SparkFiles.get(file), np.uint8, "r").view(np.ndarray)
+
+
 def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     place = keys >> np.uint64(64 - FILTER_BITS)
     return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
@@ -243,7 +272,7 @@ def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 @dataclass
 class NgramModel:
-    """A trained model: the head's file, the totals, the shards (a written table), the filters of pairs and triples.
+    """A trained model: the head's file, the totals, the shards (a written table), the files of the filters of pairs and triples.
 
     ``shards`` has ``shard, trie``, of ``parts`` shards those that aren't empty.
     """
@@ -253,7 +282,7 @@ class NgramModel:
     distinct: int
     shards: DataFrame
     parts: int
-    filters: Broadcast
+    filters: tuple[str, str]
 
 
 def _log_word(counts: np.ndarray, total: int, distinct: int) -> np.ndarray:
@@ -363,6 +392,52 @@ def _build_shard(table: pa.Table) -> pa.Table:
                      "trie": pa.array([pack_arrays(meta, arrays)], pa.binary())})
 
 
+#: Columns of a shard's entries in their packed blocks.
+_ENTRY = {"context": np.dtype(np.int64), "child": np.dtype(np.int64), "n": np.dtype(np.int64),
+          "value": np.dtype(np.int16), "left": np.dtype(np.int16), "kind": np.dtype(np.int8)}
+
+
+def _entry_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow function: entries as packed blocks, one for each shard, of all that come together."""
+    def give(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows)
+        rows.clear()
+        shard = table.column("shard").to_numpy()
+        order = _place_order(shard)
+        return _by_place("shard", shard[order], [table.column(x).to_numpy()[order] for x in _ENTRY])
+
+    rows: list[pa.RecordBatch] = []
+    for batch in batches:
+        rows.append(batch)
+        if sum(len(x) for x in rows) >= _TALLY:
+            yield give(rows)
+    if rows:
+        yield give(rows)
+
+
+def _entries_of(blocks: list[bytes]) -> dict[str, np.ndarray]:
+    """The columns of packed blocks."""
+    width = sum(kind.itemsize for kind in _ENTRY.values())
+    out, before = {}, 0
+    for name, kind in _ENTRY.items():
+        counts = [len(x) // width for x in blocks]
+        out[name] = np.concatenate([np.frombuffer(x, kind, n, n * before) for x, n in zip(blocks, counts, strict=True)])
+        before += kind.itemsize
+    return out
+
+
+def _build_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow function: the trie of one shard from its blocks."""
+    blocks, shard = [], None
+    for batch in batches:
+        if len(batch):
+            shard = batch.column("shard")[0].as_py()
+            blocks += batch.column("block").to_pylist()
+    columns = _entries_of(blocks)
+    blocks.clear()
+    yield from _build_shard(pa.table({"shard": pa.array(np.full(len(columns["n"]), shard, np.int32)), **columns})).to_batches()
+
+
 class Shard:
     """The trie of one shard."""
 
@@ -397,9 +472,9 @@ class Shard:
         return out
 
 
-@cache
+@lru_cache(maxsize=1)
 def _open_trie(path: str) -> Trie:
-    """The trie of a file, opened once per worker."""
+    """The trie of a file, opened once per worker, which keeps the last one."""
     return Trie(path)
 
 
@@ -410,7 +485,7 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
     prepare_workers(spark)
     texts = docs.select(text_of(docs, text_col).alias("text"))
 
-    counts = materialize(texts.mapInArrow(_count(lambda tokens, bounds: (tokens, tokens), _word_rows), "key bigint, n bigint")
+    counts = materialize(texts.mapInArrow(releasing(_count(lambda tokens, bounds: (tokens, tokens), _word_rows)), "key bigint, n bigint")
                          .groupBy("key").agg(F.sum("n").alias("n")), "lm-words")
     totals = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
     total, distinct = totals["total"] or 0, totals["distinct"]
@@ -422,15 +497,14 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
     ranges = max(1, total // RANGE_TOKENS)
 
     def counted(keys_of, first: str) -> DataFrame:
-        blocks = texts.mapInArrow(_count(keys_of, _ngram_blocks(ranges)), "range int, block binary")
+        blocks = texts.mapInArrow(releasing(_count(keys_of, _ngram_blocks(ranges))), "range int, block binary")
         return blocks.groupBy("range").applyInArrow(
-            _kept(first, least), f"key bigint, {first} bigint, n bigint")
+            releasing(_kept(first, least)), f"key bigint, {first} bigint, n bigint")
 
     pairs = materialize(counted(_all_pairs, "a"), "lm-pairs")
-    pair_filter = spark.sparkContext.broadcast(_filter(pairs))
+    pair_filter = _share(spark, "lm-pair-filter", _filter(pairs).tobytes())
     triples = materialize(counted(_triples_of(pair_filter), "ab"), "lm-triples")
-    triple_filter = _filter(triples)
-    filters = spark.sparkContext.broadcast((pair_filter.value, triple_filter))
+    triple_filter = _share(spark, "lm-triple-filter", _filter(triples).tobytes())
 
     # the second part of a pair and of a triple, from its key and its first part
     b_of = F.col("key").bitwiseXOR(_turned_column(F.col("a"), _TURN2))
@@ -469,13 +543,15 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
             child.alias("child"), "n", value.alias("value"), left.alias("left"))
 
     none, left_code = F.lit(0).cast("smallint"), code(F.col("left"))
-    shards = materialize(
+    rows = (
         entries(words, WORD, "key", F.lit(0).cast("bigint"), F.col("key"), none, left_code)
         .unionByName(entries(two, PAIR, "a", b_of, F.when(F.col("split"), F.col("key")).otherwise(F.col("a")),
                              F.col("value"), left_code))
         .unionByName(entries(three, TRIPLE, "ab", bc_of, F.when(F.col("split"), F.col("key")).otherwise(F.col("ab")),
-                             F.col("value"), none))
-        .groupBy("shard").applyInArrow(_build_shard, "shard int, trie binary"), "lm-shards")
+                             F.col("value"), none)))
+    # packed first, so that the shuffle sorts blocks and not rows
+    shards = materialize(rows.mapInArrow(releasing(_entry_blocks), "shard int, block binary")
+                         .groupBy("shard").applyInArrow(releasing(_build_shards), "shard int, trie binary"), "lm-shards")
 
     def columns(table: DataFrame, *names: str | Column) -> list[np.ndarray]:
         found = table.where(F.col("n") >= head).select(*names).toArrow()
@@ -496,9 +572,7 @@ def train(docs: DataFrame, text_col: str = "text", share: float = SHARE,
     codes = {"left1": left1, "gain2": gain2, "left2": left2, "gain3": gain3[order]}
     data = build_trie(keys, word_counts, ids, nodes[order], codes, total, distinct)
     discard(words, two, three)
-    path = write_shared_file(spark, "lm-trie", data)
-    spark.sparkContext.addFile(path)
-    return NgramModel(path.rsplit("/", 1)[-1], total, distinct, shards, parts, filters)
+    return NgramModel(_share(spark, "lm-trie", data), total, distinct, shards, parts, (pair_filter, triple_filter))
 
 
 #: A block of n-grams that a batch of texts asks a shard for, its answer, or (with shard -1) the batch itself, with its ``ids``.
@@ -518,10 +592,10 @@ def _blocks(rows: list[dict], ids: pa.DataType, asked: bool) -> pa.RecordBatch:
     return pa.record_batch({name: pa.array([r.get(name) for r in rows], kind) for name, kind in fields.items()})
 
 
-def _ask(file: str, parts: int, filters):
+def _ask(file: str, parts: int, filter_files: tuple[str, str]):
     """Arrow function: of each batch of texts what the head gives, and a block for each shard that may have more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = _open_trie(SparkFiles.get(file))
+        trie, filters = _open_trie(SparkFiles.get(file)), tuple(_open_filter(x) for x in filter_files)
         task, made = TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = batch.column("text").to_pylist()
@@ -537,8 +611,7 @@ def _ask(file: str, parts: int, filters):
                     wanted["texts"] += np.uint32(piece.start)
                     asked.append(wanted)
                     own.append(sums)
-                yield from _ask_shards(f"{task}.{made}.{content.hexdigest()}", ids,
-                                       *({x: np.concatenate([y[x] for y in found]) for x in found[0]} for found in (asked, own)))
+                yield from _ask_shards(f"{task}.{made}.{content.hexdigest()}", ids, _joined(asked), _joined(own))
                 made += 1
     return run
 
@@ -554,7 +627,7 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
     return out.view(np.int64)[:, 0]
 
 
-def _ask_head(trie: Trie, parts: int, filters, tokens: np.ndarray,
+def _ask_head(trie: Trie, parts: int, filters: tuple[np.ndarray, ...], tokens: np.ndarray,
               bounds: np.ndarray) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
     """What shards may have more of, and per text its numbers from the head. A word's first bits are where others have a child."""
     n = len(bounds) - 1
@@ -563,8 +636,8 @@ def _ask_head(trie: Trie, parts: int, filters, tokens: np.ndarray,
     followed = np.append(follows[1:], False)
     pairs = _pair_keys(tokens)
     triples = _triple_keys(pairs)
-    may_two = follows & _passes(filters.value[0], pairs)
-    may_three = _third(may_two) & _passes(filters.value[1], triples)
+    may_two = follows & _passes(filters[0], pairs)
+    may_three = _third(may_two) & _passes(filters[1], triples)
     node, pair, triple, word, whole = trie.score(tokens, bounds, may_two, may_three)
     one = np.flatnonzero(node < 0)
     two = np.flatnonzero(may_two & (pair < 0))
@@ -582,11 +655,16 @@ def _ask_head(trie: Trie, parts: int, filters, tokens: np.ndarray,
              "words": np.bincount(doc, word, n), "gains": np.bincount(doc, whole, n)})
 
 
+def _joined(found: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    """Each column in one piece; its pieces leave ``found``."""
+    return {x: np.concatenate([y.pop(x) for y in found]) for x in list(found[0])}
+
+
 def _ask_shards(name: str, ids: pa.Array, asked: dict[str, np.ndarray], own: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     n = len(ids)
     shard = asked.pop("shard")
-    order = np.argsort(shard, kind="stable")
-    edges = np.append(np.flatnonzero(np.diff(shard[order], prepend=-1)), len(order)).tolist()
+    order = _place_order(shard)
+    edges = _edges(shard[order])
     asked = {x: y[order] for x, y in asked.items()}
     asked["texts"] = asked["texts"].astype(np.uint16 if n <= 1 << 16 else np.uint32)
     rows = [{"shard": int(shard[order[lo]]), "batch": name, **{x: y[lo:hi].tobytes() for x, y in asked.items()}}
@@ -683,10 +761,10 @@ def score(docs: DataFrame, model: NgramModel, id_col: str = "doc_id", text_col:
     id_type = rows.schema["id"].dataType
     scored = T.StructType([T.StructField("id", id_type), *(T.StructField(x, T.LongType()) for x in ("n_tokens", "n_known", "train_tokens")),
                            *(T.StructField(x, T.DoubleType()) for x in ("base_score", "score"))])
-    blocks = rows.mapInArrow(_ask(model.file, model.parts, model.filters), _block_type(id_type, True))
+    blocks = rows.mapInArrow(releasing(_ask(model.file, model.parts, model.filters)), _block_type(id_type, True))
     # a batch's name is not empty, so a shard's trie comes before its blocks
     routed = (blocks.withColumn("trie", F.lit(None).cast("binary"))
               .unionByName(model.shards.withColumn("batch", F.lit("")), allowMissingColumns=True)
               .repartition("shard", F.when(F.col("shard") < 0, F.col("batch"))).sortWithinPartitions("shard", "batch"))
-    return (routed.mapInArrow(_answer(model.total, model.distinct), _block_type(id_type, False))
+    return (routed.mapInArrow(releasing(_answer(model.total, model.distinct)), _block_type(id_type, False))
             .groupBy("batch").applyInArrow(_sum_up(model.total), scored))

@@ -10,8 +10,10 @@ import io
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,6 +113,14 @@ def prepare_workers(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The Arrow function ``run``, after which Arrow's free memory leaves the worker, which lives on."""
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+    return released
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it (in any case)."""
     taken = {c.lower() for c in df.columns}

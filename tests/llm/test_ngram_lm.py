@@ -11,6 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from clickcredit.llm import elias_fano
 from clickcredit.llm import ngram_lm as M
 from clickcredit.llm.elias_fano import STEPS, EliasFano, Level, map_arrays, pack_arrays, quantise, select_in_word
 
@@ -43,6 +44,39 @@ def test_select(word):
     assert got.tolist() == bits
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(U64, st.integers(0, 200)), max_size=80), st.lists(st.one_of(U64, st.integers(0, 210)), max_size=30))
+def test_directories_find_what_selects_find(values, queries):
+    values, queries = sorted(values), np.array(queries + values, np.uint64)
+    plain, unfolded = sequence(values), sequence(values)
+    plain.asked = -1 << 40
+    unfolded.asked = 1 << 40
+    at = np.arange(len(values))
+    assert plain.get(at).tolist() == unfolded.get(at).tolist() == values
+    assert plain.find(queries).tolist() == unfolded.find(queries).tolist()
+    for a, b in zip(plain.successor(queries), unfolded.successor(queries), strict=True):
+        assert a.tolist() == b.tolist()
+
+
+def test_few_selects_for_many_queries(monkeypatch):
+    """A select costs more than all else of a lookup, so a sequence asked often answers from its directories."""
+    selected = []
+
+    def counting(words, k):
+        selected.append(len(k))
+        return select_in_word(words, k)
+
+    monkeypatch.setattr(elias_fano, "select_in_word", counting)
+    rng = np.random.default_rng(3)
+    parents = np.sort(rng.integers(0, 500, 4000))
+    children = np.arange(4000) * 7
+    built = Level.build(parents, children, 500)
+    level = Level(*(EliasFano(n["low_bits"], n["length"], a["low"], a["high"], a["ranks"]) for n, a in (built["pointers"], built["ids"])))
+    for lo in range(0, 4000, 50):
+        assert level.find_wide(parents[lo:lo + 50], children[lo:lo + 50]).tolist() == list(range(lo, lo + 50))
+    assert sum(selected) < 1000
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.sets(st.tuples(st.integers(0, 9), st.integers(0, 300)), max_size=60))
 def test_level(pairs):
@@ -183,8 +217,36 @@ def test_shard(ngrams, words, others):
         assert list(zip(*(x.tolist() for x in got), strict=True)) == [ngrams.get((k, *q), (0, 0)) for q in asked]
 
 
+def test_entries_meet_in_their_shard_as_blocks(monkeypatch):
+    """Many rows are one block for each shard, whichever batches bring them, and the trie is that of the rows."""
+    rng = np.random.default_rng(5)
+    n = 3000
+    columns = {"shard": rng.integers(0, 3, n).astype(np.int32), "kind": rng.integers(0, 3, n).astype(np.int8),
+               "context": rng.integers(0, 200, n), "child": rng.permutation(n) << M.CHILD_CUT, "n": rng.integers(1, 99, n),
+               "value": rng.integers(-99, 99, n).astype(np.int16), "left": rng.integers(-99, 99, n).astype(np.int16)}
+    words = columns["kind"] == M.WORD
+    columns["context"][words] = 1000 + np.flatnonzero(words)
+    columns["child"][words] = 0
+    table = pa.table(columns)
+    monkeypatch.setattr(M, "_TALLY", 1000)
+    blocks = pa.Table.from_batches(M._entry_blocks(iter(table.to_batches(max_chunksize=250))))
+    assert blocks.num_rows == 9
+    for shard in range(3):
+        own = blocks.filter(pa.array(blocks.column("shard").to_numpy() == shard))
+        built = pa.Table.from_batches(M._build_shards(iter(own.to_batches(max_chunksize=2))))
+        assert built.equals(M._build_shard(table.filter(pa.array(columns["shard"] == shard)).combine_chunks()))
+    assert list(M._entry_blocks(iter([]))) == []
+
+
 def test_no_order_of_words_shares_a_key():
     tokens = M._tokens([" ".join(f"w{k}" for k in range(6))])[0][:6]
     orders = [np.array(x) for n in (2, 3) for x in itertools.product(tokens, repeat=n)]
     keys = [int((M._triple_keys(M._pair_keys(x)) if len(x) == 3 else M._pair_keys(x))[-1]) for x in orders]
     assert len(set(keys)) == len(orders)
+
+
+def test_filters_are_files_that_workers_share(spark):
+    model = M.train(documents(spark, [(i, prose(i % 5, 20)) for i in range(20)]))
+    for file in model.filters:
+        bits = M._open_filter(file)
+        assert len(bits) == 1 << M.FILTER_BITS - 3 and not bits.flags.owndata and not bits.flags.writeable and bits.any()
